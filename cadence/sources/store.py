@@ -28,17 +28,13 @@ class MartStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # A first use creates the empty commit folder; later uses leave it alone.
+        spark.createDataFrame([], COMMIT).write.mode("ignore").json(f"{self.root}/_commits")
 
     # -- reading ---------------------------------------------------------------
 
     def commits(self) -> DataFrame:
-        path = f"{self.root}/_commits"
-        try:
-            return self.spark.read.schema(COMMIT).json(path)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return self.spark.createDataFrame([], COMMIT)
+        return self.spark.read.schema(COMMIT).json(f"{self.root}/_commits")
 
     def heads(self) -> DataFrame:
         """Current commit row per mart."""

@@ -56,10 +56,11 @@ def upsert_current(rows: DataFrame, path: str) -> None:
     if not days:
         return
     ddl = CURRENT_DDL + "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in _extra(rows))
-    stored = _read_or_none(spark, path, f"{ddl}, key_day string")
-    if stored is not None:
-        batch = batch.unionByName(stored.where(F.col("key_day").isin(*days)))
-    merged = stage(latest_per_key(batch, order=order), "upsert")
+    # A first use creates the empty table; later uses leave it alone.
+    spark.createDataFrame([], f"{ddl}, key_day string").write.mode("ignore").parquet(path)
+    stored = spark.read.schema(f"{ddl}, key_day string").parquet(path)
+    both = batch.unionByName(stored.where(F.col("key_day").isin(*days)))
+    merged = stage(latest_per_key(both, order=order), "upsert")
     (
         merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -107,11 +108,3 @@ def drop_replays(events: DataFrame, key: str = "event_id", ts: str = "recptn_ts"
 def _extra(rows: DataFrame) -> list[str]:
     return [c for c in rows.columns if c not in POSITION_LOG.fieldNames()]
 
-
-def _read_or_none(spark: SparkSession, path: str, ddl: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(ddl).parquet(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return None

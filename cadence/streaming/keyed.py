@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,15 +51,17 @@ def stream_watchdog(
     state then holds the last receipt per key, the last alert per key and the next
     tick. A tick is judged once a later receipt shows that it has passed.
     """
-    w = p.watch
-    expected = [(line, d) for line in w.lines for d in w.directions]
+    # Plain values only: the workers need nothing of this package.
+    expected = [(line, d) for line in p.watch.lines for d in p.watch.directions]
+    step, gap, quiet, cooldown = (
+        p.watch.tick_sec, p.watch.gap_sec, p.watch.quiet_sec, p.watch.cooldown_sec
+    )
     out = "tick_ts timestamp, line string, updn_line string, last_seen timestamp, silent_sec long"
     state_ddl = "next_tick long, newest long, seen map<string,long>, sent map<string,long>"
 
     def newest_per_tick(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            tick = np.maximum(-((start - f["at"]) // w.tick_sec), 0)
-            yield f.groupby(["line", "updn_line", tick.rename("tick_no")], as_index=False)["at"].max()
+            yield f.groupby(["line", "updn_line", "tick_no"], as_index=False)["at"].max()
 
     def watch(key, frames: Iterator[pd.DataFrame], state: GroupState):
         rows = pd.concat(list(frames), ignore_index=True).sort_values("at", kind="stable")
@@ -69,19 +70,19 @@ def stream_watchdog(
         made = []
 
         def judge(t: int) -> None:
-            if newest is None or t - newest > w.quiet_sec:
+            if newest is None or t - newest > quiet:
                 return
             for line, d in expected:
                 k = f"{line}\t{d}"
                 silent = t - seen.get(k, start)
-                if silent > w.gap_sec and t - sent.get(k, t - w.cooldown_sec) >= w.cooldown_sec:
+                if silent > gap and t - sent.get(k, t - cooldown) >= cooldown:
                     sent[k] = t
                     made.append((t, line, d, seen.get(k), silent))
 
         for line, d, at in zip(rows["line"], rows["updn_line"], rows["at"]):
             at = int(at)
-            while start + next_tick * w.tick_sec < at:
-                judge(start + next_tick * w.tick_sec)
+            while start + next_tick * step < at:
+                judge(start + next_tick * step)
                 next_tick += 1
             k = f"{line}\t{d}"
             seen[k] = max(at, seen.get(k, at))
@@ -100,11 +101,14 @@ def stream_watchdog(
             )
 
     receipts = events.where(~L.is_blank("line") & F.col(ts).isNotNull()).select(
-        "line", F.coalesce("updn_line", F.lit("")).alias("updn_line"), F.unix_timestamp(ts).alias("at")
+        "line",
+        F.coalesce("updn_line", F.lit("")).alias("updn_line"),
+        F.greatest(F.ceil((F.unix_timestamp(ts) - start) / step), F.lit(0)).alias("tick_no"),
+        F.unix_timestamp(ts).alias("at"),
     )
     reduced = receipts.mapInPandas(
         newest_per_tick, "line string, updn_line string, tick_no long, at long"
-    )
-    return reduced.groupBy(F.lit("stream").alias("watch")).applyInPandasWithState(
+    ).withColumn("watch", F.lit("stream"))
+    return reduced.groupBy("watch").applyInPandasWithState(
         watch, out, state_ddl, "append", NO_TIMEOUT
     )
