@@ -12,6 +12,7 @@ from cadence.functions import texts
 from cadence.params import Params
 
 COUNTED = ("statn_id", "statn_nm", "recptn_dt", "train_no")
+CHECKED_FIELDS = ("line", "event_id", *COUNTED)  # all that a window needs of a record
 
 
 def null_windows(events: DataFrame, ts: str, p: Params = Params()) -> DataFrame:

@@ -5,7 +5,7 @@ every expected ``(line, direction)`` not heard for more than ``gap_sec`` raises
 alert; a key never heard raises one once the watch has run for ``gap_sec``.
 
 The work follows the silences, not the ``ticks x keys`` grid. Receipts collapse to
-the newest per key and tick; the silent ticks of a key are generated from each gap
+the newest per key and tick (stored once, as three steps read it); the silent ticks of a key are generated from each gap
 between two such receipts; the ticks at which the stream was heard are generated
 from the newest receipt overall per tick.
 """
@@ -20,6 +20,7 @@ from cadence.functions import texts
 from cadence.operators.alerts import throttle
 from cadence.operators.ordered import with_previous
 from cadence.params import Params
+from cadence.sources.staging import stage
 
 KEY = ("line", "updn_line")
 
@@ -35,12 +36,13 @@ def silent_ticks(
     """
     w = p.watch
     ticks = (end - start) // w.tick_sec
-    per_key = (
+    per_key = stage(
         receipts.where(~L.is_blank("line") & F.col(ts).isNotNull())
         .select(*KEY, F.unix_timestamp(ts).alias("at"))
         .groupBy(*KEY, _tick_at_or_after(F.col("at"), start, w.tick_sec).alias("tick_no"))
         .agg(F.max("at").alias("at"))
-        .where(F.col("tick_no") <= ticks)
+        .where(F.col("tick_no") <= ticks),
+        "receipts",
     )
     expected = _expected(receipts, p)
     marks = (

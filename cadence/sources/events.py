@@ -5,33 +5,41 @@ The same column code serves a batch and a stream.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cadence.functions.texts import as_json
 from cadence.schema import API_FIELDS, EVENT, EVENT_FIELDS, RAW
 
 
-def scalar_text(parsed: Column, raw: Column, field: str) -> Column:
-    """NULL for values that are JSON objects or arrays: a path projection has no text for them.
+def project_json(
+    raw: DataFrame, column: str = "raw_json", names: Sequence[str] = EVENT_FIELDS
+) -> DataFrame:
+    """Event fields of a JSON text column, from one parse per record.
 
-    Text that merely starts like one is told apart by the type of the value, which
-    is looked up for such rows only.
+    Malformed records give NULL in every field, and so do values that are JSON
+    objects or arrays. Text that merely starts like one is kept: for records with
+    such a value the types are looked up, for all others they are not. The parse
+    sits in a generator, through which Spark pushes no filter, so a filter on a
+    field does not parse the record again. Other columns are kept.
     """
-    value = F.try_variant_get(F.try_parse_json(raw), f"$.{field}", "variant")
-    return F.when(~F.substring(parsed, 1, 1).isin("{", "["), parsed).when(
-        F.schema_of_variant(value) == "STRING", parsed
+    wanted = StructType([EVENT[n] for n in names])
+    event = F.from_json(F.col(column), wanted, {"mode": "PERMISSIVE"})
+    nested = {n: F.substring(n, 1, 1).isin("{", "[") for n in names}
+    types = F.transform_values(
+        F.from_json(F.col(column), "map<string,variant>"), lambda _, v: F.schema_of_variant(v)
     )
-
-
-def project_json(raw: DataFrame, column: str = "raw_json") -> DataFrame:
-    """All event fields of a JSON text column, from one parse per record.
-
-    Malformed records give NULL in every field. Other columns are kept.
-    """
-    event = F.from_json(F.col(column), EVENT, {"mode": "PERMISSIVE"})
-    parsed = raw.withColumn("__e", event)
-    fields = [scalar_text(F.col(f"__e.{n}"), F.col(column), n).alias(n) for n in EVENT_FIELDS]
+    some_nested = reduce(lambda a, b: a | b, (F.coalesce(c, F.lit(False)) for c in nested.values()))
+    parsed = raw.select(*raw.columns, F.inline(F.array(event))).withColumn(
+        "__types", F.when(some_nested, types)
+    )
+    fields = [
+        F.when(~nested[n] | (F.col("__types")[n] == "STRING"), F.col(n)).alias(n) for n in names
+    ]
     return parsed.select(*fields, *raw.columns)
 
 

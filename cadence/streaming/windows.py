@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.operators.alerts import alert_rules, null_windows
+from cadence.operators.alerts import CHECKED_FIELDS, alert_rules, null_windows
 from cadence.params import Params
 from cadence.sources.events import project_json
 
@@ -19,7 +19,8 @@ def stream_null_windows(
     raw: DataFrame, ts: str, delay: str = "0 seconds", p: Params = Params()
 ) -> DataFrame:
     """Windows over a raw stream; a window is emitted once the watermark passes its end."""
-    return null_windows(project_json(raw).withWatermark(ts, delay), ts, p)
+    records = project_json(raw, names=CHECKED_FIELDS)
+    return null_windows(records.withWatermark(ts, delay), ts, p)
 
 
 def stream_alerts(raw: DataFrame, ts: str, delay: str = "0 seconds", p: Params = Params()) -> DataFrame:

@@ -92,7 +92,8 @@ def delays_of(spark, d):
 
 
 def windows_of(spark, d):
-    return AL.null_windows(E.project_json(X.raw_events(spark, d)), "ingested_at", p)
+    records = E.project_json(X.raw_events(spark, d), names=AL.CHECKED_FIELDS)
+    return AL.null_windows(records, "ingested_at", p)
 
 
 def receipts_of(spark, d):
@@ -121,7 +122,7 @@ def json_project(spark, d):
 
 @query
 def null_predicates(spark, d):
-    rows = E.project_json(X.raw_events(spark, d))
+    rows = E.project_json(X.raw_events(spark, d), names=AL.CHECKED_FIELDS)
     return rows.groupBy(L.or_missing("line", p).alias("line")).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(L.is_blank("train_no")).alias("blank_train"),
