@@ -41,6 +41,11 @@ def null_windows(events: DataFrame, ts: str, p: Params = Params()) -> DataFrame:
     )
 
 
+def window_messages(windows: DataFrame) -> DataFrame:
+    """One JSON text per window row, timestamps in ISO 8601, for a message sink."""
+    return windows.select(texts.as_json(*windows.columns).alias("value"))
+
+
 def alert_rules(windows: DataFrame, p: Params = Params()) -> DataFrame:
     """Zero or more alerts per window row: ``window_end level line rule text``.
 

@@ -66,7 +66,7 @@ def with_previous(
     hot_rows = _sliced(df, hot, keys, at, "inner")
     for name, extra in views.items():
         group = [*keys, *extra]
-        edges = _carried_over(hot_rows, group, order, payload)
+        edges = _carried_over(hot_rows, group, order, carry)
         out = (
             out.join(F.broadcast(edges), _same_key([*group, _SLICE]), "left")
             .withColumn(name, F.coalesce(name, "__carry"))
@@ -101,11 +101,15 @@ def _sliced(df: DataFrame, hot: DataFrame, keys, at: Column, how: str) -> DataFr
     return df.join(hot, _same_key(keys), how).select(*df.columns, number.alias(_SLICE))
 
 
-def _carried_over(hot_rows: DataFrame, group, order, payload: Column) -> DataFrame:
+def _carried_over(hot_rows: DataFrame, group, order, carry) -> DataFrame:
     """For every slice but the first of its group: the last row before it."""
+    if list(carry) == [order[0]]:  # the last time alone: a hash aggregate, no sort
+        last = F.struct(F.max(order[0]).alias(order[0]))
+    else:
+        last = F.max_by(F.struct(*carry), F.struct(*order))
     return (
         hot_rows.groupBy(*group, _SLICE)
-        .agg(F.max_by(payload, F.struct(*order)).alias("__last"))
+        .agg(last.alias("__last"))
         .select(
             *_as_match([*group, _SLICE]),
             F.lag("__last").over(Window.partitionBy(*group).orderBy(_SLICE)).alias("__carry"),

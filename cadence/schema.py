@@ -79,3 +79,10 @@ TIMETABLE_CSV = StructType(
         "week_tag", "inout_tag", "express_yn", "fl_flag", "branch_line",
     )
 )
+
+# API names of the timetable columns after ``line``, in the same order.
+TIMETABLE_API = (
+    "STATION_CD", "FR_CODE", "STATION_NM", "TRAIN_NO", "ARRIVETIME", "LEFTTIME",
+    "ORIGINSTATION", "DESTSTATION", "SUBWAYSNAME", "SUBWAYENAME", "WEEK_TAG",
+    "INOUT_TAG", "EXPRESS_YN", "FL_FLAG", "BRANCH_LINE",
+)

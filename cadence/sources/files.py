@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.schema import PLAN_CSV, TIMETABLE_CSV
+from cadence.schema import PLAN_CSV, TIMETABLE_API, TIMETABLE_CSV
 
 TARGET_FILE_BYTES = 256 << 20
 
@@ -28,6 +28,14 @@ def read_timetable(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TIMETABLE_CSV).option("header", True).option("encoding", "UTF-8").csv(path)
 
 
+def normalise_timetable(api: DataFrame, line: str) -> DataFrame:
+    """Landed timetable API records to the sixteen text columns; a missing value is empty."""
+    names = dict(zip(TIMETABLE_CSV.fieldNames()[1:], TIMETABLE_API))
+    have = set(api.columns)
+    value = lambda a: F.coalesce(F.col(a).cast("string"), F.lit("")) if a in have else F.lit("")
+    return api.select(F.lit(line).alias("line"), *(value(a).alias(n) for n, a in names.items()))
+
+
 def stations(timetable: DataFrame) -> DataFrame:
     """One row per station code."""
     return (

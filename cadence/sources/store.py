@@ -18,8 +18,9 @@ from cadence.sources.files import TARGET_FILE_BYTES, compact
 
 COMMIT = (
     "commit bigint, mart string, version bigint, operation string, "
-    "records bigint, path string, fields string, committed_at timestamp"
+    "summary map<string,string>, path string, fields string, committed_at timestamp"
 )
+RECORDS = "total-records"  # summary key
 
 
 class MartStore:
@@ -34,7 +35,11 @@ class MartStore:
     # -- reading ---------------------------------------------------------------
 
     def commits(self) -> DataFrame:
-        return self.spark.read.schema(COMMIT).json(f"{self.root}/_commits")
+        return (
+            self.spark.read.schema(COMMIT)
+            .json(f"{self.root}/_commits")
+            .withColumn("records", F.col("summary")[RECORDS].try_cast("bigint"))
+        )
 
     def heads(self) -> DataFrame:
         """Current commit row per mart."""
@@ -133,7 +138,14 @@ class MartStore:
         return (self.commits().agg(F.max("commit")).first()[0] or 0) + 1
 
     def _commit(self, number: int, rows: list[tuple]) -> None:
-        moved = [F.struct(*(F.lit(v).alias(n) for n, v in zip(MOVED, r))) for r in rows]
+        def moved_row(mart, version, operation, records, path, fields):
+            summary = F.create_map(F.lit(RECORDS), F.lit(str(records)))
+            values = (mart, version, operation, summary, path, fields)
+            return F.struct(
+                *((v if n == "summary" else F.lit(v)).alias(n) for n, v in zip(MOVED, values))
+            )
+
+        moved = [moved_row(*r) for r in rows]
         (
             self.spark.range(1)
             .select(F.inline(F.array(*moved)))
@@ -145,7 +157,7 @@ class MartStore:
 
 
 COMMIT_COLUMNS = ("commit", "mart", "version", "operation", "records", "path", "fields", "committed_at")
-MOVED = ("mart", "version", "operation", "records", "path", "fields")
+MOVED = ("mart", "version", "operation", "summary", "path", "fields")
 
 
 def _ddl(df: DataFrame) -> str:

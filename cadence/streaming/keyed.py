@@ -6,7 +6,7 @@ keep a few numbers per key.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -43,14 +43,21 @@ def stream_throttle(alerts: DataFrame, cooldown_sec: int, at: str = "window_end"
 
 
 def stream_watchdog(
-    events: DataFrame, start: int, ts: str = "recptn_ts", p: Params = Params()
+    events: DataFrame,
+    start: int,
+    ts: str = "recptn_ts",
+    seed: Mapping[tuple[str, str], int] | None = None,
+    p: Params = Params(),
 ) -> DataFrame:
     """Silence alerts per expected ``(line, updn_line)`` after cooldown, by event time.
 
     Every task first reduces its rows to the newest receipt per key and tick; one
     state then holds the last receipt per key, the last alert per key and the next
-    tick. A tick is judged once a later receipt shows that it has passed.
+    tick. A tick is judged once a later receipt shows that it has passed. ``seed``
+    gives epoch seconds of receipts before ``start`` (see ``seed_from_current``).
     """
+    seeded = {f"{line}\t{d}": int(at) for (line, d), at in (seed or {}).items()}
+    heard = max(seeded.values(), default=None)
     # Plain values only: the workers need nothing of this package.
     expected = [(line, d) for line in p.watch.lines for d in p.watch.directions]
     step, gap, quiet, cooldown = (
@@ -65,7 +72,7 @@ def stream_watchdog(
 
     def watch(key, frames: Iterator[pd.DataFrame], state: GroupState):
         rows = pd.concat(list(frames), ignore_index=True).sort_values("at", kind="stable")
-        next_tick, newest, seen, sent = state.get if state.exists else (0, None, {}, {})
+        next_tick, newest, seen, sent = state.get if state.exists else (0, heard, seeded, {})
         seen, sent = dict(seen), dict(sent)
         made = []
 

@@ -366,6 +366,11 @@ def null_windows(spark, d):
     return windows_of(spark, d)
 
 
+@query
+def window_messages(spark, d):
+    return AL.window_messages(windows_of(spark, d))
+
+
 @query
 def alert_rules(spark, d):
     return AL.alert_rules(windows_of(spark, d), p)
@@ -526,7 +531,7 @@ def daily_build(spark, d):
     """The mart built in two date ranges; equal to the mart built in one go."""
     store = MartStore(spark, _new_folder(spark, "marts"))
     log = log_of(spark, d)
-    express = H.express_lines(H.label_arrivals(A.arrivals(log, X.TIES, p), p), p)
+    express = stage(H.express_lines(H.label_arrivals(A.arrivals(log, X.TIES, p), p), p), "express")
     for part in (F.col("dt") < "2024-01-16", F.col("dt") >= "2024-01-16"):
         daily.run_day(store, log.where(part), express, X.TIES, GAP_TIES, p)
     return store.read(daily.MART)

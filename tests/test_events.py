@@ -87,6 +87,13 @@ def test_csv_sources(spark, folder):
     assert [tuple(r) for r in files.stations(tt).collect()] == [("901", "1", "개화")]
 
 
+def test_timetable_records(spark):
+    api = spark.createDataFrame([("0901", "개화", None)], "STATION_CD string, STATION_NM string, TRAIN_NO string")
+    r = files.normalise_timetable(api, "09호선").first()
+    assert len(r) == 16
+    assert (r.line, r.station_cd, r.station_nm, r.train_no, r.arrive_time) == ("09호선", "0901", "개화", "", "")
+
+
 def test_export_skips_a_failing_table_and_drops_raw_json(spark, folder):
     good = raw(spark, "{}").withColumn("a", F.lit(1))
     bad = good.withColumn("m", F.create_map(F.lit("x"), F.lit(1)))

@@ -150,6 +150,24 @@ def test_watchdog_stream_equals_batch(spark, sf, folder):
     assert as_set(got) == as_set(want)
 
 
+def test_watchdog_stream_starts_from_a_seed(spark, folder):
+    from cadence import Params, WatchRules
+
+    p = Params(watch=WatchRules(lines=("a", "b"), directions=("0",), gap_sec=180, quiet_sec=90, tick_sec=20))
+    rows = [("a", "0", 1000 + 20 * i, i) for i in range(16)]
+    df = spark.createDataFrame(rows, "line string, updn_line string, t long, ingest_seq long").withColumn(
+        "recptn_ts", F.timestamp_seconds("t")
+    )
+    land(df, f"{folder}/src", [5])
+    run = lambda name, seed: [
+        (r.line, r.silent_sec, r.last_seen is None)
+        for r in drain(SK.stream_watchdog(source(spark, df, f"{folder}/src"), 1000, seed=seed, p=p), folder, name).collect()
+    ]
+    assert run("none", None) == [("b", 200, True)]
+    assert run("old", {("b", "0"): 900}) == [("b", 200, False)]
+    assert run("fresh", {("b", "0"): 990}) == [("b", 190, False)]
+
+
 def test_replays_within_the_watermark_are_dropped(spark, sf, folder):
     log = receipts_of(spark, sf).where("event_id IS NOT NULL AND recptn_ts IS NOT NULL").dropDuplicates(["event_id"])
     land(log, f"{folder}/src", [500])
