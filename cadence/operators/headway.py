@@ -217,6 +217,13 @@ def exclusion_counts(classified: DataFrame) -> DataFrame:
     )
 
 
+def group_medians(classified: DataFrame, p: Params = Params()) -> DataFrame:
+    """Median valid headway per group, the yardstick of the over-ratio."""
+    return histogram_stats(headway_histogram(classified, attrs=()), attrs=(), p=p).select(
+        *HEADWAY_KEYS, F.col("p50_sec").alias("grp_p50")
+    )
+
+
 def exploratory_mart(
     arrived: DataFrame,
     min_samples: int,

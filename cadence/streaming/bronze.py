@@ -61,8 +61,10 @@ def upsert_current(rows: DataFrame, path: str) -> None:
     stored = spark.read.schema(f"{ddl}, key_day string").parquet(path)
     both = batch.unionByName(stored.where(F.col("key_day").isin(*days)))
     merged = stage(latest_per_key(both, order=order), "upsert")
+    # By range, so that a task writes few dates and a large date is written by many tasks.
     (
-        merged.write.mode("overwrite")
+        merged.repartitionByRange("key_day", "event_id")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("key_day")
         .parquet(path)

@@ -227,6 +227,11 @@ def exclusion_counts(spark, d):
     return H.exclusion_counts(H.headways(X.staged_arrivals(spark, d), GAP_TIES, p))
 
 
+@query
+def group_medians(spark, d):
+    return H.group_medians(H.headways(X.staged_arrivals(spark, d), GAP_TIES, p), p)
+
+
 @query
 def headway_mart(spark, d):
     return mart_of(spark, d)
