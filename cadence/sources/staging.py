@@ -19,9 +19,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="cadence-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="cadence-"))
+    return sc.getCheckpointDir()
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
