@@ -21,25 +21,28 @@ NO_TIMEOUT = GroupStateTimeout.NoTimeout
 
 def stream_throttle(alerts: DataFrame, cooldown_sec: int, at: str = "window_end") -> DataFrame:
     """Greedy cooldown per ``(line, rule)`` over a stream of alert rows."""
-    out = alerts.select(at, "level", "line", "rule", "text").schema
 
     def keep(key, frames: Iterator[pd.DataFrame], state: GroupState):
-        rows = pd.concat(list(frames), ignore_index=True).sort_values(at, kind="stable")
+        rows = pd.concat(list(frames), ignore_index=True).sort_values("at", kind="stable")
         (last,) = state.get if state.exists else (None,)
         picked = []
-        for i, t in enumerate((rows[at].astype("datetime64[s]").astype("int64")).to_numpy()):
+        for i, t in enumerate(rows["at"].tolist()):
             if last is None or t - last >= cooldown_sec:
-                last = int(t)
+                last = t
                 picked.append(i)
         if picked:
             state.update((last,))
-            yield rows.iloc[picked][[at, "level", "line", "rule", "text"]]
+            yield rows.iloc[picked]
 
-    return (
-        alerts.select(at, "level", "line", "rule", "text")
+    # Times cross into Python as epoch seconds, which no time zone can move.
+    kept = (
+        alerts.select(F.unix_timestamp(at).alias("at"), "level", "line", "rule", "text")
         .groupBy("line", "rule")
-        .applyInPandasWithState(keep, out, "last long", "append", NO_TIMEOUT)
+        .applyInPandasWithState(
+            keep, "at long, level string, line string, rule string, text string", "last long", "append", NO_TIMEOUT
+        )
     )
+    return kept.select(F.timestamp_seconds("at").alias(at), "level", "line", "rule", "text")
 
 
 def stream_watchdog(
@@ -63,7 +66,7 @@ def stream_watchdog(
     step, gap, quiet, cooldown = (
         p.watch.tick_sec, p.watch.gap_sec, p.watch.quiet_sec, p.watch.cooldown_sec
     )
-    out = "tick_ts timestamp, line string, updn_line string, last_seen timestamp, silent_sec long"
+    out = "tick long, line string, updn_line string, seen long, silent_sec long"
     state_ddl = "next_tick long, newest long, seen map<string,long>, sent map<string,long>"
 
     def newest_per_tick(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -96,16 +99,8 @@ def stream_watchdog(
             newest = at if newest is None else max(newest, at)
         state.update((next_tick, newest, seen, sent))
         if made:
-            f = pd.DataFrame(made, columns=["t", "line", "updn_line", "seen", "silent_sec"])
-            yield pd.DataFrame(
-                {
-                    "tick_ts": pd.to_datetime(f["t"], unit="s"),
-                    "line": f["line"],
-                    "updn_line": f["updn_line"],
-                    "last_seen": pd.to_datetime(f["seen"], unit="s"),
-                    "silent_sec": f["silent_sec"],
-                }
-            )
+            f = pd.DataFrame(made, columns=["tick", "line", "updn_line", "seen", "silent_sec"])
+            yield f.astype({"seen": "Int64"})
 
     receipts = events.where(~L.is_blank("line") & F.col(ts).isNotNull()).select(
         "line",
@@ -116,6 +111,13 @@ def stream_watchdog(
     reduced = receipts.mapInPandas(
         newest_per_tick, "line string, updn_line string, tick_no long, at long"
     ).withColumn("watch", F.lit("stream"))
-    return reduced.groupBy("watch").applyInPandasWithState(
+    found = reduced.groupBy("watch").applyInPandasWithState(
         watch, out, state_ddl, "append", NO_TIMEOUT
     )
+    return found.select(
+        F.timestamp_seconds("tick").alias("tick_ts"),
+        "line",
+        "updn_line",
+        F.timestamp_seconds("seen").alias("last_seen"),
+        "silent_sec",
+    )

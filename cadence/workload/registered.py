@@ -404,7 +404,7 @@ def watchdog_alerts(spark, d):
 
 @query
 def watchdog_seed(spark, d):
-    now = F.to_timestamp(F.lit("2024-06-01 00:00:00"))
+    now = F.timestamp_seconds(F.lit(1_717_200_000))
     return W.seed_from_current(current_of(spark, d), now, p)
 
 
