@@ -124,7 +124,7 @@ def throttle(
       the last alert before each slice;
     * the slices are then folded independently.
 
-    A group is one key and slice, holding one alert per window or tick of that
+    Keys must not be NULL. A group is one key and slice, holding one alert per window or tick of that
     time, or one key with one entry per slice.
     """
     cd = F.lit(int(cooldown_sec)).cast("bigint")

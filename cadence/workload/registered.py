@@ -88,7 +88,7 @@ def punctual_of(spark, d):
 
 def delays_of(spark, d):
     arrived = A.arrivals(log_of(spark, d), X.TIES, p)
-    return P.nearest_plan_delay(arrived, X.timetable(spark, d), p)
+    return P.nearest_plan_delay(arrived, stage(X.timetable(spark, d), "timetable"), p)
 
 
 def windows_of(spark, d):
