@@ -70,8 +70,12 @@ def stream_watchdog(
     state_ddl = "next_tick long, newest long, seen map<string,long>, sent map<string,long>"
 
     def newest_per_tick(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None  # at most one row per key and tick of this task's rows
         for f in frames:
-            yield f.groupby(["line", "updn_line", "tick_no"], as_index=False)["at"].max()
+            both = f if held is None else pd.concat([held, f], ignore_index=True)
+            held = both.groupby(["line", "updn_line", "tick_no"], as_index=False)["at"].max()
+        if held is not None:
+            yield held
 
     def watch(key, frames: Iterator[pd.DataFrame], state: GroupState):
         rows = pd.concat(list(frames), ignore_index=True).sort_values("at", kind="stable")
