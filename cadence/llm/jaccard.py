@@ -166,7 +166,7 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                     ["tag", "doc_id", "n", "counts", "members"],
                 )
 
-    rows = only(docs, doc_id="doc_id", text="text").filter("doc_id is not null").join(wanted, "doc_id")
+    rows = only(docs, doc_id="doc_id", text="text").filter("doc_id is not null").join(wanted.hint("merge"), "doc_id")
     return rows.select("tag", "doc_id", "text").mapInArrow(of, "tag long, doc_id long, n long, counts array<int>, members binary")
 
 
@@ -180,8 +180,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
     many = stage(pairs.groupBy("a").agg(F.count("*").alias("of_a")), "many")
     pairs = pairs.join(many, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("of_a") / 64)))
     pairs = stage(pairs.select("a", "b", "salt"), "dealt")
-    left = pairs.select("a", "salt").distinct().join(sets.withColumnRenamed("tag", "a"), "a").select("a", "salt", F.lit(0).alias("kind"), F.col("a").alias("own"), "n", "counts", "members")
-    right = pairs.join(sets.withColumnRenamed("tag", "b"), "b").select("a", "salt", F.lit(1).alias("kind"), F.col("b").alias("own"), "n", "counts", "members")
+    left = pairs.select("a", "salt").distinct().hint("merge").join(sets.withColumnRenamed("tag", "a"), "a").select("a", "salt", F.lit(0).alias("kind"), F.col("a").alias("own"), "n", "counts", "members")
+    right = pairs.hint("merge").join(sets.withColumnRenamed("tag", "b"), "b").select("a", "salt", F.lit(1).alias("kind"), F.col("b").alias("own"), "n", "counts", "members")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, centres = None, []
@@ -212,20 +212,23 @@ def _boxed_pairs(members: DataFrame, bound: Bound) -> DataFrame:
 
     members: cell, tag, label, n, counts.
     """
-    own = Window.partitionBy("cell").orderBy("n", "tag")
+    # leaves of one component lie together, so most pairs of boxes can be told to hold nothing new
+    own = Window.partitionBy("cell").orderBy("label", "n", "tag")
     leaf = stage(members.withColumn("leaf", F.floor((F.row_number().over(own) - 1) / LEAF)), "leaves")
     corners = [F.max(F.col("counts")[i]).alias(f"c{i}") for i in range(GROUPS)]
-    boxes = leaf.groupBy("cell", "leaf").agg(F.min("n").alias("least"), F.max("n").alias("most"), *corners)
-    boxes = stage(boxes.select("cell", "leaf", "least", "most", F.array(*(f"c{i}" for i in range(GROUPS))).alias("corner")), "boxes")
+    boxes = leaf.groupBy("cell", "leaf").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("label").alias("low"), F.max("label").alias("high"), *corners)
+    boxes = stage(boxes.select("cell", "leaf", "least", "most", "low", "high", F.array(*(f"c{i}" for i in range(GROUPS))).alias("corner")), "boxes")
     # 100 overlap >= percent (a + b - overlap)
     allowed = lambda overlap, joint: (100 + bound.percent) * overlap >= bound.percent * joint
-    a, b = (boxes.select("cell", *(F.col(c).alias(f"{c}_{s}") for c in ("leaf", "least", "most", "corner"))) for s in "ab")
-    near = a.join(b, "cell").filter(
-        (F.col("leaf_a") <= F.col("leaf_b")) & (100 * F.col("most_a") >= bound.percent * F.col("least_b")) & allowed(_overlap(F.col("corner_a"), F.col("corner_b")), F.col("least_a") + F.col("least_b"))
-    ).select("cell", "leaf_a", "leaf_b")
-    p, q = (leaf.select("cell", *(F.col(c).alias(f"{c}_{s}") for c in ("leaf", "tag", "label", "n", "counts"))) for s in "ab")
-    pairs = near.join(p, ["cell", "leaf_a"]).join(q, ["cell", "leaf_b"])
-    pairs = pairs.filter((F.col("label_a") != F.col("label_b")) & ((F.col("leaf_a") < F.col("leaf_b")) | (F.col("tag_a") < F.col("tag_b"))) & allowed(_overlap(F.col("counts_a"), F.col("counts_b")), F.col("n_a") + F.col("n_b")))
+    a, b = (boxes.select("cell", *(F.col(c).alias(f"{c}_{s}") for c in ("leaf", "least", "most", "low", "high", "corner"))) for s in "ab")
+    one = lambda low, high: (F.col("low_b") == F.col("high_b")) & (F.col(low) == F.col("low_b")) & (F.col(high) == F.col("low_b"))
+    bound_boxes = (100 * F.col("most_a") >= bound.percent * F.col("least_b")) & allowed(_overlap(F.col("corner_a"), F.col("corner_b")), F.col("least_a") + F.col("least_b"))
+    near = a.join(b, (a["cell"] == b["cell"]) & (F.col("leaf_a") <= F.col("leaf_b")) & ~one("low_a", "high_a") & bound_boxes)
+    near = near.select(a["cell"], "leaf_a", "leaf_b", "least_b", "low_b", "high_b", "corner_b")
+    p, q = (leaf.select(F.col("cell").alias(f"cell_{s}"), *(F.col(c).alias(f"{c}_{s}") for c in ("tag", "label", "n", "counts")), F.col("leaf").alias(f"of_{s}")) for s in "ab")
+    half = near.join(p, (F.col("cell") == F.col("cell_a")) & (F.col("leaf_a") == F.col("of_a")) & ~one("label_a", "label_a") & allowed(_overlap(F.col("counts_a"), F.col("corner_b")), F.col("n_a") + F.col("least_b")))
+    half = half.select("cell", "leaf_a", "leaf_b", "tag_a", "label_a", "n_a", "counts_a")
+    pairs = half.join(q, (F.col("cell") == F.col("cell_b")) & (F.col("leaf_b") == F.col("of_b")) & (F.col("label_a") != F.col("label_b")) & ((F.col("leaf_a") < F.col("leaf_b")) | (F.col("tag_a") < F.col("tag_b"))) & allowed(_overlap(F.col("counts_a"), F.col("counts_b")), F.col("n_a") + F.col("n_b")))
     return pairs.select(F.least("tag_a", "tag_b").alias("a"), F.greatest("tag_a", "tag_b").alias("b")).distinct()
 
 
@@ -242,7 +245,7 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     # cells in which different sets meet
     flat = _flat_cells(points)
     shared = flat.groupBy("cell").agg(F.min("tag").alias("low"), F.max("tag").alias("high")).filter("low < high").select("cell")
-    members = stage(flat.join(stage(shared, "shared"), "cell").distinct(), "members")
+    members = stage(flat.join(stage(shared, "shared").hint("merge"), "cell").distinct(), "members")
     degree = members.groupBy("tag").agg(F.count("*").alias("degree"))
     ranked = stage(members.join(degree, "tag"), "ranked")
     centre = stage(ranked.groupBy("cell").agg(F.max(F.struct("degree", "tag")).alias("top")).select("cell", F.col("top.tag").alias("a")), "centres")
@@ -278,5 +281,5 @@ def first_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", n: in
     stay = jaccard_components(docs, id, text, n, percent).filter("doc_id = component_id").select(F.col("doc_id").alias("stay_own")).distinct()
     names = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*names).alias("row_own"), F.col(f"`{id}`").cast("long").alias("id_own"))
-    rows = rows.join(stay, F.col("id_own") == F.col("stay_own"), "left").filter("id_own is null or stay_own is not null")
+    rows = rows.join(stay.hint("merge"), F.col("id_own") == F.col("stay_own"), "left").filter("id_own is null or stay_own is not null")
     return rows.select("row_own.*")
