@@ -37,7 +37,7 @@ SIZE = 20
 ROWS = 1
 BITS = 40
 #: Words of a chunk: what a task holds at once (some 100 bytes a word).
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 LAST = (1 << 63) - 1
 _P = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
