@@ -8,14 +8,14 @@ Start: a few random-hyperplane forests deal nodes into blocks of about ``BLOCK``
 ``START`` of its block. Descent: each node sends its vector to its neighbours; nodes that meet at one are neighbours of a
 neighbour and are offered to each other where they would improve the other's list. That is one shuffle of nodes x ``K``
 vectors and one of the offers, which are merged inside each task first. A node's visitors are met in blocks, so a hub costs in
-proportion to its visitors, who are at most one row in ``K``. Rounds end when few lists change.
+proportion to its visitors, who are at most one row in ``K``. There are ``ROUNDS`` rounds at every size.
 
 Search: a query begins at its own node, if it has one, and at the best of ``PIVOTS`` sample nodes, and in each hop expands the best
 ``EXPAND`` candidates that it hasn't; candidates and graph are joined, so neither has to fit a task.
 
 Defined cases: vectors that are null, zero, hold null or non-finite numbers, or have another length than most take no part;
 fewer candidates than asked for: all found; ties go to the smaller id; a null id takes no part; rows that repeat an id are
-further candidates of that id, and a query's own id is never its candidate; an empty table gives no rows; further columns are not read.
+further candidates of that id (equal rows count once), and a query's own id is never its candidate; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -34,8 +34,7 @@ K = 48
 BLOCK = 512
 TREES = 12
 START = 16
-ROUNDS = 5
-CHANGED = 0.02
+ROUNDS = 4
 PIVOTS = 256
 EXPAND = 64
 HOPS = 3
@@ -43,8 +42,8 @@ BEAM = 160
 MEET = 160
 OFFER = 12
 
-LISTS = "id long, vec binary, near binary, sims binary, fresh int"
-_LISTS = pa.schema([("id", pa.int64()), ("vec", pa.binary()), ("near", pa.binary()), ("sims", pa.binary()), ("fresh", pa.int32())])
+LISTS = "id long, vec binary, near binary, sims binary"
+_LISTS = pa.schema([("id", pa.int64()), ("vec", pa.binary()), ("near", pa.binary()), ("sims", pa.binary())])
 
 
 def valid(vectors: DataFrame, id: str, vector: str) -> DataFrame:
@@ -83,7 +82,7 @@ def _top(own: np.ndarray, near: np.ndarray, sims: np.ndarray, k: int) -> tuple[n
 def _offers(ids: np.ndarray, edge: np.ndarray, near: np.ndarray, sims: np.ndarray) -> pa.RecordBatch:
     lists = [(near[i:j].tobytes(), sims[i:j].tobytes()) for i, j in zip(edge[:-1], edge[1:], strict=True)]
     n = len(lists)
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.nulls(n, pa.binary()), pa.array([x[0] for x in lists], pa.binary()), pa.array([x[1] for x in lists], pa.binary()), pa.array(np.zeros(n, np.int32))], schema=_LISTS)
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.nulls(n, pa.binary()), pa.array([x[0] for x in lists], pa.binary()), pa.array([x[1] for x in lists], pa.binary())], schema=_LISTS)
 
 
 class _Offers:
@@ -112,7 +111,7 @@ def _best_of(sim: np.ndarray, k: int) -> np.ndarray:
 
 
 def _merge(rows: DataFrame) -> DataFrame:
-    """Lists and offers of each id into one list of its K best; fresh: how many of them are new."""
+    """Lists and offers of each id into one list of its K best."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -120,16 +119,15 @@ def _merge(rows: DataFrame) -> DataFrame:
         def flush(rows: pa.Table) -> pa.RecordBatch:
             ids = rows["id"].to_numpy()
             vec = {i: v for i, v in zip(ids, rows["vec"].to_pylist(), strict=True) if v is not None}
-            near, sims, had = rows["near"].to_pylist(), rows["sims"].to_pylist(), rows["vec"].is_valid().to_numpy()
+            near, sims = rows["near"].to_pylist(), rows["sims"].to_pylist()
             each = np.array([len(x or b"") // 8 for x in near])
             a, b = np.frombuffer(b"".join(x or b"" for x in near), np.int64), np.frombuffer(b"".join(x or b"" for x in sims), np.float32)
             own, edge, near_, sims_ = _top(np.repeat(ids, each), a, b, K)
-            old = {i: set(np.frombuffer(x, np.int64).tolist()) for i, x, h in zip(ids, near, had, strict=True) if h and x}
             lists = {int(o): (near_[i:j], sims_[i:j]) for o, i, j in zip(own, edge[:-1], edge[1:], strict=True)}
             out = []
             for i, v in vec.items():
                 n, s = lists.get(i, (np.zeros(0, np.int64), np.zeros(0, np.float32)))
-                out.append((i, v, n.tobytes(), s.tobytes(), len(set(n.tolist()) - old.get(i, set()))))
+                out.append((i, v, n.tobytes(), s.tobytes()))
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _LISTS, strict=True)], schema=_LISTS)
 
         for batch in batches:
@@ -251,16 +249,12 @@ class Graph:
                 v = np.concatenate([v, np.sqrt(np.maximum(0.0, 1.0 - (v * v).sum(1, keepdims=True)))], axis=1)
                 small = np.clip(np.rint(v * fine), -127, 127).astype(np.int8)
                 n = batch.num_rows
-                yield pa.RecordBatch.from_arrays([batch["id"], pa.array([x.tobytes() for x in small], pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.array(np.zeros(n, np.int32))], schema=_LISTS)
+                yield pa.RecordBatch.from_arrays([batch["id"], pa.array([x.tobytes() for x in small], pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], schema=_LISTS)
 
         own = stage(self.nodes.select("id", "vec").mapInArrow(bytes_of, LISTS), "bytes")
         graph = stage(_merge(own.unionByName(_start(own, self.count, self.width))), "graph")
-        self.rounds = 0
-        while self.rounds < ROUNDS:
+        for _ in range(ROUNDS):
             graph = stage(_merge(graph.unionByName(_met(graph))), "graph")
-            self.rounds += 1
-            if (graph.agg(F.sum("fresh").alias("n")).first()["n"] or 0) < CHANGED * self.count * K:
-                break
         self.graph = graph
 
     def _adjacency(self) -> DataFrame:
@@ -293,7 +287,9 @@ class Graph:
         return stage(rows.repartition("at").sortWithinPartitions("at").mapInArrow(pack, "at long, near binary, vecs binary"), "adjacency")
 
     def search(self, queries: DataFrame, k: int, id: str = "query_id", vector: str = "vec") -> DataFrame:
-        """query_id, rank, vec_id, score of the k best found for each query (rows of an id and a vector)."""
+        """query_id, rank, vec_id, score of the k best found for each query (rows of an id and a vector); k is 40 at most."""
+        if k > 40:
+            raise ValueError("the beam and the members kept of equal vectors are made for k up to 40")
         queries = only(queries, query_id=id, vec=vector).select("query_id", F.col("vec").cast("array<double>").alias("vec"))
         queries = stage(queries.select("query_id", "vec", *_key()).join(self.nodes.select("k1", "k2", F.col("id").alias("node")), ["k1", "k2"], "left").select("query_id", "vec", "node"), "queries")
         pivots = self.graph.select("id", "vec").orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()  # PIVOTS rows
