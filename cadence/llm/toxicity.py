@@ -6,7 +6,7 @@
    lattices: each character may stand for itself or for the letters it imitates, a run for one or two of
    its letters, separators for nothing. Viterbi search finds the most probable reading.
 3. A lexicon is learnt from labelled documents: words chosen one after another by how significantly they
-   raise the toxic rate among documents that no earlier word explains. Copies of one text count once.
+   raise the toxic rate among documents that no earlier word explains (likelihood ratio, corrected for the number of words tried). Copies of one text count once.
 4. A document is scored by a logistic function of its lexicon words after restoration.
 
 Labels come from a sample of at most ``SAMPLE`` labelled rows outside the held-out fifth; the language
@@ -38,7 +38,8 @@ from cadence.llm.tables import held_out, only, stage
 SAMPLE = 20_000
 #: Words that a lexicon may hold.
 LEXICON = 400
-LEAST_Z = 5.0
+#: Chance that any word at all enters the lexicon without reason.
+ALPHA = 0.05
 THRESHOLD = 0.5
 #: Letters that a sign may stand for.
 LEET = {
@@ -153,6 +154,11 @@ def labelled(docs: DataFrame, labels: DataFrame, name: str, sample: int) -> Data
     return docs.join(marks.filter(part), "doc_id")
 
 
+def _evidence(t: int, n: int, rate: float) -> float:
+    """The likelihood-ratio statistic of t toxic ones among n, where ``rate`` was to be expected."""
+    return 2 * sum(k * math.log(k / (n * p)) for k, p in ((t, rate), (n - t, 1 - rate)) if k)
+
+
 def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], float, float]:
     """(word -> weight, weight of none, toxic rate) from (doc_id, text, label)."""
 
@@ -171,8 +177,11 @@ def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], float, float]:
         return {}, 0.0, toxic / n if n else 0.0
     rate = toxic / n
     by = rows.select("text", "label").mapInArrow(count, "word string, toxic long, n long").groupBy("word").agg(F.sum("toxic").alias("t"), F.sum("n").alias("n"))
-    z = (F.col("t") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate))
-    likely = by.filter("t >= 5").withColumn("z", z).filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "word").limit(LEXICON)
+    by = stage(by, "words")
+    least = 2 * math.log(max(by.count(), 1) / ALPHA)
+    part = lambda k, p: F.when(k > 0, k * F.log(k / (F.col("n") * p))).otherwise(0.0)
+    evidence = 2 * (part(F.col("t"), rate) + part(F.col("n") - F.col("t"), 1 - rate))
+    likely = by.filter(F.col("t") > F.col("n") * rate).withColumn("g", evidence).filter(F.col("g") >= least).orderBy(F.desc("g"), "word").limit(LEXICON)
     candidates = frozenset(r["word"] for r in likely.collect())  # LEXICON words
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,9 +201,9 @@ def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], float, float]:
                 t[w] += k * y
         total, bad = sum(k for _, _, k in left), sum(k * y for _, y, k in left)
         rest = bad / total if total else 0.0
-        score = {w: (t[w] - n[w] * rest) / math.sqrt(n[w] * rest * (1 - rest)) for w in n if t[w] >= 5 and 0 < rest < 1}
+        score = {w: _evidence(t[w], n[w], rest) for w in n if 0 < rest < 1 and t[w] > n[w] * rest}
         word = max(score, key=lambda w: (score[w], w), default=None)
-        if word is None or score[word] < LEAST_Z:
+        if word is None or score[word] < least:
             return chosen, math.log((bad + 0.5) / (total - bad + 0.5)) if total else 0.0, rate
         chosen[word] = math.log((t[word] + 0.5) / (n[word] - t[word] + 0.5))
         left = [x for x in left if word not in x[0]]
