@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,7 +125,7 @@ def throttle(
       the last alert before each slice;
     * the slices are then folded independently.
 
-    Keys must not be NULL. A group is one key and slice, holding one alert per window or tick of that
+    NULL keys are keys like any other. A group is one key and slice, holding one alert per window or tick of that
     time, or one key with one entry per slice.
     """
     cd = F.lit(int(cooldown_sec)).cast("bigint")
@@ -175,8 +176,15 @@ def throttle(
         ).otherwise(acc),
         lambda acc: acc["out"],
     )
-    kept = times.join(entries, [*keys, "__slice"]).select(
+    kept = times.join(*_null_safe(entries, [*keys, "__slice"])).select(
         *keys, "__slice", F.explode(fold).alias("__t")
     )
     once = stamped.dropDuplicates([*keys, "__slice", "__t"])
-    return once.join(kept, [*keys, "__slice", "__t"], "left_semi").drop("__t", "__slice")
+    return once.join(*_null_safe(kept, [*keys, "__slice", "__t"]), "left_semi").drop("__t", "__slice")
+
+
+def _null_safe(side: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """The side under other names, and the condition that its keys are the same."""
+    same = [F.col(k).eqNullSafe(F.col(f"__is_{k}")) for k in keys]
+    rest = [c for c in side.columns if c not in keys]
+    return side.select(*(F.col(k).alias(f"__is_{k}") for k in keys), *rest), reduce(lambda a, b: a & b, same)

@@ -63,28 +63,42 @@ def arrivals_since(
     """Arrivals of a later date range, given the last sighting per key before it.
 
     ``last_seen`` is the output of :func:`last_sightings` on the earlier rows. Both
-    ranges together give the same arrivals as one run over all rows. A row older
-    than the last sighting of its key cannot be placed any more and is left out,
-    where it would otherwise look like an arrival.
+    ranges together give the same arrivals as one run over all rows, if no row is
+    late: a row that does not come after the last sighting of its key (a replayed one
+    is such a row) is in :func:`late_sightings` instead. The caller keeps those, or
+    builds the ranges they belong to again.
     """
     keys = ("line", "train_no")
-    known = counted_broadcast(
-        last_seen.select(
-            F.col("line").alias("__l"), F.col("train_no").alias("__t"), F.col("recptn_ts").alias("__at")
-        ),
-        p,
-    )
-    fresh = (
-        sightings(new_rows)
-        .join(known, F.col("line").eqNullSafe(F.col("__l")) & (F.col("train_no") == F.col("__t")), "left")
-        .where(F.col("__at").isNull() | (F.col("recptn_ts") >= F.col("__at")))
-        .drop("__l", "__t", "__at")
-        .withColumn("__old", F.lit(False))
-    )
+    after = F.col("__at").isNull() | (_order(ties) > F.col("__at"))
+    fresh = _against(new_rows, last_seen, ties, p).where(after).drop("__at").withColumn("__old", F.lit(False))
     both = fresh.unionByName(last_seen.withColumn("__old", F.lit(True)), allowMissingColumns=True)
     return _changes(both, keys, ties, p, only=~F.col("__old"))
 
 
+def late_sightings(
+    new_rows: DataFrame,
+    last_seen: DataFrame,
+    ties: Sequence[str] = DEFAULT_TIES,
+    p: Params = Params(),
+) -> DataFrame:
+    """The sightings that :func:`arrivals_since` cannot place: not after the last one of their key."""
+    return _against(new_rows, last_seen, ties, p).where(_order(ties) <= F.col("__at")).drop("__at")
+
+
+def _order(ties: Sequence[str]):
+    """A sighting's place in its key's order; NULL ties come first, as in a sort."""
+    return F.struct("recptn_ts", *ties)
+
+
+def _against(new_rows: DataFrame, last_seen: DataFrame, ties: Sequence[str], p: Params) -> DataFrame:
+    """Sightings with ``__at``, the place of the last one of their key."""
+    known = counted_broadcast(
+        last_seen.select(F.col("line").alias("__l"), F.col("train_no").alias("__t"), _order(ties).alias("__at")), p
+    )
+    same = F.col("line").eqNullSafe(F.col("__l")) & (F.col("train_no") == F.col("__t"))
+    return sightings(new_rows).join(known, same, "left").drop("__l", "__t")
+
+
 def last_sightings(
     log: DataFrame, ties: Sequence[str] = DEFAULT_TIES, earlier: DataFrame | None = None
 ) -> DataFrame:

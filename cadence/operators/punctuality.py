@@ -121,8 +121,11 @@ def service_vs_plan(table: DataFrame, p: Params = Params()) -> DataFrame:
     )
 
 
-def nearest_spans(timetable: DataFrame) -> DataFrame:
-    """For every planned time, the stretch of the day to which it is nearest.
+def nearest_spans(timetable: DataFrame, p: Params = Params()) -> DataFrame:
+    """For every planned time, the stretch of the service day to which it is nearest.
+
+    A service day runs from ``service_day_start_sec`` to the same second after 24:00. A planned
+    time before its start stands for the one after midnight.
 
     The stretches of one ``(station, direction, week tag)`` tile the day: each
     second belongs to exactly one planned time (the earlier one on a tie). They are
@@ -131,19 +134,19 @@ def nearest_spans(timetable: DataFrame) -> DataFrame:
     """
     keys = ("station_nm", "inout_tag", "week_tag")
     w = Window.partitionBy(*keys).orderBy("arrive_sec")
-    at = F.col("arrive_sec")
+    at, start = F.col("arrive_sec"), p.service_day_start_sec
     spans = (
-        timetable.select(*keys, "arrive_sec")
+        timetable.select(*keys, F.when(at < start, at + DAY_SEC).otherwise(at).alias("arrive_sec"))
         .distinct()
         .select(
             *keys,
             "arrive_sec",
-            F.coalesce(F.lag(at).over(w) + at, F.lit(-1)).alias("lo2"),
-            F.coalesce(at + F.lead(at).over(w), F.lit(2 * DAY_SEC)).alias("hi2"),
+            F.coalesce(F.lag(at).over(w) + at, F.lit(2 * start - 1)).alias("lo2"),
+            F.coalesce(at + F.lead(at).over(w), F.lit(2 * (start + DAY_SEC))).alias("hi2"),
         )
     )
-    first = F.greatest(F.floor((F.col("lo2") + 1) / 7200), F.lit(0))
-    last = F.least(F.floor(F.col("hi2") / 7200), F.lit(23))
+    first = F.greatest(F.floor((F.col("lo2") + 1) / 7200), F.lit(start // 3600))
+    last = F.least(F.floor(F.col("hi2") / 7200), F.lit((start + DAY_SEC - 1) // 3600))
     return spans.where(first <= last).withColumn("hour_no", F.explode(F.sequence(first, last)))
 
 
@@ -157,13 +160,15 @@ def nearest_plan_delay(
     nested loop, one match per arrival, and the arrivals are not shuffled while the
     timetable stays under the broadcast limit.
     """
-    spans = counted_broadcast(nearest_spans(timetable), p)
-    actual = label_arrivals(arrived, p).withColumn("actual_sec", second_of_day("arrival_ts"))
+    spans = counted_broadcast(nearest_spans(timetable, p), p)
+    start = p.service_day_start_sec
+    in_day = F.col("arrival_ts") - F.make_dt_interval(secs=F.lit(start).cast("decimal(18,6)"))
+    actual = label_arrivals(arrived, p).withColumn("actual_sec", second_of_day(in_day) + start)
     actual = actual.withColumns(
         {
-            "hour_no": F.hour("arrival_ts").cast("bigint"),
+            "hour_no": F.floor(F.col("actual_sec") / 3600),
             "inout_tag": L.inout_tag(),
-            "week_tag": L.week_tag(F.col("day_type"), p),
+            "week_tag": L.week_tag(L.day_type(in_day, p), p),
             "station_nm": F.col("statn_nm"),
         }
     )

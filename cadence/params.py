@@ -101,6 +101,8 @@ class Params:
     ``hot_key_rows`` is the largest number of rows one window partition may hold
     before it is cut into time slices (see ``operators.ordered``).
     ``broadcast_rows`` is the largest counted side that gets a broadcast hint.
+    ``service_day_start_sec`` is the second of the day at which a timetable's day
+    begins; earlier arrivals belong to the day before, after its 24:00.
     ``feed_zone`` is the zone of the zone-less receipt strings; ``None`` means the
     session time zone.
     """
@@ -118,6 +120,7 @@ class Params:
     on_time_ratio: float = 1.15
     late_ratio: float = 1.5
     late_after_sec: int = 60
+    service_day_start_sec: int = 10_800
     feed_zone: str | None = None
     hot_key_rows: int = 4_000_000
     broadcast_rows: int = 200_000

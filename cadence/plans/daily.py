@@ -1,13 +1,19 @@
-"""Date-bounded builds: one day's rows at a time, same results as a full run.
+"""Date-bounded builds: one range of log rows at a time, same results as a full run.
 
 Three small tables carry the past: the last sighting per train, the last arrival
-per station and direction (one per service), and the headway histogram. A daily run
-reads that day's log partitions only; the mart is recomputed from the histogram.
+per station and direction (one per service), and the headway histogram. A run reads
+its own log rows only; the mart is recomputed from the histogram.
+
+Each range is one commit that names it, so a run that broke off has changed nothing and a
+range that is there is not added again. Rows that come late (or are replayed under another range)
+are never lost: the ranges from the first one they touch are built again from their stored
+sightings and the state before them, in the same commit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,11 +21,14 @@ from pyspark.sql import functions as F
 from cadence.operators import arrivals as A
 from cadence.operators import headway as H
 from cadence.params import Params
+from cadence.sources.staging import stage
 from cadence.sources.store import MartStore
 
 SEEN = "state/last_sightings"
 LAST = "state/last_arrivals"
 HIST = "state/headway_histogram"
+RANGES = "state/ranges"
+SIGHTINGS = "silver/sightings"
 ARRIVALS = "silver/arrivals"
 MART = "staging/headway_by_station_tod"
 
@@ -57,34 +66,79 @@ def headways_since(
 
 def run_day(
     store: MartStore,
+    range_id: str,
     log: DataFrame,
     express: DataFrame,
     ties: Sequence[str] = A.DEFAULT_TIES,
     arrival_ties: Sequence[str] = H.DEFAULT_TIES,
     p: Params = Params(),
-) -> None:
-    """Add one date range of log rows, in date order.
+) -> bool:
+    """Add one range of log rows, in date order; False when the range is there already.
 
     ``express`` lists the lines with express service. It is a property of the
     network here, not of the day: a full run finds it in the data, and would split a
     line's whole history once its first express train was seen.
     """
-    known = set(r[0] for r in store.heads().select("mart").collect())  # one row per mart
-    if SEEN in known:
-        before = store.read(SEEN)
-        arrived = A.arrivals_since(log, before, ties, p)
-    else:
-        before, arrived = None, A.arrivals(log, ties, p)
-    store.write_all({ARRIVALS: arrived, SEEN: A.last_sightings(log, ties, before)})
-    arrived = store.read(ARRIVALS)
+    live = live_ranges(store)
+    if any(range_id in r["ids"] for r in live):
+        return False
+    rows, ids = stage(A.sightings(log), "sightings"), [range_id]
+    if live:
+        late = A.late_sightings(rows, store.read(SEEN, live[-1]["version"]), ties, p)
+        first = late.agg(F.min("recptn_ts")).first()[0]
+        again = [r for r in live if first is not None and r["newest"] is not None and r["newest"] >= first]
+        for r in again:
+            ids = [*r["ids"], *ids]
+            rows = rows.unionByName(store.read(f"{SIGHTINGS}/{r['name']}", r["version"]))
+        if again:
+            live = live[: live.index(again[0])]
+            rows = stage(rows.dropDuplicates(), "sightings")
 
-    if LAST in known:
-        last = store.read(LAST)
+    version = store.next_version()
+    if live:
+        at = live[-1]["version"]
+        before, last = store.read(SEEN, at), store.read(LAST, at)
+        arrived = stage(A.arrivals_since(rows, before, ties, p), "arrived")
         fresh = H.headway_histogram(headways_since(arrived, last, express, arrival_ties, p))
-        hist = H.merge_histograms(store.read(HIST), fresh)
+        hist = H.merge_histograms(store.read(HIST, at), fresh)
         newest = last_arrivals(arrived.unionByName(last), arrival_ties, p)
     else:
+        before = None
+        arrived = stage(A.arrivals(rows, ties, p), "arrived")
         hist = H.headway_histogram(H.headways(arrived, arrival_ties, p, express=express))
         newest = last_arrivals(arrived, arrival_ties, p)
-    store.write_all({HIST: hist, LAST: newest})
-    store.write(MART, H.mart_from_histogram(store.read(HIST), p))
+    hist = stage(hist, "histogram")
+    name = f"{version:08d}"
+    until = rows.agg(F.max("recptn_ts")).first()[0]
+    table = [(r["name"], r["version"], r["ids"], r["newest"]) for r in live]
+    ranges = store.spark.createDataFrame([*table, (name, version, ids, until)], RANGES_DDL)
+    store.write_all(
+        {
+            f"{ARRIVALS}/{name}": arrived,
+            f"{SIGHTINGS}/{name}": rows,
+            SEEN: A.last_sightings(rows, ties, before),
+            LAST: newest,
+            HIST: hist,
+            MART: H.mart_from_histogram(hist, p),
+            RANGES: ranges.coalesce(1),
+        },
+        f"range {range_id}",
+    )
+    return True
+
+
+RANGES_DDL = "name string, version bigint, ids array<string>, newest timestamp"
+
+
+def live_ranges(store: MartStore) -> list:
+    """The committed ranges in order, one row per build."""
+    try:
+        return store.read(RANGES).orderBy("name").collect()
+    except LookupError:
+        return []
+
+
+def read_arrivals(store: MartStore) -> DataFrame:
+    """All arrivals of all ranges."""
+    parts = [store.read(f"{ARRIVALS}/{r['name']}", r["version"]) for r in live_ranges(store)]
+    return reduce(DataFrame.unionByName, parts)

@@ -38,18 +38,37 @@ def write(
     )
 
 
-def audit(store: MartStore, p: Params = Params(), where: dict[str, str] = STAGED) -> DataFrame:
-    """Check both marts; raises :class:`AuditFailed` when any rule does not hold."""
-    report = Q.audit(store.read(where["headway"]), store.read(where["freshness"]), p)
+def staged_versions(store: MartStore) -> dict[str, int]:
+    """The versions that the staged marts are at."""
+    heads = {r["mart"]: r["version"] for r in store.heads().select("mart", "version").collect()}  # one row per mart
+    return {m: heads[m] for m in STAGED.values()}
+
+
+def audit(
+    store: MartStore,
+    p: Params = Params(),
+    where: dict[str, str] = STAGED,
+    versions: dict[str, int] | None = None,
+) -> DataFrame:
+    """Check both marts (at ``versions``); raises :class:`AuditFailed` when any rule does not hold."""
+    at = versions or {}
+    read = lambda k: store.read(where[k], at.get(where[k]))
+    report = Q.audit(read("headway"), read("freshness"), p)
     failed = report.where("NOT ok").collect()  # at most one row per rule
     if failed:
         raise AuditFailed("audit", failed)
     return report
 
 
-def publish(store: MartStore) -> None:
-    """Move both served marts to the audited versions in one commit."""
-    store.publish({SERVED[k]: STAGED[k] for k in SERVED})
+def publish(store: MartStore, versions: dict[str, int] | None = None, p: Params = Params()) -> None:
+    """Move both served marts to the audited versions in one commit.
+
+    Without the versions that an audit has passed, the staged ones are audited here.
+    """
+    if versions is None:
+        versions = staged_versions(store)
+        audit(store, p, versions=versions)
+    store.publish({SERVED[k]: STAGED[k] for k in SERVED}, versions)
 
 
 def validate(store: MartStore) -> DataFrame:
@@ -74,14 +93,19 @@ def run(
     """One stage by name, or all of them in order. A failing gate stops the rest."""
     if stage not in (*STAGES, "all"):
         raise ValueError(f"unknown stage {stage}")
-    steps = {
-        "write": lambda: write(store, arrived, log, ties, p),
-        "audit": lambda: audit(store, p),
-        "publish": lambda: publish(store),
-        "validate": lambda: validate(store),
-    }
-    for name in STAGES if stage == "all" else (stage,):
-        steps[name]()
+    def audited() -> dict[str, int]:
+        versions = staged_versions(store)
+        audit(store, p, versions=versions)
+        return versions
+
+    if stage in ("write", "all"):
+        write(store, arrived, log, ties, p)
+    if stage in ("audit", "publish", "all"):
+        versions = audited()
+        if stage != "audit":
+            publish(store, versions)
+    if stage in ("validate", "all"):
+        validate(store)
 
 
 def build_direct(

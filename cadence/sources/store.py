@@ -1,6 +1,6 @@
 """Versioned marts on plain Parquet.
 
-A mart version is an immutable directory ``<root>/<mart>/v=<n>``. A commit is one
+A mart version is an immutable directory ``<root>/<mart>/v=<n>/attempt-<id>``. A commit is one
 small JSON file in ``<root>/_commits`` whose rows say which directory each mart
 points at from now on. Readers follow the newest row of their mart, so publishing,
 rolling back and emptying are commits, never rewrites in place, and several marts
@@ -9,6 +9,7 @@ move together in one commit. One publisher writes at a time.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -23,6 +24,10 @@ COMMIT = (
 RECORDS = "total-records"  # summary key
 
 
+class StaleVersion(RuntimeError):
+    """A mart moved on between its check and its publication."""
+
+
 class MartStore:
     """Marts under one root. Any session that can read the root sees the same heads."""
 
@@ -76,11 +81,11 @@ class MartStore:
 
     def write_all(self, marts: Mapping[str, DataFrame], operation: str = "replace") -> dict[str, int]:
         """Write new versions of several marts, then move all of them in one commit."""
-        number = self._next()
+        number = self.next_version()
         rows, versions = [], {}
         for mart, df in marts.items():
             version = number
-            path = f"{self.root}/{mart}/v={version}"
+            path = self._attempt(mart, version)
             seen = Observation()
             df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
             rows.append((mart, version, operation, seen.get["n"], path, _ddl(df)))
@@ -88,12 +93,18 @@ class MartStore:
         self._commit(number, rows)
         return versions
 
-    def publish(self, moves: Mapping[str, str]) -> None:
-        """Point each key mart at the version its value mart points at, all in one commit."""
-        number = self._next()
+    def publish(self, moves: Mapping[str, str], versions: Mapping[str, int] | None = None) -> None:
+        """Point each key mart at the version its value mart points at, all in one commit.
+
+        ``versions`` (of the value marts) are those that were checked: where a mart has moved
+        on since, nothing is published.
+        """
+        number = self.next_version()
         rows = []
         for target, source in moves.items():
             r = self._row(source, None)
+            if versions is not None and r["version"] != versions[source]:
+                raise StaleVersion(f"{source} is at version {r['version']}, version {versions[source]} was checked")
             rows.append((target, r["version"], "publish", r["records"], r["path"], r["fields"]))
         self._commit(number, rows)
 
@@ -107,15 +118,15 @@ class MartStore:
         """Point the mart at an older version; row counts before and after."""
         head, old = self._row(mart, None), self._row(mart, version)
         self._commit(
-            self._next(),
+            self.next_version(),
             [(mart, old["version"], "rollback", old["records"], old["path"], old["fields"])],
         )
         return head["records"], old["records"]
 
     def compact(self, mart: str, target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
         """Rewrite the current version into fewer files as a new version."""
-        head, number = self._row(mart, None), self._next()
-        path = f"{self.root}/{mart}/v={number}"
+        head, number = self._row(mart, None), self.next_version()
+        path = self._attempt(mart, number)
         stats = compact(self.read(mart), path, target_bytes=target_bytes)
         done = stats.first()
         if not done["rows_unchanged"]:
@@ -134,7 +145,12 @@ class MartStore:
             raise LookupError(f"no version {version if version is not None else ''} of mart {mart}")
         return row
 
-    def _next(self) -> int:
+    def _attempt(self, mart: str, version: int) -> str:
+        """A folder of its own for each attempt: what a crash left before its commit is in nobody's way."""
+        return f"{self.root}/{mart}/v={version}/attempt-{uuid.uuid4().hex}"
+
+    def next_version(self) -> int:
+        """The number that the next commit and all versions in it get."""
         return (self.commits().agg(F.max("commit")).first()[0] or 0) + 1
 
     def _commit(self, number: int, rows: list[tuple]) -> None:

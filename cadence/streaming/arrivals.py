@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cadence.operators.arrivals import DEFAULT_TIES, arrivals, arrivals_since, last_sightings
+from cadence.operators.arrivals import DEFAULT_TIES, arrivals, arrivals_since, last_sightings, late_sightings
 from cadence.params import Params
 
 
@@ -28,7 +28,11 @@ def stream_arrivals(
     every: str = "30 seconds",
     p: Params = Params(),
 ) -> StreamingQuery:
-    """Start the query; arrivals land in ``out``, one folder per micro-batch."""
+    """Start the query; arrivals land in ``out``, one folder per micro-batch.
+
+    Rows that come after a later one of their train (replays are such rows) are no arrivals; they
+    are kept in ``late_path(out)``, to be counted and built in by the daily run.
+    """
 
     def advance(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -39,6 +43,9 @@ def stream_arrivals(
                 before = spark.read.parquet(f"{state}/batch={batch_id - 1}")
             found = arrivals(rows, ties, p) if before is None else arrivals_since(rows, before, ties, p)
             found.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+            if before is not None:
+                late = late_sightings(rows, before, ties, p).drop("recptn_ts")
+                late.write.mode("overwrite").parquet(f"{late_path(out)}/batch={batch_id}")
             last_sightings(rows, ties, before).write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
         finally:
             rows.unpersist()
@@ -48,5 +55,9 @@ def stream_arrivals(
     return writer.start()
 
 
+def late_path(out: str) -> str:
+    return f"{out}-late"
+
+
 def read_arrivals(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.option("basePath", out).parquet(out).drop("batch").where(F.col("statn_id").isNotNull())

@@ -155,3 +155,10 @@ def test_seed_is_relative_to_the_newest_receipt(spark):
     base = 1_769_904_000
     got = {(r.line, r.updn_line): r.last_seen_sec - base for r in W.seed_from_current(cur, now, P).collect()}
     assert got == {("a", "0"): -120, ("b", "1"): 0}
+
+
+def test_null_keys_are_throttled_like_others(spark):
+    rows = [(k, t) for k in ("a", None) for t in ("2026-07-20 08:00:00", "2026-07-20 08:01:00", "2026-07-20 09:00:00")]
+    df = spark.createDataFrame(rows, "line string, t string").selectExpr("line", "CAST(t AS TIMESTAMP) AS window_end")
+    kept = AL.throttle(df, ["line"], "window_end", 300)
+    assert sorted(str(r["line"]) for r in kept.collect()) == ["None", "None", "a", "a"]

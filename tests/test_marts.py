@@ -10,7 +10,7 @@ from cadence.operators import headway as H
 from cadence.operators import quality as Q
 from cadence.plans import daily, wap
 from cadence.sources.staging import stage
-from cadence.sources.store import MartStore
+from cadence.sources.store import MartStore, StaleVersion
 from cadence.workload import fixture as X
 from cadence.workload.registered import GAP_TIES
 
@@ -127,8 +127,27 @@ def test_daily_runs_equal_one_run(spark, folder, layers):
     express = H.express_lines(H.label_arrivals(arrived, P), P)
     for lo, hi in (("", "2024-01-09"), ("2024-01-09", "2024-01-20"), ("2024-01-20", "9")):
         part = log.where((F.col("dt") >= lo) & (F.col("dt") < hi))
-        daily.run_day(store, part, express, X.TIES, GAP_TIES, P)
+        assert daily.run_day(store, lo or "start", part, express, X.TIES, GAP_TIES, P)
+        assert not daily.run_day(store, lo or "start", part, express, X.TIES, GAP_TIES, P)
     assert as_set(store.read(daily.MART)) == as_set(mart)
+    # a replay of finished days under another name changes nothing
+    daily.run_day(store, "replay", log.where("dt < '2024-01-12'"), express, X.TIES, GAP_TIES, P)
+    assert as_set(store.read(daily.MART)) == as_set(mart)
+    assert as_set(daily.read_arrivals(store)) == as_set(arrived)
+
+
+def test_crash_before_a_commit_and_stale_versions(spark, folder, layers):
+    mart, store = layers[2], MartStore(spark, folder)
+    store._commit, commit = (lambda *a: (_ for _ in ()).throw(OSError("lost"))), store._commit
+    with pytest.raises(OSError):
+        store.write("m", mart)
+    store._commit = commit
+    assert store.write("m", mart.limit(3)) == 1 and store.read("m").count() == 3
+    store.write("m", mart.limit(2))
+    with pytest.raises(StaleVersion):
+        store.publish({"gold": "m"}, {"m": 1})
+    store.publish({"gold": "m"}, {"m": 2})
+    assert store.read("gold").count() == 2
 
 
 def test_freshness_gaps(spark):

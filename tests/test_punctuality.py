@@ -30,14 +30,23 @@ def test_nearest_plan_equals_brute_force(spark):
     got = {r.train_no: (r.planned_sec, r.delay_sec) for r in P.nearest_plan_delay(df.drop("day", "s"), tt, BASE).collect()}
     tag = {"2026-07-20": "1", "2026-07-18": "2", "2026-07-19": "3", "2026-07-17": "3"}
     want = {}
+    eve = {"2026-07-20": "3", "2026-07-18": "3", "2026-07-19": "2", "2026-07-17": "1"}  # the day before each
     for _, train, _, st, updn, _, day, s in rows:
-        times = [t for n, i, w, t in plan if (n, i, w) == (st, "1" if updn == "0" else "2", tag[day])]
+        kind, s = (eve[day], s + 86_400) if s < 10_800 else (tag[day], s)
+        times = [t for n, i, w, t in plan if (n, i, w) == (st, "1" if updn == "0" else "2", kind)]
         if times:
             best = min(times, key=lambda t: (abs(s - t), t))
             want[train] = (best, s - best)
     assert got == want
 
 
+def test_after_midnight_belongs_to_the_day_before(spark):
+    tt = spark.createDataFrame([("A", "1", "1", 24 * 3600 + 600), ("A", "1", "1", 5 * 3600)], "station_nm string, inout_tag string, week_tag string, arrive_sec long")
+    row = spark.createDataFrame([("9호선", "T", "x", "A", "0", "0", "2026-07-21 00:11:00")], "line string, train_no string, statn_id string, statn_nm string, updn_line string, direct_at string, t string")
+    (r,) = P.nearest_plan_delay(row.withColumn("arrival_ts", F.to_timestamp("t")).drop("t"), tt, BASE).collect()
+    assert (r.planned_sec, r.delay_sec) == (87_000, 60)
+
+
 def test_zero_plan_falls_to_the_worst_class(spark):
     mart = spark.createDataFrame(
         [("9호선", "A", "상행", "전체", "출근", "평일", 9, v, 0.1) for v in (276, 360, 361)]
