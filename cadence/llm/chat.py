@@ -33,6 +33,7 @@ TRAINED = "assistant"
 PART_CHARS = 1 << 20
 #: The control strings of the template.
 OPEN, CLOSE, OPEN_TRAINED, CLOSE_TRAINED = "[INST]", "[/INST]", "<s>", "</s>"
+_RAW = re.compile(r"\[/?INST\]|</?s>")
 _CONTROL = re.compile(r"(\[|<)(\\*)(?=/?INST\]|/?s>)")
 _ESCAPED = re.compile(r"(\[|<)(\\*)\\(?=/?INST\]|/?s>)")
 PARTS = "conv_id long, part long, n_turns long, text string, mask array<struct<start:long,end:long>>"
@@ -73,6 +74,8 @@ def parse(rendered: str) -> list[tuple[str, str, int, int]]:
         end = rendered.find(close, line + 1)
         if line < 0 or end < 0:
             raise ValueError(f"the turn at {at} does not end")
+        if _RAW.search(rendered, begin, end):
+            raise ValueError(f"a control string stands inside the turn at {at}")
         role = role_of(unescape(rendered[begin:line]))
         if (role == TRAINED) != (close == CLOSE_TRAINED):
             raise ValueError(f"the turn at {at} has another role's marks")
