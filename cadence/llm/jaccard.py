@@ -176,7 +176,11 @@ def _overlap(a: Column, b: Column) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
-    """The pairs (a, b) of tags that link. The sets of b are dealt to a's, in salted blocks of about 64 members."""
+    """The pairs (a, b) of tags: linked, and between which lo and hi their Jaccard distance lies.
+
+    The sets of b are dealt to a's, in salted blocks of about 64 members. Where the bound by counts rules a link out,
+    it stands for the overlap, and the distance has no upper limit.
+    """
     many = stage(pairs.groupBy("a").agg(F.count("*").alias("of_a")), "many")
     pairs = pairs.join(many, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("of_a") / 64)))
     pairs = stage(pairs.select("a", "b", "salt"), "dealt")
@@ -186,7 +190,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, centres = None, []
         for batch in batches:
-            found: list[tuple[int, int]] = []
+            found: list[tuple] = []
             columns = [batch[c].to_pylist() for c in ("a", "salt", "kind", "own", "members")]
             counts = batch["counts"].flatten().to_numpy().reshape(-1, GROUPS)
             for i, (a, salt, kind, own, raw) in enumerate(zip(*columns, strict=True)):
@@ -197,38 +201,44 @@ def _verified(pairs: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
                     centres.append((s, counts[i].copy()))
                     continue
                 for c, vector in centres:
-                    joint = len(c) + len(s)
-                    if bound.links(np.minimum(vector, counts[i]).sum(), joint) and bound.links(joint - len(np.union1d(c, s)), joint):
-                        found.append((a, own))
-                        break
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else ([], []))], ["a", "b"])
+                    joint, overlap = len(c) + len(s), int(np.minimum(vector, counts[i]).sum())
+                    if may := bool(bound.links(overlap, joint)):
+                        overlap = joint - len(np.union1d(c, s))
+                    lo = 1 - overlap / max(joint - overlap, 1)
+                    found.append((a, own, may and bool(bound.links(overlap, joint)), lo, lo if may else 1.0))
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True) if found else [[]] * 5, kinds, strict=True)], ["a", "b", "linked", "lo", "hi"])
 
     dealt = left.unionByName(right).repartition("a", "salt").sortWithinPartitions("a", "salt", "kind")
-    return dealt.mapInArrow(check, "a long, b long").distinct()
+    rows = dealt.mapInArrow(check, "a long, b long, linked boolean, lo double, hi double")
+    return rows.groupBy("a", "b").agg(F.max("linked").alias("linked"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
 def _boxed_pairs(members: DataFrame, bound: Bound) -> DataFrame:
     """Pairs of tags in one cell, of different components, that the boxes and then the points allow.
 
-    members: cell, tag, label, n, counts.
+    members: cell, tag, label, n, counts, and lo and hi, the limits of the distance to the cell's centre. Jaccard distance is a
+    metric, so two points whose distances to the centre differ by more than a link allows don't link.
     """
+    far = 1 - bound.percent / 100 + 1e-9
     # leaves of one component lie together, so most pairs of boxes can be told to hold nothing new
-    own = Window.partitionBy("cell").orderBy("label", "n", "tag")
+    own = Window.partitionBy("cell").orderBy("label", "lo", "n", "tag")
     leaf = stage(members.withColumn("leaf", F.floor((F.row_number().over(own) - 1) / LEAF)), "leaves")
     corners = [F.max(F.col("counts")[i]).alias(f"c{i}") for i in range(GROUPS)]
-    boxes = leaf.groupBy("cell", "leaf").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("label").alias("low"), F.max("label").alias("high"), *corners)
-    boxes = stage(boxes.select("cell", "leaf", "least", "most", "low", "high", F.array(*(f"c{i}" for i in range(GROUPS))).alias("corner")), "boxes")
+    boxes = leaf.groupBy("cell", "leaf").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("label").alias("low"), F.max("label").alias("high"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), *corners)
+    boxes = stage(boxes.select("cell", "leaf", "least", "most", "low", "high", "lo", "hi", F.array(*(f"c{i}" for i in range(GROUPS))).alias("corner")), "boxes")
     # 100 overlap >= percent (a + b - overlap)
     allowed = lambda overlap, joint: (100 + bound.percent) * overlap >= bound.percent * joint
-    a, b = (boxes.select("cell", *(F.col(c).alias(f"{c}_{s}") for c in ("leaf", "least", "most", "low", "high", "corner"))) for s in "ab")
+    a, b = (boxes.select("cell", *(F.col(c).alias(f"{c}_{s}") for c in ("leaf", "least", "most", "low", "high", "lo", "hi", "corner"))) for s in "ab")
     one = lambda low, high: (F.col("low_b") == F.col("high_b")) & (F.col(low) == F.col("low_b")) & (F.col(high) == F.col("low_b"))
+    close = lambda lo_a, hi_a, lo_b, hi_b: (F.col(lo_a) - F.col(hi_b) <= far) & (F.col(lo_b) - F.col(hi_a) <= far)
     bound_boxes = (100 * F.col("most_a") >= bound.percent * F.col("least_b")) & allowed(_overlap(F.col("corner_a"), F.col("corner_b")), F.col("least_a") + F.col("least_b"))
-    near = a.join(b, (a["cell"] == b["cell"]) & (F.col("leaf_a") <= F.col("leaf_b")) & ~one("low_a", "high_a") & bound_boxes)
-    near = near.select(a["cell"], "leaf_a", "leaf_b", "least_b", "low_b", "high_b", "corner_b")
-    p, q = (leaf.select(F.col("cell").alias(f"cell_{s}"), *(F.col(c).alias(f"{c}_{s}") for c in ("tag", "label", "n", "counts")), F.col("leaf").alias(f"of_{s}")) for s in "ab")
-    half = near.join(p, (F.col("cell") == F.col("cell_a")) & (F.col("leaf_a") == F.col("of_a")) & ~one("label_a", "label_a") & allowed(_overlap(F.col("counts_a"), F.col("corner_b")), F.col("n_a") + F.col("least_b")))
-    half = half.select("cell", "leaf_a", "leaf_b", "tag_a", "label_a", "n_a", "counts_a")
-    pairs = half.join(q, (F.col("cell") == F.col("cell_b")) & (F.col("leaf_b") == F.col("of_b")) & (F.col("label_a") != F.col("label_b")) & ((F.col("leaf_a") < F.col("leaf_b")) | (F.col("tag_a") < F.col("tag_b"))) & allowed(_overlap(F.col("counts_a"), F.col("counts_b")), F.col("n_a") + F.col("n_b")))
+    near = a.join(b, (a["cell"] == b["cell"]) & (F.col("leaf_a") <= F.col("leaf_b")) & ~one("low_a", "high_a") & close("lo_a", "hi_a", "lo_b", "hi_b") & bound_boxes)
+    near = near.select(a["cell"], "leaf_a", "leaf_b", "least_b", "low_b", "high_b", F.col("lo_b").alias("lo_box"), F.col("hi_b").alias("hi_box"), "corner_b")
+    p, q = (leaf.select(F.col("cell").alias(f"cell_{s}"), *(F.col(c).alias(f"{c}_{s}") for c in ("tag", "label", "n", "lo", "hi", "counts")), F.col("leaf").alias(f"of_{s}")) for s in "ab")
+    half = near.join(p, (F.col("cell") == F.col("cell_a")) & (F.col("leaf_a") == F.col("of_a")) & ~one("label_a", "label_a") & close("lo_a", "hi_a", "lo_box", "hi_box") & allowed(_overlap(F.col("counts_a"), F.col("corner_b")), F.col("n_a") + F.col("least_b")))
+    half = half.select("cell", "leaf_a", "leaf_b", "tag_a", "label_a", "n_a", "lo_a", "hi_a", "counts_a")
+    pairs = half.join(q, (F.col("cell") == F.col("cell_b")) & (F.col("leaf_b") == F.col("of_b")) & (F.col("label_a") != F.col("label_b")) & close("lo_a", "hi_a", "lo_b", "hi_b") & ((F.col("leaf_a") < F.col("leaf_b")) | (F.col("tag_a") < F.col("tag_b"))) & allowed(_overlap(F.col("counts_a"), F.col("counts_b")), F.col("n_a") + F.col("n_b")))
     return pairs.select(F.least("tag_a", "tag_b").alias("a"), F.greatest("tag_a", "tag_b").alias("b")).distinct()
 
 
@@ -254,17 +264,19 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
 
     wanted = stage(classes.select(F.col("rep").alias("doc_id"), F.col("f1").alias("tag")).join(degree.select("tag"), "tag"), "wanted")
     known = stage(_with_sets(docs, wanted, n), "sets")
-    links = stage(_verified(star, known, bound), "links")
+    checked = stage(_verified(star, known, bound), "checked")
+    links = checked.filter("linked").select("a", "b")
 
     # cells that still hold several components, beyond the pairs just verified
     label = components(links)
     labelled = members.join(label, F.col("tag") == F.col("node"), "left").select("cell", "tag", F.coalesce("label", "tag").alias("label"))
     labelled = stage(labelled, "labelled")
     open_ = labelled.join(centre, "cell").filter("a != tag").groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("cell")
-    rest = labelled.join(stage(open_, "open"), "cell").join(known.select("tag", "n", "counts"), "tag")
+    rest = labelled.join(stage(open_, "open"), "cell").join(centre, "cell").filter("a != tag")
+    rest = rest.join(checked.select("a", F.col("b").alias("tag"), "lo", "hi"), ["a", "tag"]).join(known.select("tag", "n", "counts"), "tag")
     pairs = stage(_boxed_pairs(stage(rest, "rest"), bound).join(star.select("a", "b").union(star.select("b", "a")), ["a", "b"], "left_anti"), "pairs")
     if not pairs.isEmpty():
-        links = stage(links.union(_verified(pairs, known, bound)), "links")
+        links = stage(links.union(_verified(pairs, known, bound).filter("linked").select("a", "b")), "links")
         label = components(links)
 
     reps = classes.join(label, F.col("f1") == F.col("node"), "left").select("n_shingles", "f1", "f2", "rep", F.coalesce("label", "f1").alias("label"))
