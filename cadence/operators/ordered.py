@@ -3,16 +3,20 @@
 ``lag`` over ``PARTITION BY key`` sorts each key in a single task. That is fine
 for ordinary keys and hopeless for a key with billions of rows. A pre-aggregated
 pass therefore counts rows per key first. Where no key exceeds
-``Params.hot_key_rows`` the plain window is used. Otherwise:
-
-1. rows of hot keys get a time-slice number, all other rows get NULL, and the
-   window runs over ``key + slice``: one shuffle, as for the plain window;
-2. the last row of every slice is found by a pre-aggregated ``max_by`` and handed
-   to the first row of the next non-empty slice.
-
-The result equals the plain window row for row. The hot keys are counted before
-they are broadcast, and the limit is raised until they fit; a key with ``n`` rows
-gets at most ``n / limit + 2`` slices, so the slice edges are bounded likewise.
+``Params.hot_key_rows`` the plain window is used. Otherwise the rows of the other
+keys take the plain window, and those of hot keys are cut by rank:
+
+1. they are dealt by range of key and whole order, tie columns included, into as
+   many slices as ``hot_key_rows`` goes into their count. Spark draws the cuts from
+   a sample of the rows, so slices follow the rows and not the clock: bursts,
+   outliers and a single crowded second give slices of about the limit. The slices
+   are written once, which fixes them for every later reader;
+2. the last row of every group and slice is found by a pre-aggregated ``max_by``;
+   the last one before a slice enters that slice as a marker ahead of its rows;
+3. one window over ``key + slice`` then reads rows and markers alike.
+
+The result equals the plain window row for row. Rows equal in all of the order
+stay together, as nothing tells them apart.
 """
 
 from __future__ import annotations
@@ -23,9 +27,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadence.operators.sides import counted_broadcast
 from cadence.params import Params
+from cadence.sources.staging import stage
 
-_SLICE = "__slice"
+_SLICE, _EDGE, _VIEW = "__slice", "__edge", "__view"
 
 
 def with_previous(
@@ -34,7 +40,6 @@ def with_previous(
     order: Sequence[str],
     carry: Sequence[str],
     views: Mapping[str, Sequence[str]] | None = None,
-    position: Column | None = None,
     p: Params = Params(),
 ) -> DataFrame:
     """Add one struct column of ``carry`` values per entry of ``views``.
@@ -42,79 +47,70 @@ def with_previous(
     ``views`` maps an output column to extra partition columns, so that
     ``{"prev": (), "prev_same": ("svc",)}`` gives the previous row of the key and
     the previous row of the key with the same ``svc``. All views share the shuffle
-    on ``keys``. The struct is NULL on the first row of a partition. ``position``
-    is the number that slices are cut on; by default the first order column as
-    epoch seconds.
+    on ``keys``. The struct is NULL on the first row of a partition.
     """
     views = views or {"prev": ()}
-    if position is None:
-        position = F.unix_timestamp(order[0])
-    at = position.cast("bigint")
-    payload = F.struct(*carry)
-    hot = _hot_keys(df, keys, at, p)
+    hot = _hot_keys(df, keys, p)
     if hot is None:
-        for name, extra in views.items():
-            w = Window.partitionBy(*keys, *extra).orderBy(*order)
-            df = df.withColumn(name, F.lag(payload).over(w))
-        return df
+        return _plain(df, keys, order, carry, views)
+    side = counted_broadcast(hot.select(*_as_match(keys)), p)
+    cold = df.join(side, _same_key(keys), "left_anti")
+    rows = df.join(side, _same_key(keys), "left_semi")
+    sliced = _sliced(rows, hot.agg(F.sum("__n")).first()[0], keys, order, p)
+    return _plain(cold, keys, order, carry, views).unionByName(
+        _stitched(sliced, keys, order, carry, views).select(*df.columns, *views)
+    )
 
-    out = _sliced(df, hot, keys, at, "left")
-    for name, extra in views.items():
-        w = Window.partitionBy(*keys, _SLICE, *extra).orderBy(*order)
-        out = out.withColumn(name, F.lag(payload).over(w))
 
-    hot_rows = _sliced(df, hot, keys, at, "inner")
+def _plain(df: DataFrame, keys, order, carry, views) -> DataFrame:
     for name, extra in views.items():
-        group = [*keys, *extra]
-        edges = _carried_over(hot_rows, group, order, carry)
-        out = (
-            out.join(F.broadcast(edges), _same_key([*group, _SLICE]), "left")
-            .withColumn(name, F.coalesce(name, "__carry"))
-            .select(*out.columns)
-        )
-    return out.drop(_SLICE)
+        w = Window.partitionBy(*keys, *extra).orderBy(*order)
+        df = df.withColumn(name, F.lag(F.struct(*carry)).over(w))
+    return df
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], at: Column, p: Params) -> DataFrame | None:
-    """Hot keys with the start and width of their slices, or None when there are none."""
-    seen = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(at).alias("__lo"), F.max(at).alias("__hi")
-    )
-    limit = p.hot_key_rows
-    while True:
-        hot = seen.where((F.col("__n") > limit) & F.col("__lo").isNotNull())
-        found = hot.limit(p.broadcast_rows + 1).count()
-        if found == 0:
-            return None
-        if found <= p.broadcast_rows:
-            break
-        limit *= 10
-    span = F.col("__hi") - F.col("__lo") + 1
-    width = F.ceil(span * F.lit(float(limit)) / F.col("__n")).cast("bigint")
-    return F.broadcast(
-        hot.select(*_as_match(keys), "__lo", F.greatest(width, F.lit(1)).alias("__width"))
-    )
+def _hot_keys(df: DataFrame, keys: Sequence[str], p: Params) -> DataFrame | None:
+    """Keys above the limit with their counts, stored, or None when there are none."""
+    seen = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = stage(seen.where(F.col("__n") > p.hot_key_rows), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
-def _sliced(df: DataFrame, hot: DataFrame, keys, at: Column, how: str) -> DataFrame:
-    number = F.floor((at - F.col("__lo")) / F.col("__width")).cast("bigint")
-    return df.join(hot, _same_key(keys), how).select(*df.columns, number.alias(_SLICE))
+def _sliced(rows: DataFrame, count: int, keys, order, p: Params) -> DataFrame:
+    """The rows with the number of their slice, which rises along keys and order."""
+    slices = max(2, -(-count // p.hot_key_rows))
+    dealt = rows.repartitionByRange(slices, *keys, *order)
+    return stage(dealt.withColumn(_SLICE, F.spark_partition_id()), "slices")
 
 
-def _carried_over(hot_rows: DataFrame, group, order, carry) -> DataFrame:
-    """For every slice but the first of its group: the last row before it."""
+def _stitched(sliced: DataFrame, keys, order, carry, views) -> DataFrame:
+    rows = sliced
+    for name, extra in views.items():
+        marks = _carried_over(sliced, [*keys, *extra], order, carry)
+        rows = rows.unionByName(marks.withColumn(_VIEW, F.lit(name)), allowMissingColumns=True)
+    is_row = F.col(_VIEW).isNull()
+    for name, extra in views.items():
+        own = F.col(_VIEW) == name
+        w = Window.partitionBy(*keys, _SLICE, *extra).orderBy(
+            F.when(is_row, 2).when(own, 1).otherwise(0), *order
+        )
+        value = F.when(is_row, F.struct(*carry)).when(own, F.col(_EDGE))
+        rows = rows.withColumn(name, F.lag(value).over(w))
+    return rows.where(is_row)
+
+
+def _carried_over(sliced: DataFrame, group, order, carry) -> DataFrame:
+    """For every slice of a group but its first: the last row before it."""
     if list(carry) == [order[0]]:  # the last time alone: a hash aggregate, no sort
         last = F.struct(F.max(order[0]).alias(order[0]))
     else:
         last = F.max_by(F.struct(*carry), F.struct(*order))
+    before = F.lag("__last").over(Window.partitionBy(*group).orderBy(_SLICE))
     return (
-        hot_rows.groupBy(*group, _SLICE)
+        sliced.groupBy(*group, _SLICE)
         .agg(last.alias("__last"))
-        .select(
-            *_as_match([*group, _SLICE]),
-            F.lag("__last").over(Window.partitionBy(*group).orderBy(_SLICE)).alias("__carry"),
-        )
-        .where(F.col("__carry").isNotNull())
+        .select(*group, _SLICE, before.alias(_EDGE))
+        .where(F.col(_EDGE).isNotNull())
     )
 
 

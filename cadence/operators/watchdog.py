@@ -52,9 +52,7 @@ def silent_ticks(
         .groupBy(*KEY, "tick_no")
         .agg(F.max("at").alias("at"))
     )
-    spans = with_previous(
-        marks, KEY, ("tick_no",), ("tick_no", "at"), position=F.col("tick_no"), p=p
-    ).where(F.col("prev").isNotNull())
+    spans = with_previous(marks, KEY, ("tick_no",), ("tick_no", "at"), p=p).where(F.col("prev").isNotNull())
 
     since = F.coalesce("prev.at", _long(start))
     first = F.greatest(

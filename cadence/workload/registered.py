@@ -182,6 +182,12 @@ def arrivals_lag(spark, d):
     return A.arrivals(log_of(spark, d), X.TIES, p)
 
 
+@query
+def arrivals_hot(spark, d):
+    """Arrivals with every key above two hundred rows cut into slices."""
+    return A.arrivals(log_of(spark, d), X.TIES, p.but(hot_key_rows=200))
+
+
 @query
 def arrivals_runs(spark, d):
     return A.arrival_runs(log_of(spark, d), X.TIES, p)
@@ -237,6 +243,12 @@ def headway_mart(spark, d):
     return mart_of(spark, d)
 
 
+@query
+def headway_mart_hot(spark, d):
+    """The mart with every key above two hundred arrivals cut into slices."""
+    return H.headway_mart(X.staged_arrivals(spark, d), GAP_TIES, p.but(hot_key_rows=200))
+
+
 @query
 def headway_min_sample(spark, d):
     return H.exploratory_mart(X.staged_arrivals(spark, d), 15, GAP_TIES, p)

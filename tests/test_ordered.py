@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cadence.operators import arrivals as A
 from cadence.operators import headway as H
-from cadence.operators.ordered import _hot_keys, with_previous
+from cadence.operators.ordered import _SLICE, _hot_keys, _sliced, with_previous
 from cadence.workload import fixture as X
 from cadence.workload.registered import GAP_TIES
 
@@ -32,7 +32,7 @@ def skewed(spark):
 @pytest.mark.parametrize("limit", [10, 100, 700])
 def test_sliced_equals_plain(skewed, limit):
     p = P.but(hot_key_rows=limit)
-    assert _hot_keys(skewed, ["k"], F.unix_timestamp("ts"), p) is not None
+    assert _hot_keys(skewed, ["k"], p) is not None
     got = with_previous(
         skewed, ["k"], ["ts", "seq"], ["seq", "t"], views={"prev": (), "same": ("svc",)}, p=p
     ).select("seq", F.col("prev.seq").alias("a"), F.col("same.t").alias("b"))
@@ -41,15 +41,28 @@ def test_sliced_equals_plain(skewed, limit):
     assert as_set(got) == as_set(want)
 
 
-def test_limit_rises_until_the_hot_keys_fit(skewed):
-    p = P.but(hot_key_rows=1, broadcast_rows=2)
-    assert _hot_keys(skewed, ["k"], F.unix_timestamp("ts"), p).count() <= 2
+def test_hot_keys_too_many_to_broadcast(skewed):
+    p = P.but(hot_key_rows=20, broadcast_rows=2)
+    assert _hot_keys(skewed, ["k"], p).count() > 2
     got = with_previous(skewed, ["k"], ["ts", "seq"], ["seq"], p=p)
     w = Window.partitionBy("k").orderBy("ts", "seq")
     want = skewed.select("seq", F.lag("seq").over(w).alias("a"))
     assert as_set(got.select("seq", F.col("prev.seq").alias("a"))) == as_set(want)
 
 
+@pytest.mark.parametrize("shape", ["burst", "outlier", "second"])
+def test_slices_follow_the_rows(spark, shape):
+    """No slice holds twice the limit, however the rows lie in time."""
+    at = {"burst": F.floor(F.col("id") / 100), "outlier": F.when(F.col("id") == 0, -31_536_000).otherwise(F.floor(F.col("id") / 100)), "second": F.lit(5)}[shape]
+    df = spark.range(20_000).select(F.lit("k").alias("k"), F.timestamp_seconds(at).alias("ts"), F.col("id").alias("seq"))
+    p = P.but(hot_key_rows=1000)
+    sliced = _sliced(df, 20_000, ["k"], ["ts", "seq"], p)
+    sizes = sliced.groupBy(_SLICE).count().agg(F.sum("count"), F.max("count"), F.count("*")).first()
+    assert sizes[0] == 20_000 and sizes[1] <= 2 * p.hot_key_rows and sizes[2] >= 10
+    got = with_previous(df, ["k"], ["ts", "seq"], ["seq"], p=p)
+    assert got.where("prev.seq is distinct from nullif(seq - 1, -1)").isEmpty()
+
+
 def test_no_hot_key_keeps_one_shuffle(skewed):
     plan = with_previous(skewed, ["k"], ["ts", "seq"], ["seq"], views={"a": (), "b": ("svc",)}, p=P)
     text = plan._jdf.queryExecution().executedPlan().toString()
