@@ -26,12 +26,18 @@ KEY = ("line", "updn_line")
 
 
 def silent_ticks(
-    receipts: DataFrame, start: int, end: int, ts: str = "recptn_ts", p: Params = Params()
+    receipts: DataFrame,
+    start: int,
+    end: int,
+    ts: str = "recptn_ts",
+    since: int | None = None,
+    p: Params = Params(),
 ) -> DataFrame:
     """Raw alerts before cooldown: ``tick_ts line updn_line last_seen silent_sec``.
 
     ``start`` and ``end`` are epoch seconds; ticks lie at ``start + i * tick_sec``.
-    Receipts before ``start`` count as seen. Receipts of unexpected keys keep the
+    Receipts before ``start`` count as seen; a key never heard is silent from ``since``
+    on, by default ``start``. Receipts of unexpected keys keep the
     stream-wide clock alive and raise nothing.
     """
     w = p.watch
@@ -39,7 +45,7 @@ def silent_ticks(
     per_key = stage(
         receipts.where(~L.is_blank("line") & F.col(ts).isNotNull())
         .select(*KEY, F.unix_timestamp(ts).alias("at"))
-        .groupBy(*KEY, _tick_at_or_after(F.col("at"), start, w.tick_sec).alias("tick_no"))
+        .groupBy(*KEY, tick_at_or_after(F.col("at"), start, w.tick_sec).alias("tick_no"))
         .agg(F.max("at").alias("at"))
         .where(F.col("tick_no") <= ticks),
         "receipts",
@@ -54,13 +60,13 @@ def silent_ticks(
     )
     spans = with_previous(marks, KEY, ("tick_no",), ("tick_no", "at"), p=p).where(F.col("prev").isNotNull())
 
-    since = F.coalesce("prev.at", _long(start))
+    last_at = F.coalesce("prev.at", _long(start if since is None else since))
     first = F.greatest(
-        F.col("prev.tick_no"), F.floor((since + w.gap_sec - start) / w.tick_sec) + 1
+        F.col("prev.tick_no"), F.floor((last_at + w.gap_sec - start) / w.tick_sec) + 1
     )
     last = F.col("tick_no") - 1
     silent = (
-        spans.select(*KEY, F.col("prev.at").alias("seen"), since.alias("since"), first.alias("a"), last.alias("b"))
+        spans.select(*KEY, F.col("prev.at").alias("seen"), last_at.alias("since"), first.alias("a"), last.alias("b"))
         .where(F.col("a") <= F.col("b"))
         .select(*KEY, "seen", "since", F.explode(F.sequence("a", "b")).alias("tick_no"))
     )
@@ -126,7 +132,7 @@ def _expected(any_df: DataFrame, p: Params) -> DataFrame:
     return any_df.sparkSession.range(1).select(F.inline(F.array(*keys)))
 
 
-def _tick_at_or_after(at: Column, start: int, step: int) -> Column:
+def tick_at_or_after(at: Column, start: int, step: int) -> Column:
     return F.greatest(F.ceil((at - start) / step), _long(0))
 
 

@@ -1,21 +1,14 @@
-"""Keyed state over streams: cooldown and watchdog.
-
-Both read small, already aggregated rows (alerts per window, receipts per tick) and
-keep a few numbers per key.
-"""
+"""Keyed state over streams: cooldown of alerts, one number per key."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from cadence.functions import labels as L
-from cadence.params import Params
-
 NO_TIMEOUT = GroupStateTimeout.NoTimeout
 
 
@@ -43,85 +36,3 @@ def stream_throttle(alerts: DataFrame, cooldown_sec: int, at: str = "window_end"
         )
     )
     return kept.select(F.timestamp_seconds("at").alias(at), "level", "line", "rule", "text")
-
-
-def stream_watchdog(
-    events: DataFrame,
-    start: int,
-    ts: str = "recptn_ts",
-    seed: Mapping[tuple[str, str], int] | None = None,
-    p: Params = Params(),
-) -> DataFrame:
-    """Silence alerts per expected ``(line, updn_line)`` after cooldown, by event time.
-
-    Every task first reduces its rows to the newest receipt per key and tick; one
-    state then holds the last receipt per key, the last alert per key and the next
-    tick. A tick is judged once a later receipt shows that it has passed. ``seed``
-    gives epoch seconds of receipts before ``start`` (see ``seed_from_current``).
-    """
-    seeded = {f"{line}\t{d}": int(at) for (line, d), at in (seed or {}).items()}
-    heard = max(seeded.values(), default=None)
-    # Plain values only: the workers need nothing of this package.
-    expected = [(line, d) for line in p.watch.lines for d in p.watch.directions]
-    step, gap, quiet, cooldown = (
-        p.watch.tick_sec, p.watch.gap_sec, p.watch.quiet_sec, p.watch.cooldown_sec
-    )
-    out = "tick long, line string, updn_line string, seen long, silent_sec long"
-    state_ddl = "next_tick long, newest long, seen map<string,long>, sent map<string,long>"
-
-    def newest_per_tick(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None  # at most one row per key and tick of this task's rows
-        for f in frames:
-            both = f if held is None else pd.concat([held, f], ignore_index=True)
-            held = both.groupby(["line", "updn_line", "tick_no"], as_index=False)["at"].max()
-        if held is not None:
-            yield held
-
-    def watch(key, frames: Iterator[pd.DataFrame], state: GroupState):
-        rows = pd.concat(list(frames), ignore_index=True).sort_values("at", kind="stable")
-        next_tick, newest, seen, sent = state.get if state.exists else (0, heard, seeded, {})
-        seen, sent = dict(seen), dict(sent)
-        made = []
-
-        def judge(t: int) -> None:
-            if newest is None or t - newest > quiet:
-                return
-            for line, d in expected:
-                k = f"{line}\t{d}"
-                silent = t - seen.get(k, start)
-                if silent > gap and t - sent.get(k, t - cooldown) >= cooldown:
-                    sent[k] = t
-                    made.append((t, line, d, seen.get(k), silent))
-
-        for line, d, at in zip(rows["line"], rows["updn_line"], rows["at"]):
-            at = int(at)
-            while start + next_tick * step < at:
-                judge(start + next_tick * step)
-                next_tick += 1
-            k = f"{line}\t{d}"
-            seen[k] = max(at, seen.get(k, at))
-            newest = at if newest is None else max(newest, at)
-        state.update((next_tick, newest, seen, sent))
-        if made:
-            f = pd.DataFrame(made, columns=["tick", "line", "updn_line", "seen", "silent_sec"])
-            yield f.astype({"seen": "Int64"})
-
-    receipts = events.where(~L.is_blank("line") & F.col(ts).isNotNull()).select(
-        "line",
-        F.coalesce("updn_line", F.lit("")).alias("updn_line"),
-        F.greatest(F.ceil((F.unix_timestamp(ts) - start) / step), F.lit(0)).alias("tick_no"),
-        F.unix_timestamp(ts).alias("at"),
-    )
-    reduced = receipts.mapInPandas(
-        newest_per_tick, "line string, updn_line string, tick_no long, at long"
-    ).withColumn("watch", F.lit("stream"))
-    found = reduced.groupBy("watch").applyInPandasWithState(
-        watch, out, state_ddl, "append", NO_TIMEOUT
-    )
-    return found.select(
-        F.timestamp_seconds("tick").alias("tick_ts"),
-        "line",
-        "updn_line",
-        F.timestamp_seconds("seen").alias("last_seen"),
-        "silent_sec",
-    )

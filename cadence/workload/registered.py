@@ -31,6 +31,7 @@ from cadence.sources.store import MartStore
 from cadence.streaming import arrivals as SA
 from cadence.streaming import bronze as SB
 from cadence.streaming import keyed as SK
+from cadence.streaming import watchdog as SWD
 from cadence.streaming import windows as SW
 from cadence.workload import fixture as X
 
@@ -660,5 +661,9 @@ def stream_watchdog(spark, d):
     """Silence alerts at the ticks the newest receipt has passed."""
     receipts = receipts_of(spark, d)
     start, _ = watch_span(receipts)
-    src = _as_source(spark, receipts.select("line", "updn_line", "recptn_ts"), "receipts")
-    return _run(SK.stream_watchdog(src, start, p=p), "watchdog")
+    # several micro-batches, in the order of the receipts
+    rows = receipts.select("line", "updn_line", "recptn_ts").repartitionByRange(4, "recptn_ts")
+    src = _as_source(spark, rows, "receipts", one_file_each=True)
+    out, state, check = (_new_folder(spark, x) for x in ("silences", "state", "check"))
+    SWD.stream_watchdog(src, out, state, check, start, once=True, p=p).awaitTermination()
+    return SWD.read_silences(spark, out)

@@ -1,5 +1,7 @@
 """Streams fed in several files give what the batch operators give on all rows."""
 
+import time
+
 import pytest
 from conftest import as_set
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from cadence.sources import events as E
 from cadence.streaming import arrivals as SA
 from cadence.streaming import bronze as SB
 from cadence.streaming import keyed as SK
+from cadence.streaming import watchdog as SWD
 from cadence.streaming import windows as SW
 from cadence.workload import fixture as X
 from cadence.workload.registered import receipts_of, watch_span
@@ -44,6 +47,12 @@ def drain(stream, folder, name="out"):
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/{name}")
 
 
+def watched(src, folder, start, name="out", **more):
+    out = f"{folder}/{name}"
+    SWD.stream_watchdog(src, out, f"{folder}/state-{name}", f"{folder}/check-{name}", start, once=True, **more).awaitTermination()
+    return SWD.read_silences(src.sparkSession, out)
+
+
 @pytest.fixture(scope="module")
 def raw(spark, sf):
     return X.raw_events(spark, sf).cache()
@@ -143,7 +152,7 @@ def test_watchdog_stream_equals_batch(spark, sf, folder):
     receipts = receipts_of(spark, sf).select("line", "updn_line", "recptn_ts", "ingest_seq")
     start, end = watch_span(receipts)
     land(receipts, f"{folder}/src", [200, 300, 800])
-    got = drain(SK.stream_watchdog(source(spark, receipts, f"{folder}/src"), start, p=P), folder)
+    got = watched(source(spark, receipts, f"{folder}/src"), folder, start, p=P)
     newest = receipts.agg(F.max("recptn_ts")).first()[0]
     silent = W.silent_ticks(receipts, start, end, p=P)
     want = AL.throttle(silent, W.KEY, "tick_ts", P.watch.cooldown_sec).where(F.col("tick_ts") < F.lit(newest))
@@ -161,13 +170,28 @@ def test_watchdog_stream_starts_from_a_seed(spark, folder):
     land(df, f"{folder}/src", [5])
     run = lambda name, seed: [
         (r.line, r.silent_sec, r.last_seen is None)
-        for r in drain(SK.stream_watchdog(source(spark, df, f"{folder}/src"), 1000, seed=seed, p=p), folder, name).collect()
+        for r in watched(source(spark, df, f"{folder}/src"), folder, 1000, name, seed=seed, p=p).collect()
     ]
     assert run("none", None) == [("b", 200, True)]
     assert run("old", {("b", "0"): 900}) == [("b", 200, False)]
     assert run("fresh", {("b", "0"): 990}) == [("b", 190, False)]
 
 
+def test_watchdog_stream_bounds_a_receipt_from_the_future(spark, folder):
+    from cadence import Params, WatchRules
+
+    p = Params(watch=WatchRules(lines=("a", "b"), directions=("0",), gap_sec=180, quiet_sec=90, tick_sec=20))
+    start = int(time.time()) - 600
+    rows = [("a", "0", start + 20 * i, i) for i in range(20)] + [("a", "0", 253_000_000_000, 20)]
+    df = spark.createDataFrame(rows, "line string, updn_line string, t long, ingest_seq long").withColumn(
+        "recptn_ts", F.timestamp_seconds("t")
+    )
+    land(df, f"{folder}/src", [5, 20])
+    got = watched(source(spark, df, f"{folder}/src"), folder, start, p=p)
+    assert got.agg(F.max("tick_ts") <= F.current_timestamp()).first()[0]
+    assert [r.silent_sec for r in got.where("line = 'b'").orderBy("tick_ts").limit(1).collect()] == [200]
+
+
 def test_replays_within_the_watermark_are_dropped(spark, sf, folder):
     log = receipts_of(spark, sf).where("event_id IS NOT NULL AND recptn_ts IS NOT NULL").dropDuplicates(["event_id"])
     land(log, f"{folder}/src", [500])
