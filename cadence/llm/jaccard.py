@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from cadence.llm import words
 from cadence.llm.components import components
-from cadence.llm.tables import only, stage
+from cadence.llm.tables import only, parallel, stage
 
 #: Coordinates of the points that bound overlaps.
 GROUPS = 64
@@ -47,7 +47,12 @@ GROUPS = 64
 FINE = np.uint64((1 << 40) - 1)
 LEAF = 32
 PERMUTATIONS = 6
-SETS = "doc_id long, n_shingles long, f1 long, f2 long, cells binary"
+SETS = "doc_id long, n_shingles long, f1 long, f2 long"
+#: Cells that a task gathers before it sends them, and salts of the rows of one cell.
+BLOCK = 2_000_000
+SALTS = 1 << 16
+#: Cells that one task sorts.
+TASK_CELLS = 1_000_000
 
 
 class Bound:
@@ -110,44 +115,94 @@ def cells(s: np.ndarray, bound: Bound) -> np.ndarray:
     return np.concatenate(out) >> np.uint64(16) if out else np.zeros(0, np.uint64)
 
 
-def point_sets(docs: DataFrame, n: int, bound: Bound) -> DataFrame:
-    """Each document's set size, fingerprint (f1, f2) and cells; a batch gives the cells of equal sets once."""
+def point_sets(docs: DataFrame, n: int) -> DataFrame:
+    """Each document's set size and fingerprint (f1, f2)."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch["doc_id"].to_pylist()
             rows: list[tuple] = []
-            first: dict[tuple, int] = {}
             for row, end, h, at in words.batch_hashes(batch["text"], lower=True):
-                for i in range(row, end):
-                    s = shingles(h[at[i - row] : at[i - row + 1]], n)
-                    with np.errstate(over="ignore"):
-                        f1, f2 = (int(words.mix(s, k).sum().view(np.int64)) for k in (11, 12))
-                    key, own = (len(s), f1, f2), None
-                    if len(s) and ids[i] is not None:
-                        j = first.get(key)
-                        if j is None:
-                            own, first[key] = words.planes(cells(s, bound)), i
-                        elif ids[i] < ids[j]:  # the smallest id of the batch stands for the set
-                            own, rows[j], first[key] = rows[j][4], (*rows[j][:4], None), i
-                    rows.append((ids[i], len(s), f1, f2, own))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["doc_id", "n_shingles", "f1", "f2", "cells"])
+                for i in range(end - row):
+                    rows.append(_fingerprint(shingles(h[at[i] : at[i + 1]], n)))
+            columns = zip(*rows, strict=True) if rows else [[]] * 3
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, pa.int64()) for c in columns)], ["doc_id", "n_shingles", "f1", "f2"])
 
     return only(docs, doc_id="doc_id", text="text").mapInArrow(of, SETS)
 
 
-def _flat_cells(sets: DataFrame) -> DataFrame:
-    """(cell, tag): a row for each cell of each stored point; a tag is a set's first fingerprint."""
+def _fingerprint(s: np.ndarray) -> tuple[int, int, int]:
+    with np.errstate(over="ignore"):
+        return len(s), *(int(words.mix(s, k).sum().view(np.int64)) for k in (11, 12))
+
+
+def _flat_cells(docs: DataFrame, n: int, bound: Bound) -> DataFrame:
+    """(cell, kind, tag): the cells of the documents' sets; a tag is a set's first fingerprint.
+
+    A batch gives the cells of equal sets once. Of a cell in which different sets of a batch meet, one row tells the
+    other batches so (kind 1) and the rest, known to be shared, go under salts (kind 2 and above), so a cell that
+    holds much of the corpus has few rows under its own key.
+    """
+
+    def rows(held: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
+        cell = np.concatenate([c for c, _ in held]).view(np.int64)
+        tag = np.repeat(np.array([t for _, t in held], np.int64), [len(c) for c, _ in held])
+        order = np.lexsort((tag, cell))
+        cell, tag = cell[order], tag[order]
+        new = np.concatenate(([True], (cell[1:] != cell[:-1]) | (tag[1:] != tag[:-1])))
+        cell, tag = cell[new], tag[new]
+        first = np.concatenate(([True], cell[1:] != cell[:-1]))
+        known = ~first | np.concatenate((~first[1:], [False]))
+        kind = np.where(first, known, 2 + tag % SALTS).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(cell), pa.array(kind), pa.array(tag)], ["cell", "kind", "tag"])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                keys = [words.unplanes(c, np.uint64).view(np.int64) for c in part["cells"].to_pylist()]
-                tags = np.repeat(part["f1"].to_numpy(), [len(x) for x in keys])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)), pa.array(tags)], ["cell", "tag"])
+            seen: set[tuple] = set()
+            held, size = [], 0
+            for row, end, h, at in words.batch_hashes(batch["text"], lower=True):
+                for i in range(end - row):
+                    s = shingles(h[at[i] : at[i + 1]], n)
+                    key = _fingerprint(s)
+                    if len(s) and key not in seen:
+                        seen.add(key)
+                        held.append((cells(s, bound), key[1]))
+                        size += len(held[-1][0])
+                if size > BLOCK:
+                    yield rows(held)
+                    held, size = [], 0
+            if held:
+                yield rows(held)
+
+    return only(docs, doc_id="doc_id", text="text").filter("doc_id is not null").select("text").mapInArrow(of, "cell long, kind int, tag long")
+
+
+def _shared_cells(flat: DataFrame, parts: int) -> DataFrame:
+    """(cell, tag) of the cells in which different sets meet; a row may repeat.
+
+    Every row is sent once. Sorted by cell and tag, a row stays when a neighbour has its cell and another tag.
+    """
 
-    return sets.filter("length(cells) > 8").select("f1", "cells").mapInArrow(of, "cell long, tag long")
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["cell", "tag"]
+        last_cell, last_tag, last_met = np.zeros(0, np.int64), np.zeros(0, np.int64), False
+        for batch in batches:
+            cell, kind, tag = (batch[c].to_numpy() for c in ("cell", "kind", "tag"))
+            yield pa.RecordBatch.from_arrays([pa.array(cell[kind > 0]), pa.array(tag[kind > 0])], names)
+            own = kind < 2
+            cell, tag = np.concatenate((last_cell, cell[own])), np.concatenate((last_tag, tag[own]))
+            if not len(cell):
+                continue
+            new = np.concatenate(([True], (cell[1:] != cell[:-1]) | (tag[1:] != tag[:-1])))
+            cell, tag = cell[new], tag[new]
+            met = np.concatenate(([last_met], cell[1:] == cell[:-1]))
+            keep = met[:-1] | met[1:]
+            yield pa.RecordBatch.from_arrays([pa.array(cell[:-1][keep]), pa.array(tag[:-1][keep])], names)
+            last_cell, last_tag, last_met = cell[-1:], tag[-1:], bool(met[-1])
+        if last_met:
+            yield pa.RecordBatch.from_arrays([pa.array(last_cell), pa.array(last_tag)], names)
+
+    route = F.greatest("kind", F.lit(1))
+    return flat.repartition(parts, "cell", route).sortWithinPartitions("cell", route, "tag").mapInArrow(of, "cell long, tag long")
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -247,15 +302,14 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     bound = Bound(percent)
     docs = only(docs, doc_id=id, text=text)
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    sets = stage(point_sets(docs, n, bound), "points")
-    points = sets.filter("cells is not null")
+    sets = stage(point_sets(docs, n), "points")
     classes = sets.filter("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"))
     classes = stage(classes, "classes")
 
     # cells in which different sets meet
-    flat = _flat_cells(points)
-    shared = flat.groupBy("cell").agg(F.min("tag").alias("low"), F.max("tag").alias("high")).filter("low < high").select("cell")
-    members = stage(flat.join(stage(shared, "shared").hint("merge"), "cell").distinct(), "members")
+    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
+    parts = max(parallel(docs.sparkSession), total * 2 * (100 - percent) // 100 // TASK_CELLS)
+    members = stage(_shared_cells(_flat_cells(docs, n, bound), parts).distinct(), "members")
     degree = members.groupBy("tag").agg(F.count("*").alias("degree"))
     ranked = stage(members.join(degree, "tag"), "ranked")
     centre = stage(ranked.groupBy("cell").agg(F.max(F.struct("degree", "tag")).alias("top")).select("cell", F.col("top.tag").alias("a")), "centres")
