@@ -48,11 +48,9 @@ FINE = np.uint64((1 << 40) - 1)
 LEAF = 32
 PERMUTATIONS = 6
 SETS = "doc_id long, n_shingles long, f1 long, f2 long"
-#: Cells that a task gathers before it sends them, and salts of the rows of one cell.
+#: Cells that a task gathers before it sends them, and about as many in a bucket.
 BLOCK = 2_000_000
-SALTS = 1 << 16
-#: Cells that one task sorts.
-TASK_CELLS = 1_000_000
+BUCKET_CELLS = 1_000_000
 
 
 class Bound:
@@ -135,74 +133,91 @@ def _fingerprint(s: np.ndarray) -> tuple[int, int, int]:
         return len(s), *(int(words.mix(s, k).sum().view(np.int64)) for k in (11, 12))
 
 
-def _flat_cells(docs: DataFrame, n: int, bound: Bound) -> DataFrame:
-    """(cell, kind, tag): the cells of the documents' sets; a tag is a set's first fingerprint.
+def _packed_cells(docs: DataFrame, n: int, bound: Bound, buckets: int) -> DataFrame:
+    """(bucket, sure, cells, known, place, tags): the cells of a batch's sets by ranges of cells; a tag is a set's first fingerprint.
 
-    A batch gives the cells of equal sets once. Of a cell in which different sets of a batch meet, one row tells the
-    other batches so (kind 1) and the rest, known to be shared, go under salts (kind 2 and above), so a cell that
-    holds much of the corpus has few rows under its own key.
+    A batch gives the cells of equal sets once. Where different sets of a batch meet in a cell, one of them goes to the
+    cell's bucket, marked as known to share, and the rest go to any bucket (sure), so a cell that holds much of the
+    corpus sends one entry of each batch to its bucket.
     """
 
     def rows(held: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
-        cell = np.concatenate([c for c, _ in held]).view(np.int64)
-        tag = np.repeat(np.array([t for _, t in held], np.int64), [len(c) for c, _ in held])
-        order = np.lexsort((tag, cell))
-        cell, tag = cell[order], tag[order]
-        new = np.concatenate(([True], (cell[1:] != cell[:-1]) | (tag[1:] != tag[:-1])))
-        cell, tag = cell[new], tag[new]
+        cell = np.concatenate([c for c, _ in held])
+        tags = np.array([t for _, t in held], np.int64)
+        place = np.repeat(np.arange(len(held), dtype=np.uint32), [len(c) for c, _ in held])
+        order = np.lexsort((place, cell))
+        cell, place = cell[order], place[order]
         first = np.concatenate(([True], cell[1:] != cell[:-1]))
         known = ~first | np.concatenate((~first[1:], [False]))
-        kind = np.where(first, known, 2 + tag % SALTS).astype(np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(cell), pa.array(kind), pa.array(tag)], ["cell", "kind", "tag"])
+        parts = []
+        for sure, chosen in ((False, first), (True, ~first)):
+            c, p, k = cell[chosen], place[chosen], known[chosen]
+            bucket = ((c >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
+            cuts = np.arange(0, len(c), BLOCK // 8) if sure else np.flatnonzero(np.concatenate((np.ones(min(len(c), 1), bool), bucket[1:] != bucket[:-1])))
+            for at, end in zip(cuts, [*cuts[1:], len(c)], strict=True):
+                used, where = np.unique(p[at:end], return_inverse=True)
+                key = int(tags[used[0]]) % buckets if sure else int(bucket[at])
+                parts.append((key, sure, words.planes(np.diff(c[at:end], prepend=np.uint64(0))), words.planes(k[at:end]), words.planes(where.astype(np.uint32)), words.planes(tags[used])))
+        kinds = (pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*parts, strict=True), kinds, strict=True)], ["bucket", "sure", "cells", "known", "place", "tags"])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        held, size = [], 0
         for batch in batches:
-            seen: set[tuple] = set()
-            held, size = [], 0
             for row, end, h, at in words.batch_hashes(batch["text"], lower=True):
                 for i in range(end - row):
                     s = shingles(h[at[i] : at[i + 1]], n)
                     key = _fingerprint(s)
-                    if len(s) and key not in seen:
+                    if key not in seen and len(own := cells(s, bound)):
                         seen.add(key)
-                        held.append((cells(s, bound), key[1]))
-                        size += len(held[-1][0])
+                        held.append((own, key[1]))
+                        size += len(own)
                 if size > BLOCK:
                     yield rows(held)
-                    held, size = [], 0
-            if held:
-                yield rows(held)
+                    seen, held, size = set(), [], 0
+        if held:
+            yield rows(held)
 
-    return only(docs, doc_id="doc_id", text="text").filter("doc_id is not null").select("text").mapInArrow(of, "cell long, kind int, tag long")
+    return only(docs, doc_id="doc_id", text="text").filter("doc_id is not null").select("text").mapInArrow(of, "bucket long, sure boolean, cells binary, known binary, place binary, tags binary")
 
 
-def _shared_cells(flat: DataFrame, parts: int) -> DataFrame:
-    """(cell, tag) of the cells in which different sets meet; a row may repeat.
+def _shared_cells(packed: DataFrame, buckets: int) -> DataFrame:
+    """(cell, tag) of the cells in which different sets meet; a row may repeat. Every cell is sent once."""
+    names = ["cell", "tag"]
 
-    Every row is sent once. Sorted by cell and tag, a row stays when a neighbour has its cell and another tag.
-    """
+    def entries(part: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        cell = np.cumsum(words.unplanes(part["cells"], np.uint64)).view(np.int64)
+        return cell, words.unplanes(part["tags"], np.int64)[words.unplanes(part["place"], np.uint32)], words.unplanes(part["known"], bool)
+
+    def met(held: list[tuple]) -> pa.RecordBatch:
+        cell, tag, known = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((~known, tag, cell))
+        cell, tag, known = cell[order], tag[order], known[order]
+        new = np.concatenate(([True], (cell[1:] != cell[:-1]) | (tag[1:] != tag[:-1])))
+        cell, tag, known = cell[new], tag[new], known[new]
+        same = cell[1:] == cell[:-1]
+        keep = known | np.concatenate(([False], same)) | np.concatenate((same, [False]))
+        return pa.RecordBatch.from_arrays([pa.array(cell[keep]), pa.array(tag[keep])], names)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["cell", "tag"]
-        last_cell, last_tag, last_met = np.zeros(0, np.int64), np.zeros(0, np.int64), False
+        bucket, held = None, []
         for batch in batches:
-            cell, kind, tag = (batch[c].to_numpy() for c in ("cell", "kind", "tag"))
-            yield pa.RecordBatch.from_arrays([pa.array(cell[kind > 0]), pa.array(tag[kind > 0])], names)
-            own = kind < 2
-            cell, tag = np.concatenate((last_cell, cell[own])), np.concatenate((last_tag, tag[own]))
-            if not len(cell):
-                continue
-            new = np.concatenate(([True], (cell[1:] != cell[:-1]) | (tag[1:] != tag[:-1])))
-            cell, tag = cell[new], tag[new]
-            met = np.concatenate(([last_met], cell[1:] == cell[:-1]))
-            keep = met[:-1] | met[1:]
-            yield pa.RecordBatch.from_arrays([pa.array(cell[:-1][keep]), pa.array(tag[:-1][keep])], names)
-            last_cell, last_tag, last_met = cell[-1:], tag[-1:], bool(met[-1])
-        if last_met:
-            yield pa.RecordBatch.from_arrays([pa.array(last_cell), pa.array(last_tag)], names)
-
-    route = F.greatest("kind", F.lit(1))
-    return flat.repartition(parts, "cell", route).sortWithinPartitions("cell", route, "tag").mapInArrow(of, "cell long, tag long")
+            for k in range(batch.num_rows):
+                part = batch.slice(k, 1).to_pylist()[0]
+                if part["sure"]:
+                    cell, tag, _ = entries(part)
+                    yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(tag)], names)
+                    continue
+                if part["bucket"] != bucket and held:
+                    yield met(held)
+                    held = []
+                bucket = part["bucket"]
+                held.append(entries(part))
+        if held:
+            yield met(held)
+
+    return packed.repartition(buckets, "bucket").sortWithinPartitions("sure", "bucket").mapInArrow(of, "cell long, tag long")
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -308,8 +323,8 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
 
     # cells in which different sets meet
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
-    parts = max(parallel(docs.sparkSession), total * 2 * (100 - percent) // 100 // TASK_CELLS)
-    members = stage(_shared_cells(_flat_cells(docs, n, bound), parts).distinct(), "members")
+    buckets = max(parallel(docs.sparkSession), total * 2 * (100 - percent) // 100 // BUCKET_CELLS)
+    members = stage(_shared_cells(_packed_cells(docs, n, bound, buckets), buckets).distinct(), "members")
     degree = members.groupBy("tag").agg(F.count("*").alias("degree"))
     ranked = stage(members.join(degree, "tag"), "ranked")
     centre = stage(ranked.groupBy("cell").agg(F.max(F.struct("degree", "tag")).alias("top")).select("cell", F.col("top.tag").alias("a")), "centres")
