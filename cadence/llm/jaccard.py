@@ -20,7 +20,7 @@ against the cell's centre (the member that lies in most cells). Only cells whose
 belong to several components go on, to joins of boxes whose bound allows a link, then of points, and
 every remaining pair between different components is verified.
 
-The result is exact up to collisions of 64-bit shingle hashes within two documents.
+The result is exact up to collisions of 52-bit shingle hashes within two documents.
 
 Defined cases: null and white-space texts have the empty set, which links with nothing; texts shorter
 than a shingle are one shingle; equal sets are one point; a null id links with nothing and has no
@@ -232,7 +232,7 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 counts = [np.bincount((sets[i] % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32) for i in keep]
                 part = batch.slice(row, end - row).take(pa.array(keep, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [part["tag"], part["doc_id"], pa.array([len(sets[i]) for i in keep], pa.int64()), pa.array(counts, pa.list_(pa.int32())), pa.array([sets[i].tobytes() for i in keep], pa.binary())],
+                    [part["tag"], part["doc_id"], pa.array([len(sets[i]) for i in keep], pa.int64()), pa.array(counts, pa.list_(pa.int32())), pa.array([words.planes(np.diff(sets[i] >> np.uint64(12), prepend=np.uint64(0))) for i in keep], pa.binary())],
                     ["tag", "doc_id", "n", "counts", "members"],
                 )
 
@@ -242,45 +242,52 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
 def _overlap(a: Column, b: Column) -> Column:
     """The sum of the smaller of each two coordinates."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda x, y: x + y)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
     """The pairs (a, b) of tags: linked, and between which lo and hi their Jaccard distance lies.
 
-    The sets of b are dealt to a's, in salted blocks of about 64 members. Where the bound by counts rules a link out,
-    it stands for the overlap, and the distance has no upper limit.
+    Where the bound by counts rules a link out, it stands for the overlap, the distance has no upper limit, and no set is
+    sent. Of the rest, the sets of b are dealt to a's, in salted blocks of about 64 members.
     """
+    light = sets.select("tag", "n", "counts")
+    for s in "ab":
+        pairs = pairs.hint("merge").join(light.select(F.col("tag").alias(s), F.col("n").alias(f"n_{s}"), F.col("counts").alias(f"counts_{s}")), s)
+    overlap, joint = F.col("overlap"), F.col("joint")
+    pairs = pairs.select("a", "b", _overlap(F.col("counts_a"), F.col("counts_b")).alias("overlap"), (F.col("n_a") + F.col("n_b")).alias("joint"))
+    pairs = stage(pairs.select("a", "b", (100 * overlap >= bound.percent * (joint - overlap)).alias("may"), (1 - overlap / F.greatest(joint - overlap, F.lit(1))).alias("lo")), "bounded")
+    apart = pairs.filter("not may").select("a", "b", F.lit(False).alias("linked"), "lo", F.lit(1.0).alias("hi"))
+    pairs = pairs.filter("may").select("a", "b")
     many = stage(pairs.groupBy("a").agg(F.count("*").alias("of_a")), "many")
     pairs = pairs.join(many, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("of_a") / 64)))
     pairs = stage(pairs.select("a", "b", "salt"), "dealt")
-    left = pairs.select("a", "salt").distinct().hint("merge").join(sets.withColumnRenamed("tag", "a"), "a").select("a", "salt", F.lit(0).alias("kind"), F.col("a").alias("own"), "n", "counts", "members")
-    right = pairs.hint("merge").join(sets.withColumnRenamed("tag", "b"), "b").select("a", "salt", F.lit(1).alias("kind"), F.col("b").alias("own"), "n", "counts", "members")
+    whole = sets.select("tag", "members")
+    left = pairs.select("a", "salt").distinct().hint("merge").join(whole.withColumnRenamed("tag", "a"), "a").select("a", "salt", F.lit(0).alias("kind"), F.col("a").alias("own"), "members")
+    right = pairs.hint("merge").join(whole.withColumnRenamed("tag", "b"), "b").select("a", "salt", F.lit(1).alias("kind"), F.col("b").alias("own"), "members")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, centres = None, []
         for batch in batches:
             found: list[tuple] = []
             columns = [batch[c].to_pylist() for c in ("a", "salt", "kind", "own", "members")]
-            counts = batch["counts"].flatten().to_numpy().reshape(-1, GROUPS)
-            for i, (a, salt, kind, own, raw) in enumerate(zip(*columns, strict=True)):
+            for a, salt, kind, own, raw in zip(*columns, strict=True):
                 if (a, salt) != key:
                     key, centres = (a, salt), []
-                s = np.frombuffer(raw, np.uint64)
+                s = np.cumsum(words.unplanes(raw, np.uint64))
                 if kind == 0:
-                    centres.append((s, counts[i].copy()))
+                    centres.append(s)
                     continue
-                for c, vector in centres:
-                    joint, overlap = len(c) + len(s), int(np.minimum(vector, counts[i]).sum())
-                    if may := bool(bound.links(overlap, joint)):
-                        overlap = joint - len(np.union1d(c, s))
+                for c in centres:
+                    joint = len(c) + len(s)
+                    overlap = joint - len(np.union1d(c, s))
                     lo = 1 - overlap / max(joint - overlap, 1)
-                    found.append((a, own, may and bool(bound.links(overlap, joint)), lo, lo if may else 1.0))
+                    found.append((a, own, bool(bound.links(overlap, joint)), lo, lo))
             kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True) if found else [[]] * 5, kinds, strict=True)], ["a", "b", "linked", "lo", "hi"])
 
     dealt = left.unionByName(right).repartition("a", "salt").sortWithinPartitions("a", "salt", "kind")
-    rows = dealt.mapInArrow(check, "a long, b long, linked boolean, lo double, hi double")
+    rows = dealt.mapInArrow(check, "a long, b long, linked boolean, lo double, hi double").unionByName(apart)
     return rows.groupBy("a", "b").agg(F.max("linked").alias("linked"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
