@@ -331,7 +331,11 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     # cells in which different sets meet
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(parallel(docs.sparkSession), total * 2 * (100 - percent) // 100 // BUCKET_CELLS)
-    members = stage(_shared_cells(_packed_cells(docs, n, bound, buckets), buckets).distinct(), "members")
+    shared = stage(_shared_cells(_packed_cells(docs, n, bound, buckets), buckets).distinct(), "shared")
+    # of cells with the same members, which say the same, one stays
+    signed = shared.groupBy("cell").agg(F.bit_xor(F.xxhash64("tag")).alias("s1"), F.bit_xor(F.xxhash64("tag", F.lit(1))).alias("s2"), F.count("*").alias("size"))
+    one = signed.groupBy("s1", "s2", "size").agg(F.min("cell").alias("cell")).select("cell")
+    members = stage(shared.join(stage(one, "one").hint("merge"), "cell"), "members")
     degree = members.groupBy("tag").agg(F.count("*").alias("degree"))
     ranked = stage(members.join(degree, "tag"), "ranked")
     centre = stage(ranked.groupBy("cell").agg(F.max(F.struct("degree", "tag")).alias("top")).select("cell", F.col("top.tag").alias("a")), "centres")
