@@ -4,7 +4,8 @@
    Spark; at most 28 ** 3 rows whatever the corpus), mixed with the trigrams of the lexicon below.
 2. Tokens that look disguised (digits or signs between letters, runs of a letter, letters set apart) become
    lattices: each character may stand for itself or for the letters it imitates, a run for one or two of
-   its letters, separators for nothing. Viterbi search finds the most probable reading.
+   its letters, separators for nothing or for a gap between words. Viterbi search finds the most probable reading,
+   and every word of it counts.
 3. A lexicon is learnt from labelled documents: words chosen one after another by how significantly they
    raise the toxic rate among documents that no earlier word explains (likelihood ratio, corrected for the number of words tried). Copies of one text count once.
 4. A document is scored by a logistic function of its lexicon words after restoration.
@@ -46,6 +47,8 @@ LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i",
 }
+#: Channel log probabilities of a separator that stands for nothing or for a gap; even odds.
+NOTHING, GAP, HALF = math.log(2 / 3), math.log(1 / 3), math.log(1 / 2)
 _SIGNS = "".join(re.escape(c) for c in LEET)
 _LETTERS = re.compile(r"[^\W\d_]+")
 _DISGUISED = re.compile(rf"(?<!\S)[^\w\s]*((?=[\w{_SIGNS}.*_-]*[^\W\d_])(?:[{_SIGNS}]*[^\W\d_]+[{_SIGNS}.*_-]{{1,2}}(?=[^\W\d_]|[{_SIGNS}][^\W\d_])|[{_SIGNS}]{{1,2}}(?=[^\W\d_]))[\w{_SIGNS}.*_-]*)|(?<!\w)((?:\w[ .*_-]){{2,}}\w)(?!\w)|(\w*([^\W\d_])\4\4\w*)")
@@ -77,14 +80,25 @@ def trigrams(docs: DataFrame) -> DataFrame:
 
 
 class Decoder:
-    """Viterbi search over character lattices under a trigram model."""
+    """Viterbi search over character lattices. A word is one of the lexicon or made of trigrams, with even odds."""
 
     def __init__(self, corpus: np.ndarray, lexicon: dict[str, float]) -> None:
         own = np.zeros(28**3)
+        #: The tree of the lexicon's letters (node -> letter -> node) and the nodes where words end.
+        self.tree: list[dict[str, int]] = [{}]
+        self.ends: set[int] = set()
         for w in lexicon:
             c = [0, 0, *_codes(w), 0]
             for i in range(len(c) - 2):
                 own[c[i] * 784 + c[i + 1] * 28 + c[i + 2]] += 1
+            node = 0
+            for x in w:
+                if x not in self.tree[node]:
+                    self.tree[node][x] = len(self.tree)
+                    self.tree.append({})
+                node = self.tree[node][x]
+            self.ends.add(node)
+        self.listed = math.log(0.5 / max(len(lexicon), 1))
         self.log = np.log(0.5 * self._given(corpus) + 0.5 * self._given(own)).reshape(28, 28, 28).tolist()
         self.read = lru_cache(100_000)(self._read)
 
@@ -107,7 +121,7 @@ class Decoder:
             c, run = token[i], j - i
             own = [(c, 0.0)] if c.isalpha() else [(x, -0.7) for x in LEET.get(c, "")]
             if not own:
-                out.append([("", 0.0)])  # separators stand for nothing
+                out.append([("", NOTHING), (" ", GAP)])
             elif run >= 3:
                 out.append([(x, p) for x, p in own] + [(x + x, p - 1.0) for x, p in own])
             else:
@@ -115,25 +129,54 @@ class Decoder:
             i = j
         return out
 
-    def _read(self, token: str) -> str:
-        log = self.log
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    def _steps(self, state: tuple[int, int, int], letter: str) -> list[tuple[tuple[int, int, int], float]]:
+        """The states after one more letter (or a gap) and their log probabilities.
+
+        A state is the last two codes and the node of the tree, which is 0 in a word made of trigrams.
+        """
+        a, b, node = state
+        if letter == " ":
+            if not b:
+                return [(state, 0.0)]  # a gap beside a gap
+            if node:
+                return [((b, 0, 0), 0.0)] if node in self.ends else []
+            return [((b, 0, 0), self.log[a][b][0])]
+        c = ord(letter) - 96 if "a" <= letter <= "z" else 27
+        if node:
+            child = self.tree[node].get(letter)
+            return [((b, c, child), 0.0)] if child else []
+        p = self.log[a][b][c]
+        if b:
+            return [((b, c, 0), p)]
+        child = self.tree[0].get(letter)
+        made = ((b, c, 0), p + HALF)
+        return [made, ((b, c, child), self.listed)] if child else [made]
+
+    def _read(self, token: str) -> tuple[str, ...]:
+        """The words of the most probable reading; each state holds its way back."""
+        best: dict[tuple[int, int, int], tuple[float, tuple | None]] = {(0, 0, 0): (0.0, None)}
         for place in self.lattice(token):
-            step: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (p, text) in best.items():
+            step: dict[tuple[int, int, int], tuple[float, tuple | None]] = {}
+            for state, (p, back) in best.items():
                 for letters, q in place:
-                    x, y, r = a, b, p + q
-                    for c in _codes(letters):
-                        r += log[x][y][c]
-                        x, y = y, c
-                    if r > step.get((x, y), (-math.inf,))[0]:
-                        step[x, y] = (r, text + letters)
+                    ends = [(state, p + q)]
+                    for c in letters:
+                        ends = [(s, r + t) for e, r in ends for s, t in self._steps(e, c)]
+                    way = (back, letters) if letters else back
+                    for s, r in ends:
+                        if s not in step or r > step[s][0]:
+                            step[s] = (r, way)
             best = step
-        return max(((p + log[a][b][0], text) for (a, b), (p, text) in best.items()), default=(0.0, ""))[1]
+        last = [(p + r, i, back) for i, (s, (p, back)) in enumerate(best.items()) for _, r in self._steps(s, " ")]
+        back, out = max(last)[2] if last else None, []
+        while back:
+            back, letters = back
+            out.append(letters)
+        return tuple("".join(reversed(out)).split())
 
     def restored(self, text: str) -> list[str]:
-        """Readings of the disguised tokens of a lower-case text."""
-        return [self.read(m[0].strip()[:80]) for m in _DISGUISED.finditer(text)]
+        """The words read from the disguised tokens of a lower-case text."""
+        return [w for m in _DISGUISED.finditer(text) for w in self.read(m[0].strip()[:80])]
 
 
 def found(text: str, lexicon: dict[str, float] | frozenset, decoder: Decoder | None) -> list[str]:

@@ -117,6 +117,16 @@ def test_deobfuscation(text):
     assert not toxicity.found("THE!! a$$$ word%%% on 2 may at 10:30, v2.0", lexicon, decoder)
 
 
+@pytest.mark.parametrize(
+    "text,want",
+    [("a i d i o t", ["idiot"]), ("s t u p i d i d i o t", ["stupid", "idiot"]), ("i d i o t i am", ["idiot"]), ("you a s t u p 1 d i d i o t i say", ["stupid", "idiot"]), ("$tupid-1d10t", ["stupid", "idiot"]), ("a p a t h e t i c i d i o t", ["pathetic", "idiot"])],
+)
+def test_spaced_words_in_a_run(text, want):
+    """A run of single characters is cut into words: its neighbours don't hide a spaced word."""
+    lexicon = dict.fromkeys(["idiot", "pathetic", "worthless", "stupid"], 3.0)
+    assert toxicity.found(text, lexicon, toxicity.Decoder(np.ones(28**3), lexicon)) == want
+
+
 def test_packing(odd, empty):
     rows = packing.pack(odd).collect()
     total = sum(r["length"] for r in rows)
