@@ -50,6 +50,9 @@ LEET = {
 #: Channel log probabilities of a separator that stands for nothing or for a gap; even odds.
 NOTHING, GAP, HALF = math.log(2 / 3), math.log(1 / 3), math.log(1 / 2)
 _SIGNS = "".join(re.escape(c) for c in LEET)
+#: Readings of tokens up to this length are remembered.
+SHORT = 80
+_RUN = re.compile(r"(.)\1{3,}", re.DOTALL)
 _LETTERS = re.compile(r"[^\W\d_]+")
 _DISGUISED = re.compile(rf"(?<!\S)[^\w\s]*((?=[\w{_SIGNS}.*_-]*[^\W\d_])(?:[{_SIGNS}]*[^\W\d_]+[{_SIGNS}.*_-]{{1,2}}(?=[^\W\d_]|[{_SIGNS}][^\W\d_])|[{_SIGNS}]{{1,2}}(?=[^\W\d_]))[\w{_SIGNS}.*_-]*)|(?<!\w)((?:\w[ .*_-]){{2,}}\w)(?!\w)|(\w*([^\W\d_])\4\4\w*)")
 _CLASS = np.zeros(256, np.int64)
@@ -100,7 +103,7 @@ class Decoder:
             self.ends.add(node)
         self.listed = math.log(0.5 / max(len(lexicon), 1))
         self.log = np.log(0.5 * self._given(corpus) + 0.5 * self._given(own)).reshape(28, 28, 28).tolist()
-        self.read = lru_cache(100_000)(self._read)
+        self.known = lru_cache(100_000)(self._read)
 
     @staticmethod
     def _given(n: np.ndarray) -> np.ndarray:
@@ -174,9 +177,14 @@ class Decoder:
             out.append(letters)
         return tuple("".join(reversed(out)).split())
 
+    def read(self, token: str) -> tuple[str, ...]:
+        """The words of a token of any length; longer runs have the lattice of a run of three."""
+        token = _RUN.sub(r"\1\1\1", token)
+        return self.known(token) if len(token) <= SHORT else self._read(token)
+
     def restored(self, text: str) -> list[str]:
         """The words read from the disguised tokens of a lower-case text."""
-        return [w for m in _DISGUISED.finditer(text) for w in self.read(m[0].strip()[:80])]
+        return [w for m in _DISGUISED.finditer(text) for w in self.read(m[0].strip())]
 
 
 def found(text: str, lexicon: dict[str, float] | frozenset, decoder: Decoder | None) -> list[str]:

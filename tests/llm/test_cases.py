@@ -127,6 +127,13 @@ def test_spaced_words_in_a_run(text, want):
     assert toxicity.found(text, lexicon, toxicity.Decoder(np.ones(28**3), lexicon)) == want
 
 
+@pytest.mark.parametrize("text,want", [("stu" + 90 * "u" + "pid", ["stupid"]), ("stu" + 90_000 * "u" + "pid", ["stupid"]), ("x " * 60 + "i d i o t", ["idiot"]), ("x " * 20_000 + "s t u p i d", ["stupid"]), ("w0rd-" * 40 + "1d10t", ["idiot"])])
+def test_long_disguises(text, want):
+    """A disguised token is read to its end."""
+    lexicon = dict.fromkeys(["idiot", "pathetic", "worthless", "stupid"], 3.0)
+    assert toxicity.found(text, lexicon, toxicity.Decoder(np.ones(28**3), lexicon)) == want
+
+
 def test_packing(odd, empty):
     rows = packing.pack(odd).collect()
     total = sum(r["length"] for r in rows)
