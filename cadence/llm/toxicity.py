@@ -37,8 +37,6 @@ from cadence.llm.tables import held_out, only, stage
 
 #: Labelled rows that a model may be fitted on.
 SAMPLE = 20_000
-#: Words that a lexicon may hold.
-LEXICON = 400
 #: Chance that any word at all enters the lexicon without reason.
 ALPHA = 0.05
 THRESHOLD = 0.5
@@ -205,9 +203,9 @@ def labelled(docs: DataFrame, labels: DataFrame, name: str, sample: int) -> Data
     return docs.join(marks.filter(part), "doc_id")
 
 
-def _evidence(t: int, n: int, rate: float) -> float:
+def _evidence(t: np.ndarray, n: np.ndarray, rate: float) -> np.ndarray:
     """The likelihood-ratio statistic of t toxic ones among n, where ``rate`` was to be expected."""
-    return 2 * sum(k * math.log(k / (n * p)) for k, p in ((t, rate), (n - t, 1 - rate)) if k)
+    return 2 * sum(k * np.log(np.maximum(k, 1) / (np.maximum(n, 1) * p)) for k, p in ((t, rate), (n - t, 1 - rate)))
 
 
 def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], float, float]:
@@ -217,7 +215,7 @@ def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], float, float]:
         for batch in batches:
             out: list[tuple] = []
             for t, y in zip(batch["text"].to_pylist(), batch["label"].to_pylist(), strict=True):
-                out += [(w, y) for w in set(_LETTERS.findall((t or "").lower())) if 2 < len(w) <= 40]
+                out += [(w, y) for w in set(_LETTERS.findall((t or "").lower()))]
             n = Counter(out)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in n], pa.string()), pa.array([v if k[1] else 0 for k, v in n.items()], pa.int64()), pa.array(list(n.values()), pa.int64())], ["word", "toxic", "n"])
 
@@ -232,32 +230,40 @@ def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], float, float]:
     least = 2 * math.log(max(by.count(), 1) / ALPHA)
     part = lambda k, p: F.when(k > 0, k * F.log(k / (F.col("n") * p))).otherwise(0.0)
     evidence = 2 * (part(F.col("t"), rate) + part(F.col("n") - F.col("t"), 1 - rate))
-    likely = by.filter(F.col("t") > F.col("n") * rate).withColumn("g", evidence).filter(F.col("g") >= least).orderBy(F.desc("g"), "word").limit(LEXICON)
-    candidates = frozenset(r["word"] for r in likely.collect())  # LEXICON words
+    likely = by.filter(F.col("t") > F.col("n") * rate).withColumn("g", evidence).filter(F.col("g") >= least)
+    candidates = sorted(r["word"] for r in likely.select("word").collect())  # words of the sample that pass the test
+    place = {w: i for i, w in enumerate(candidates)}
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            has = [sorted(set(found(t or "", candidates, None))) for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(has, pa.list_(pa.string())), batch["label"]], ["has", "label"])
-
-    # SAMPLE rows of at most LEXICON words, one per set of words and label
-    rows_ = rows.select("text", "label").mapInArrow(present, "has array<string>, label int").groupBy("has", "label").count().collect()
-    left = [(frozenset(r["has"]), r["label"], r["count"]) for r in rows_]
+            has = [np.unique(np.array([place[w] for w in _LETTERS.findall((t or "").lower()) if w in place], np.int32)).tobytes() for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(has, pa.binary()), batch["label"]], ["has", "label"])
+
+    # about SAMPLE rows at most, one per set of words and label; words as their places among the candidates
+    sets = rows.select("text", "label").mapInArrow(present, "has binary, label int").groupBy("has", "label").count().collect()
+    size = np.array([len(r["has"]) // 4 for r in sets], np.int64)
+    word, own = np.frombuffer(b"".join(r["has"] for r in sets), np.int32), np.repeat(np.arange(len(sets)), size)
+    each = np.array([r["count"] for r in sets], np.int64)
+    toxic = each * np.array([r["label"] for r in sets], np.int64)
+    count_of = lambda at, k: np.bincount(word[at], k[own[at]], len(candidates)).astype(np.int64)
+    n, t = count_of(slice(None), each), count_of(slice(None), toxic)
+    by_word = np.argsort(word, kind="stable")
+    first = np.searchsorted(word[by_word], np.arange(len(candidates) + 1))
+    begin, left = np.append(0, np.cumsum(size)), np.ones(len(sets), bool)
     chosen: dict[str, float] = {}
     while True:
-        n, t = Counter(), Counter()
-        for has, y, k in left:
-            for w in has:
-                n[w] += k
-                t[w] += k * y
-        total, bad = sum(k for _, _, k in left), sum(k * y for _, y, k in left)
+        total, bad = int(each[left].sum()), int(toxic[left].sum())
         rest = bad / total if total else 0.0
-        score = {w: _evidence(t[w], n[w], rest) for w in n if 0 < rest < 1 and t[w] > n[w] * rest}
-        word = max(score, key=lambda w: (score[w], w), default=None)
-        if word is None or score[word] < least:
+        score = np.where(t > n * rest, _evidence(t, n, rest), -1.0) if 0 < rest < 1 else np.zeros(0)
+        best = len(score) - 1 - int(np.argmax(score[::-1])) if len(score) else -1  # ties go to the greater word
+        if best < 0 or score[best] < least:
             return chosen, math.log((bad + 0.5) / (total - bad + 0.5)) if total else 0.0, rate
-        chosen[word] = math.log((t[word] + 0.5) / (n[word] - t[word] + 0.5))
-        left = [x for x in left if word not in x[0]]
+        chosen[candidates[best]] = math.log((t[best] + 0.5) / (n[best] - t[best] + 0.5))
+        gone = own[by_word[first[best] : first[best + 1]]]
+        gone = gone[left[gone]]
+        left[gone] = False
+        at = np.concatenate([np.arange(begin[i], begin[i + 1]) for i in gone])
+        n, t = n - count_of(at, each), t - count_of(at, toxic)
 
 
 class Model:

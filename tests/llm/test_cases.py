@@ -134,6 +134,17 @@ def test_long_disguises(text, want):
     assert toxicity.found(text, lexicon, toxicity.Decoder(np.ones(28**3), lexicon)) == want
 
 
+def test_lexicon_is_whole(spark):
+    """More significant words than 400, and words of two letters or of more than 40."""
+    letters = lambda k: "".join("abcdefghij"[int(x)] for x in f"{k:04d}")
+    crowd = " ".join(letters(k) for k in range(450))
+    rows = [(i, f"{crowd} n{letters(i)}", 1) for i in range(30)]
+    rows += [(100 + i, f"zq n{letters(100 + i)}", 1) for i in range(18)] + [(200 + i, f"{'w' * 50} n{letters(200 + i)}", 1) for i in range(18)]
+    rows += [(300 + i, f"plain n{letters(300 + i)}", 0) for i in range(66)]
+    lexicon, none, rate = toxicity.learn_lexicon(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    assert {"zq", "w" * 50} < set(lexicon) and len(lexicon) == 3 and none < 0 and rate == 0.5
+
+
 def test_packing(odd, empty):
     rows = packing.pack(odd).collect()
     total = sum(r["length"] for r in rows)
