@@ -15,7 +15,8 @@ Search: a query begins at its own node, if it has one, and at the best of ``PIVO
 
 Defined cases: vectors that are null, zero, hold null or non-finite numbers, or have another length than most take no part;
 fewer candidates than asked for: all found; ties go to the smaller id; a null id takes no part; rows that repeat an id are
-further candidates of that id (equal rows count once), and a query's own id is never its candidate; an empty table gives no rows; further columns are not read.
+further candidates of that id (equal rows count once), and a query's own id is never its candidate; queries that are equal rows
+count once, different vectors under one query id are searched each and the id gets the ``k`` best candidates of all of them; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -236,7 +237,9 @@ class Graph:
         self.members = stage(rows.select("k1", "k2", "vec_id").distinct().withColumn("place", rank).filter(F.col("place") <= 64), "members")
         reps = self.members.filter("place = 1").select("k1", "k2", "vec_id")
         self.rows = rows
-        self.nodes = stage(rows.join(reps, ["k1", "k2", "vec_id"]).dropDuplicates(["k1", "k2"]).select("k1", "k2", F.col("vec_id").alias("id"), "vec"), "nodes")
+        # a node has a number of its own: one vec_id may stand first in several classes
+        nodes = rows.join(reps, ["k1", "k2", "vec_id"]).dropDuplicates(["k1", "k2"]).sortWithinPartitions("k1", "k2")
+        self.nodes = stage(nodes.select("k1", "k2", F.monotonically_increasing_id().alias("id"), "vec"), "nodes")
         norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
         most = self.nodes.agg(F.max(norm).alias("m"), F.count("*").alias("n"), F.max(F.size("vec")).alias("d"), F.max(F.array_max(F.transform("vec", F.abs))).alias("c")).first()
         self.count, self.width = most["n"], (most["d"] or 0) + 1
@@ -290,8 +293,10 @@ class Graph:
         """query_id, rank, vec_id, score of the k best found for each query (rows of an id and a vector); k is 40 at most."""
         if k > 40:
             raise ValueError("the beam and the members kept of equal vectors are made for k up to 40")
-        queries = only(queries, query_id=id, vec=vector).select("query_id", F.col("vec").cast("array<double>").alias("vec"))
-        queries = stage(queries.select("query_id", "vec", *_key()).join(self.nodes.select("k1", "k2", F.col("id").alias("node")), ["k1", "k2"], "left").select("query_id", "vec", "node"), "queries")
+        queries = only(queries, asked=id, vec=vector).select(F.col("asked").cast("long").alias("asked"), F.col("vec").cast("array<double>").alias("vec")).distinct()
+        queries = queries.select("asked", "vec", *_key()).join(self.nodes.select("k1", "k2", F.col("id").alias("node")), ["k1", "k2"], "left")
+        # until the last step a query goes by a number of its own; staged, so that it stays
+        queries = stage(queries.select(F.monotonically_increasing_id().alias("query_id"), "asked", "vec", "node"), "queries")
         pivots = self.graph.select("id", "vec").orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()  # PIVOTS rows
         pivot_ids = np.array([r["id"] for r in pivots], np.int64)
         pivot_vecs = np.array([np.frombuffer(r["vec"], np.int8) for r in pivots], np.float32) if pivots else np.zeros((0, self.width), np.float32)
@@ -375,11 +380,11 @@ class Graph:
             for batch in batches:
                 n = batch.num_rows
                 a, b = (batch[c].flatten().to_numpy().reshape(n, -1) if n else np.zeros((0, 1)) for c in ("q", "v"))
-                yield pa.RecordBatch.from_arrays([batch["query_id"], batch["id"], pa.array(np.einsum("ij,ij->i", a, b))], ["query_id", "id", "score"])
+                yield pa.RecordBatch.from_arrays([batch["asked"], batch["id"], pa.array(np.einsum("ij,ij->i", a, b))], ["query_id", "id", "score"])
 
         near = beam.select("query_id", "near").mapInArrow(candidates, "query_id long, id long")
-        near = near.join(self.nodes.select("id", F.col("vec").alias("v")), "id").join(queries.select("query_id", F.col("vec").alias("q")), "query_id")
-        near = near.select("query_id", "id", "q", "v").mapInArrow(scores, "query_id long, id long, score double")
+        near = near.join(self.nodes.select("id", F.col("vec").alias("v")), "id").join(queries.select("query_id", "asked", F.col("vec").alias("q")), "query_id")
+        near = near.select("asked", "id", "q", "v").mapInArrow(scores, "query_id long, id long, score double").groupBy("query_id", "id").agg(F.max("score").alias("score"))
         # each class's smallest ids stand for it: more than k + 1 of them can't be among a query's k
         shown = self.members.filter(F.col("place") <= k + 1).join(self.nodes.select("k1", "k2", "id"), ["k1", "k2"]).select("id", "vec_id")
         near = near.join(shown.hint("merge"), "id").filter("vec_id != query_id")

@@ -10,7 +10,7 @@ import pytest
 from llm import plain
 
 import corpus_pipeline
-from cadence.llm import chat, exact, fixity, jaccard, mixing, neighbours, packing, quality, repeats, toxicity
+from cadence.llm import chat, exact, fixity, jaccard, mixing, neighbours, packing, quality, queries, repeats, toxicity
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, score double, slice long, rank int, digest string, label int"
 
@@ -229,6 +229,18 @@ def test_neighbours(spark):
     assert neighbours.Graph(df.limit(0)).search(df.select("vec_id", "embedding").limit(0), 5, id="vec_id", vector="embedding").count() == 0
 
 
+def test_neighbours_of_repeated_rows(spark, tmp_path):
+    """Through the registered query: a repeated row asks once, an id with two vectors gets the best of both."""
+    v = np.random.default_rng(1).standard_normal((90, 8)).tolist()
+    rows = [*enumerate(v), (0, v[0]), (0, v[0]), (20, v[20]), (40, v[41])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = queries.op10_neighbours(spark, str(tmp_path)).collect()
+    for q in (0, 20, 40, 60, 80):
+        asked = [np.array(x) for i, x in rows if i == q]
+        want = sorted((-max(float(np.dot(a, x)) for a in asked), i) for i, x in {(i, tuple(x)) for i, x in rows} if i != q)[:20]
+        assert [x["vec_id"] for x in sorted((x for x in got if x["query_id"] == q), key=lambda x: x["rank"])] == [i for _, i in want]
+
+
 def test_fixity(spark):
     rows = [(1, "u", "a"), (1, "u", "b"), (2, None, None), (None, "u", "n"), (-5, "u", ""), (10**15, "u", "z"), (7, "u", "same")]
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "page_id long, url string, html string, key long, digest string")
