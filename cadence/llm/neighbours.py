@@ -1,8 +1,9 @@
 """Approximate nearest neighbours by inner product: NN-descent builds a graph, queries walk it greedily.
 
-Equal vectors are one node. Nodes are put on a unit sphere (one more coordinate makes their lengths equal, so
-that the largest inner product is the nearest point) and held as bytes; every score returned is computed anew,
-in double precision, on the original vectors.
+Equal vectors are one node. Nodes are put on a unit sphere (one more coordinate e makes their lengths equal, so
+that the largest inner product is the nearest point) and held as 32-bit floats, with 1 - e in place of e, so that short
+vectors beside a long one keep their digits; products between nodes are in double precision, and the whole beam of a query
+is scored anew, in double precision, on the original vectors.
 
 Start: a few random-hyperplane forests deal nodes into blocks of about ``BLOCK``, and each node takes its best
 ``START`` of its block. Descent: each node sends its vector to its neighbours; nodes that meet at one are neighbours of a
@@ -65,6 +66,14 @@ def _matrix(column: pa.Array, kind: type) -> np.ndarray:
     return np.frombuffer(raw, kind).reshape(len(column), -1) if len(column) else np.zeros((0, 1), kind)
 
 
+def _products(v: np.ndarray) -> np.ndarray:
+    """Inner products on the sphere, less 1, of rows that end with 1 - e; a row with itself: -inf."""
+    v = v.astype(np.float64)
+    sim = v @ v.T - v[:, -1:] - v[:, -1]
+    np.fill_diagonal(sim, -np.inf)
+    return sim
+
+
 def _top(own: np.ndarray, near: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The k best distinct neighbours of each id: (ids, where each begins, near, sims); better first, ties to smaller ids."""
     order = np.lexsort((-sims, near, own))
@@ -149,11 +158,11 @@ def _merge(rows: DataFrame) -> DataFrame:
 def _start(nodes: DataFrame, count: int, width: int) -> DataFrame:
     """Offers from blocks of a random-hyperplane forest."""
     bits = max(0, round(math.log2(max(1, count / BLOCK))))
-    planes = np.random.default_rng(7).standard_normal((TREES, bits, width)).astype(np.float32)
+    planes = np.random.default_rng(7).standard_normal((TREES, bits, width)).astype(np.float32)[:, :, :-1]  # through directions
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = _matrix(batch["vec"], np.int8).astype(np.float32)
+            v = _matrix(batch["vec"], np.float32)[:, :-1]
             for t in range(TREES):
                 code = ((v @ planes[t].T > 0) @ (1 << np.arange(bits))).astype(np.int64) if bits and len(v) else np.zeros(len(v), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), t, np.int32)), pa.array(code), batch["id"], batch["vec"]], ["tree", "code", "id", "vec"])
@@ -166,9 +175,7 @@ def _start(nodes: DataFrame, count: int, width: int) -> DataFrame:
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Offers(START * 2)
         for ids, vec in _blocks(batches, ("tree", "code", "part"), 4 * BLOCK):
-            v = vec.astype(np.float32)
-            sim = v @ v.T
-            np.fill_diagonal(sim, -np.inf)
+            sim = _products(vec)
             if len(ids) > 1:
                 top = _best_of(sim, min(START, len(ids) - 1))
                 yield from out.add(np.repeat(ids, top.shape[1]), ids[top].ravel(), np.take_along_axis(sim, top, 1).ravel())
@@ -185,12 +192,12 @@ def _blocks(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], most: int)
         for row in zip(*columns, strict=True):
             if row[:-2] != now or len(ids) >= most:
                 if ids:
-                    yield np.array(ids), np.frombuffer(b"".join(vecs), np.int8).reshape(len(ids), -1)
+                    yield np.array(ids), np.frombuffer(b"".join(vecs), np.float32).reshape(len(ids), -1)
                 now, ids, vecs = row[:-2], [], []
             ids.append(row[-2])
             vecs.append(row[-1])
     if ids:
-        yield np.array(ids), np.frombuffer(b"".join(vecs), np.int8).reshape(len(ids), -1)
+        yield np.array(ids), np.frombuffer(b"".join(vecs), np.float32).reshape(len(ids), -1)
 
 
 def _met(graph: DataFrame) -> DataFrame:
@@ -213,10 +220,7 @@ def _met(graph: DataFrame) -> DataFrame:
         for ids, raw in _blocks(batches, ("at",), MEET):
             if len(ids) < 2:
                 continue
-            worst = np.ascontiguousarray(raw[:, -4:]).view(np.float32)[:, 0]
-            v = raw[:, :-4].astype(np.float32)
-            sim = v @ v.T
-            np.fill_diagonal(sim, -np.inf)
+            worst, sim = raw[:, -1], _products(raw[:, :-1]).astype(np.float32)
             top = _best_of(sim, min(OFFER, len(ids) - 1))
             own, s = np.repeat(np.arange(len(ids)), top.shape[1]), np.take_along_axis(sim, top, 1).ravel()
             better = s > worst[own]
@@ -241,20 +245,19 @@ class Graph:
         nodes = rows.join(reps, ["k1", "k2", "vec_id"]).dropDuplicates(["k1", "k2"]).sortWithinPartitions("k1", "k2")
         self.nodes = stage(nodes.select("k1", "k2", F.monotonically_increasing_id().alias("id"), "vec"), "nodes")
         norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
-        most = self.nodes.agg(F.max(norm).alias("m"), F.count("*").alias("n"), F.max(F.size("vec")).alias("d"), F.max(F.array_max(F.transform("vec", F.abs))).alias("c")).first()
+        most = self.nodes.agg(F.max(norm).alias("m"), F.count("*").alias("n"), F.max(F.size("vec")).alias("d")).first()
         self.count, self.width = most["n"], (most["d"] or 0) + 1
         length = math.sqrt(most["m"] or 1.0)
-        fine = 127.0 / min(1.0, max((most["c"] or 1.0) / length, 0.05))
 
-        def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def floats_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 v = batch["vec"].flatten().to_numpy().reshape(batch.num_rows, -1) / length
-                v = np.concatenate([v, np.sqrt(np.maximum(0.0, 1.0 - (v * v).sum(1, keepdims=True)))], axis=1)
-                small = np.clip(np.rint(v * fine), -127, 127).astype(np.int8)
+                square = np.minimum(1.0, (v * v).sum(1, keepdims=True))
+                small = np.concatenate([v, square / (1.0 + np.sqrt(1.0 - square))], axis=1).astype(np.float32)
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays([batch["id"], pa.array([x.tobytes() for x in small], pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], schema=_LISTS)
 
-        own = stage(self.nodes.select("id", "vec").mapInArrow(bytes_of, LISTS), "bytes")
+        own = stage(self.nodes.select("id", "vec").mapInArrow(floats_of, LISTS), "floats")
         graph = stage(_merge(own.unionByName(_start(own, self.count, self.width))), "graph")
         for _ in range(ROUNDS):
             graph = stage(_merge(graph.unionByName(_met(graph))), "graph")
@@ -299,13 +302,14 @@ class Graph:
         queries = stage(queries.select(F.monotonically_increasing_id().alias("query_id"), "asked", "vec", "node"), "queries")
         pivots = self.graph.select("id", "vec").orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()  # PIVOTS rows
         pivot_ids = np.array([r["id"] for r in pivots], np.int64)
-        pivot_vecs = np.array([np.frombuffer(r["vec"], np.int8) for r in pivots], np.float32) if pivots else np.zeros((0, self.width), np.float32)
+        pivot_vecs = np.array([np.frombuffer(r["vec"], np.float32) for r in pivots], np.float32) if pivots else np.zeros((0, self.width), np.float32)
         schema = pa.schema([("query_id", pa.int64()), ("q", pa.binary()), ("near", pa.binary()), ("sims", pa.binary()), ("done", pa.binary())])
         state = "query_id long, q binary, near binary, sims binary, done binary"
 
         def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                q = np.array(batch["vec"].to_pylist(), np.float32).reshape(batch.num_rows, -1)
+                q = np.array(batch["vec"].to_pylist(), np.float64).reshape(batch.num_rows, -1)
+                q = (q / np.maximum(np.sqrt((q * q).sum(1, keepdims=True)), 1e-300)).astype(np.float32)  # a query's length doesn't matter
                 q = np.concatenate([q, np.zeros((len(q), 1), np.float32)], axis=1)
                 sim = q @ pivot_vecs.T
                 out = []
@@ -333,7 +337,7 @@ class Graph:
                 out = []
                 for query, q, at, near, vecs in zip(*(batch[c].to_pylist() for c in ("query_id", "q", "at", "near", "vecs")), strict=True):
                     ids = np.frombuffer(near, np.int64)
-                    sim = np.frombuffer(vecs, np.int8).reshape(len(ids), -1).astype(np.float32) @ np.frombuffer(q, np.float32)
+                    sim = np.frombuffer(vecs, np.float32).reshape(len(ids), -1) @ np.frombuffer(q, np.float32)
                     out.append((query, None, ids.tobytes(), sim.astype(np.float32).tobytes(), np.int64(at).tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 5, schema, strict=True)], schema=schema)
 
@@ -372,7 +376,7 @@ class Graph:
 
         def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                near = [np.frombuffer(x, np.int64)[: 3 * k + 4] for x in batch["near"].to_pylist()]
+                near = [np.frombuffer(x, np.int64) for x in batch["near"].to_pylist()]
                 own = np.repeat(batch["query_id"].to_numpy(), [len(x) for x in near])
                 yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.concatenate(near) if near else [], pa.int64())], ["query_id", "id"])
 
