@@ -93,6 +93,8 @@ def shingles(h: np.ndarray, n: int) -> np.ndarray:
 def cells(s: np.ndarray, bound: Bound) -> np.ndarray:
     """The keys (48 bits) of the cells that a set enters."""
     out = []
+    if not len(s):
+        return s  # the empty set links with nothing
     with np.errstate(over="ignore"):
         for c, differ in bound.classes(len(s)):
             if not differ:
@@ -154,7 +156,7 @@ def _packed_cells(docs: DataFrame, n: int, bound: Bound, buckets: int) -> DataFr
             c, p, k = cell[chosen], place[chosen], known[chosen]
             bucket = ((c >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
             cuts = np.arange(0, len(c), BLOCK // 8) if sure else np.flatnonzero(np.concatenate((np.ones(min(len(c), 1), bool), bucket[1:] != bucket[:-1])))
-            for at, end in zip(cuts, [*cuts[1:], len(c)], strict=True):
+            for at, end in zip(cuts, np.append(cuts, len(c))[1:], strict=True):
                 used, where = np.unique(p[at:end], return_inverse=True)
                 key = int(tags[used[0]]) % buckets if sure else int(bucket[at])
                 parts.append((key, sure, words.planes(np.diff(c[at:end], prepend=np.uint64(0))), words.planes(k[at:end]), words.planes(where.astype(np.uint32)), words.planes(tags[used])))
