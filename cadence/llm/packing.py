@@ -23,6 +23,7 @@ columns are not read; a text may have any length.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from bisect import bisect_right
@@ -38,6 +39,7 @@ from cadence.llm.tables import only, parallel, stage
 CAPACITY = 2048
 END = 0
 RANKS = "byte_bpe_50k.tiktoken"
+VOCABULARY = "byte_bpe_50k.json"
 CACHED_WORDS = 300_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _EDGE = re.compile(r" \s|\s ")
@@ -54,15 +56,19 @@ class Encoder:
 
     A space between two other characters always begins a token of this vocabulary's pattern, so the text
     may be cut there and each part encoded by itself; texts where a space meets other white space are
-    encoded whole. The ids are those that the tokenizers library gives for the same vocabulary.
+    encoded whole. The ids are those that the tokenizers library gives for the same vocabulary as loaded: the
+    strings of its added tokens, wherever they stand in a text, are those tokens, and the text is cut at them first.
     """
 
-    def __init__(self, path: str | None = None) -> None:
+    def __init__(self, path: str | None = None, vocabulary: str | None = None) -> None:
         import public_tokenizers
         import tiktoken
 
         with open(path or tokenizer_path(), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        with open(vocabulary or tokenizer_path(VOCABULARY), encoding="utf-8") as lines:
+            self.added = {t["content"]: np.array([t["id"]], np.uint32).tobytes() for t in json.load(lines)["added_tokens"]}
+        self.cut = re.compile("|".join(f"({re.escape(t)})" for t in sorted(self.added, key=len, reverse=True)) or "(?!)")
         self.plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
         class Words(dict):
@@ -80,6 +86,11 @@ class Encoder:
         return np.array(self.plain.encode_ordinary(text), np.uint32).tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if not self.cut.search(text):
+            return self.ordinary(text)
+        return b"".join(self.added.get(part) or self.ordinary(part) for part in self.cut.split(text) if part)
+
+    def ordinary(self, text: str) -> bytes:
         if _EDGE.search(text):
             return self.whole(text)
         first, *rest = text.split(" ")

@@ -67,7 +67,6 @@ def test_op7(spark, docs):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     got = defaultdict(list)
     bins = defaultdict(list)
     for r in rows(spark, "op7_packing"):
