@@ -54,6 +54,20 @@ def test_jaccard(odd, empty):
     assert jaccard.jaccard_components(empty).count() == 0
 
 
+def test_jaccard_of_bare_tables(spark):
+    """One document, unrelated documents, texts without a word: nothing links, and nothing fails."""
+    for texts in ([prose(1, 40)], [prose(k, 50) for k in range(3)], [None, "", " \n"], ["a", None]):
+        got = jaccard.jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+        assert {(r["doc_id"], r["component_id"]) for r in got} == {(i, i) for i in range(len(texts))}
+
+
+@pytest.mark.parametrize("partitions", [1, 8, 64])
+def test_jaccard_under_partitions(spark, partitions):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(docs.repartition(partitions, "doc_id"), n=3, percent=90).collect()}
+    assert got == plain.components(unique(docs), 3, 90)
+
+
 def test_jaccard_families(spark):
     """Near copies in chains, sparse bands and small sets, against all pairs."""
     r = random.Random(9)
@@ -186,7 +200,6 @@ def test_encoder_equals_tokenizers():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     r, encode = random.Random(8), packing.Encoder()
     for _ in range(300):
         text = "".join(r.choice(["a", "the", " ", " ", "  ", "\n", "é", " ", "'s", "7", "!", "<|endoftext|>", "\t", "漢"]) for _ in range(30))
@@ -216,6 +229,26 @@ def test_mixing(odd, empty):
     assert mixing.plan_mix(empty).count() == 0 and mixing.mixed(empty).count() == 0
 
 
+def test_mixing_of_few_large_documents(spark):
+    """Sources whose sizes barely leave a choice still come near their targets."""
+    r = random.Random(3)
+    sizes = {"a": [2770, 665, 636, 443, 350, 275, 71, 47, 16, 2], "b": [900, 40, 30], "c": [500, 490, 480, 20], None: [1] * 60, "d": [r.randint(1, 3000) for _ in range(40)]}
+    rows = [(s, " ".join(["w"] * n)) for s, each in sizes.items() for n in each]
+    df = spark.createDataFrame([(i, x, s) for i, (s, x) in enumerate(rows)], "doc_id long, text string, source string")
+    plan = mixing.plan_mix(df).collect()
+    want = plain.shares({s: sum(x) for s, x in sizes.items()})
+    assert len(plan) == len(rows)
+    for s, each in sizes.items():
+        mine = [x for x in plan if x["source"] == s]
+        need = want[s] - mine[0]["passes"] * sum(each)
+        sums = {0}
+        for n in each:
+            sums |= {x + n for x in sums if x + n <= need + 1e-6}
+        taken = sum(x["size"] * x["copies"] for x in mine)
+        assert taken <= want[s] + 1e-6
+        assert want[s] - taken <= max(need - max(sums) + 0.1 * want[s], 0.05 * want[s]), (s, taken, want[s])
+
+
 def test_neighbours(spark):
     r = np.random.default_rng(0)
     v = [x.tolist() for x in r.standard_normal((60, 8))]
