@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import chat, exact, fixity, jaccard, mixing, neighbours, packing, quality, repeats, toxicity
+from cadence.llm import chat, exact, fixity, jaccard, manifest, mixing, neighbours, packing, quality, repeats, toxicity
 from cadence.llm.tables import held_out, read
 
 
@@ -133,6 +133,57 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.search(graph.rows.filter("vec_id % 20 = 0").select("vec_id", "vec"), 20, id="vec_id")
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest, with the text of every fifth document tampered with: A-Z in lower case."""
+    rows = manifest.manifest(read(spark, sf_dir, "documents"), F.translate("text", UPPER, UPPER.lower()), F.coalesce(held_out(F.col("doc_id")), F.lit(False)))
+    return rows.withColumnRenamed("proof", "proof_sha256").withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _crc32_sql(column: str) -> str:
+    """crc32 of the decimal digits of a column, bit by bit."""
+    digits = f"list_transform(string_split(CAST({column} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    bit = "lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END"
+    return f"xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || {digits}, lambda c, b: list_reduce([xor(c, b)] || [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0], {bit})))"
+
+
+def _op11_sql(levels: int = 6, upper: int = 4) -> str:
+    """Level by level: nodes, what stands beside each, and the fold of every leaf; for up to 16 ** levels rows a source."""
+
+    def leaf(text: str) -> str:
+        fields = (f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars", text))
+        return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+    def climb(name: str, key: str, levels: int) -> list[str]:
+        out = []
+        for k in range(levels):
+            run = f"PARTITION BY {key}, pos // 16 ORDER BY pos ROWS BETWEEN"
+            out.append(f"{name}p{k} AS (SELECT {key}, pos, d, count(*) OVER (PARTITION BY {key}) AS n, coalesce(string_agg(d, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, coalesce(string_agg(d, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})")
+            out.append(f"{name}{k + 1} AS (SELECT {key}, pos // 16 AS pos, sha256(string_agg(d, '' ORDER BY pos)) AS d FROM {name}p{k} WHERE n > 1 GROUP BY {key}, pos // 16)")
+        tops = " UNION ALL ".join(f"SELECT {key}, d FROM {name}p{k} WHERE n = 1" for k in range(levels))
+        return [*out, f"{name}r AS ({tops})"]
+
+    parts = [
+        f"t AS (SELECT doc_id, coalesce('=' || source, '') AS g, {leaf('text')} AS leaf, CASE WHEN {_crc32_sql('doc_id')} % 5 = 0 THEN {leaf(f"translate(text, '{UPPER}', '{UPPER.lower()}')")} END AS other FROM documents)",
+        "h AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM t)",
+        "a0 AS (SELECT g, pos, leaf AS d FROM h)", *climb("a", "g", levels),
+        "s AS (SELECT g, d, 0 AS o, row_number() OVER (ORDER BY g) - 1 AS pos FROM ar)", "b0 AS (SELECT o, pos, d FROM s)", *climb("b", "o", upper),
+        "f0 AS (SELECT h.doc_id, h.g, h.leaf, h.pos, coalesce(h.other, h.leaf) AS f, '' AS proof FROM h)",
+    ]
+    step = "CASE WHEN p.n > 1 THEN sha256(p.l || f.f || p.r) ELSE f.f END AS f, f.proof || CASE WHEN p.n > 1 THEN p.l || p.r ELSE '' END AS proof"
+    for k in range(levels):
+        parts.append(f"f{k + 1} AS (SELECT f.doc_id, f.g, f.leaf, f.pos // 16 AS pos, {step} FROM f{k} f LEFT JOIN ap{k} p ON p.g = f.g AND p.pos = f.pos)")
+    parts.append(f"e0 AS (SELECT f.doc_id, f.leaf, s.d AS subroot, s.pos, f.f, f.proof FROM f{levels} f JOIN s ON s.g = f.g)")
+    for k in range(upper):
+        parts.append(f"e{k + 1} AS (SELECT f.doc_id, f.leaf, f.subroot, f.pos // 16 AS pos, {step} FROM e{k} f LEFT JOIN bp{k} p ON p.pos = f.pos)")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT e.doc_id, e.leaf, e.subroot, r.d AS root, sha256(e.proof) AS proof_sha256, e.f AS folded_root, e.f = r.d AS verified FROM e{upper} e, br r"
+
+
+OP11_SQL = _op11_sql()
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -140,6 +191,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_jaccard, op2_fixity, op3_repeats, op4_exact, op5_quality, op6_toxicity, op7_packing, op8_chat, op9_mixing, op10_neighbours, pipeline)
+    f.__name__: f for f in (op1_jaccard, op2_fixity, op3_repeats, op4_exact, op5_quality, op6_toxicity, op7_packing, op8_chat, op9_mixing, op10_neighbours, op11_manifest, pipeline)
 }
-ORACLES: dict[str, str] = {"op2_fixity": OP2_SQL, "op4_exact": OP4_SQL}
+ORACLES: dict[str, str] = {"op2_fixity": OP2_SQL, "op4_exact": OP4_SQL, "op11_manifest": OP11_SQL}

@@ -87,3 +87,40 @@ def shares(sizes, weights=(5, 2, 1)):
         else:
             high = level
     return {s: min(2.0 * sizes[s], low * w[s]) for s in order}
+
+
+def manifest(rows, tampered):
+    """[(doc_id, leaf, subroot, root, proof, folded root)] of rows (doc_id, source, lang, n_chars, text), one tree level at a time."""
+
+    def h(*parts):
+        return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+    def leaf(row):
+        return h(*("-" if x is None else f"{len(str(x).encode())}:{x}" for x in row))
+
+    def tree(nodes):
+        """(root, what stands left and right of each node's ancestors, from below)."""
+        paths, at = [[] for _ in nodes], list(range(len(nodes)))
+        while len(nodes) > 1:
+            for i, k in enumerate(at):
+                low = k // 16 * 16
+                paths[i].append(("".join(nodes[low:k]), "".join(nodes[k + 1 : low + 16])))
+            nodes, at = [h(*nodes[i : i + 16]) for i in range(0, len(nodes), 16)], [k // 16 for k in at]
+        return nodes[0], paths
+
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[1]].append(row)
+    for g in groups.values():
+        g.sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+    order = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    trees = [tree([leaf(r) for r in groups[s]]) for s in order]
+    root, above = tree([t[0] for t in trees]) if trees else (None, [])
+    out = []
+    for s, (subroot, paths), up in zip(order, trees, above, strict=True):
+        for row, path in zip(groups[s], paths, strict=True):
+            path, at = path + up, leaf(tampered(row))
+            for left, right in path:
+                at = h(left, at, right)
+            out.append((row[0], leaf(row), subroot, root, h(*(left + right for left, right in path)), at))
+    return out

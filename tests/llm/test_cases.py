@@ -10,7 +10,7 @@ import pytest
 from llm import plain
 
 import corpus_pipeline
-from cadence.llm import chat, exact, fixity, jaccard, mixing, neighbours, packing, quality, queries, repeats, toxicity
+from cadence.llm import chat, exact, fixity, jaccard, manifest, mixing, neighbours, packing, quality, queries, repeats, toxicity
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, score double, slice long, rank int, digest string, label int"
 
@@ -303,6 +303,23 @@ def test_fixity(spark):
     assert fixity.audit(df, df.limit(0))[1].count() == 6
 
 
+@pytest.mark.parametrize("levels", [1, 2, 3])
+def test_manifest(spark, levels):
+    """Against a plain tree: one source over several tiers, lone leaves, many sources, nulls, repeats, clashing columns."""
+    rows = [(i, "big", "en", i, f"Text {i}") for i in range(600)] + [(1000 + i, f"s{i}", None, None, prose(i, 3).title()) for i in range(40)]
+    rows += [(5, None, None, None, None), (None, None, "", 0, ""), (None, "big", "x", 1, "A:b"), (7, "big", "en", 7, "Text 7"), (2**62 + 1, "", "é", -3, "Ö A"), (-4, "é", "-", 5, "z" * 50_000)]
+    names = "doc_id long, source string, lang string, n_chars long, text string, rank int, n string, g string, block int, digest string"
+    df = spark.createDataFrame([(*r, 1, "n", "g", 2, "d") for r in rows], names).repartition(7)
+    hurt = lambda d: d is not None and d % 5 == 0
+    got = manifest.manifest(df, queries.F.lower("text"), queries.F.coalesce(queries.F.col("doc_id") % 5 == 0, queries.F.lit(False)), levels).collect()
+    want = plain.manifest(rows, lambda r: (*r[:4], r[4].lower() if hurt(r[0]) and r[4] is not None else r[4]))
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+    assert manifest.manifest(df.limit(0)).count() == 0
+    one = manifest.manifest(df.filter("source = 's3'")).collect()
+    assert [(r["leaf"], r["leaf"], r["leaf"], r["leaf"]) for r in one] == [(r["subroot"], r["root"], r["folded_root"], r["leaf"]) for r in one] and len(one) == 1
+
+
 def test_stages(spark, odd, empty, labels, tmp_path):
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     for table in (odd, empty):
