@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import chat, exact, fixity, jaccard, manifest, mixing, neighbours, packing, quality, repeats, toxicity
-from cadence.llm.tables import held_out, read
+from cadence.llm import chat, exact, fixity, jaccard, manifest, mixing, neighbours, packing, quality, repeats, toxicity, trie
+from cadence.llm.tables import held_out, read, stage
 
 
 def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +184,63 @@ def _op11_sql(levels: int = 6, upper: int = 4) -> str:
 OP11_SQL = _op11_sql()
 
 
+def shared_starts(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(conv_id, depth, item) and conv_id of all conversations, rebuilt to share beginnings: the first h turns of conversation c - c % 5, then c's own without its first h."""
+    block = F.shiftright("pos", 16).alias("block")
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    counts = stage(turns.groupBy("conv_id").agg(F.count("*").alias("n")), "counts")
+    donors = counts.select(F.col("conv_id").alias("donor"), F.col("n").alias("n_donor"))
+    convs = counts.select("conv_id", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % 5).alias("donor")).join(donors, "donor", "left")
+    convs = stage(convs.withColumn("taken", F.least("h", F.coalesce("n_donor", F.lit(0)))).select("conv_id", "h", "donor", "taken"), "convs")
+    start = turns.filter("pos <= 8").select(F.col("conv_id").alias("donor"), "pos", "item")
+    start = convs.filter("taken > 0").join(start, "donor").filter("pos <= taken").select("conv_id", F.col("pos").alias("depth"), "item")
+    # a long conversation meets its own row block by block
+    own = turns.filter(F.col("pos") > h).select("conv_id", "pos", "item", block)
+    blocks = own.select("conv_id", "block").distinct().join(convs, "conv_id")
+    own = own.join(blocks, ["conv_id", "block"]).select("conv_id", (F.col("pos") - F.col("h") + F.col("taken")).alias("depth"), "item")
+    return start.unionByName(own), convs.select("conv_id")
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stage(trie.turns(read(spark, sf_dir, "conversations")), "turns")
+    return trie.prefix_trie(*shared_starts(turns))
+
+
+OP12_SQL = f"""
+WITH o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT conv_id, count(*) AS n, {_crc32_sql('conv_id')} % 9 AS h, conv_id - conv_id % 5 AS donor FROM o GROUP BY conv_id),
+c AS (SELECT n.conv_id, n.h, n.donor, least(n.h, coalesce(d.n, 0)) AS k FROM n LEFT JOIN n d ON d.conv_id = n.donor),
+r AS (
+  SELECT c.conv_id, o.pos AS depth, role, text FROM c JOIN o ON o.conv_id = c.donor AND o.pos <= c.h
+  UNION ALL SELECT c.conv_id, o.pos - c.h + c.k, role, text FROM c JOIN o ON o.conv_id = c.conv_id AND o.pos > c.h),
+p AS (
+  SELECT conv_id, depth, strlen(text) AS bytes,
+    sha256(string_agg(sha256(strlen(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY depth)) AS path
+  FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+nodes AS (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(bytes) AS saved FROM p GROUP BY depth, path),
+up AS (
+  SELECT v.*, w.path AS above, w.conv_id AS parent_conv_id
+  FROM nodes v LEFT JOIN p q ON q.conv_id = v.conv_id AND q.depth = v.depth - 1
+    LEFT JOIN nodes w ON w.depth = q.depth AND w.path = q.path),
+children AS (SELECT depth - 1 AS depth, above AS path, count(*) AS n FROM up WHERE depth > 0 GROUP BY depth, above),
+leafy AS (SELECT u.*, coalesce(ch.n, 0) AS n_children FROM up u LEFT JOIN children ch ON ch.depth = u.depth AND ch.path = u.path),
+sums AS (
+  SELECT q.depth, q.path, sum(CASE WHEN l.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(l.saved) AS saved_tokens
+  FROM leafy l JOIN p q ON q.conv_id = l.conv_id AND q.depth <= l.depth GROUP BY q.depth, q.path),
+last AS (SELECT conv_id, max(depth) AS depth FROM p GROUP BY conv_id),
+ends AS (
+  SELECT p.depth, p.path, string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) AS ids
+  FROM p JOIN last l ON l.conv_id = p.conv_id AND l.depth = p.depth GROUP BY p.depth, p.path)
+SELECT l.conv_id, l.depth, l.parent_conv_id, l.n_convs, CAST(l.n_children AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM leafy l JOIN sums s ON s.depth = l.depth AND s.path = l.path LEFT JOIN ends e ON e.depth = l.depth AND e.path = l.path
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -191,6 +248,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_jaccard, op2_fixity, op3_repeats, op4_exact, op5_quality, op6_toxicity, op7_packing, op8_chat, op9_mixing, op10_neighbours, op11_manifest, pipeline)
+    f.__name__: f for f in (op1_jaccard, op2_fixity, op3_repeats, op4_exact, op5_quality, op6_toxicity, op7_packing, op8_chat, op9_mixing, op10_neighbours, op11_manifest, op12_trie, pipeline)
 }
-ORACLES: dict[str, str] = {"op2_fixity": OP2_SQL, "op4_exact": OP4_SQL, "op11_manifest": OP11_SQL}
+ORACLES: dict[str, str] = {"op2_fixity": OP2_SQL, "op4_exact": OP4_SQL, "op11_manifest": OP11_SQL, "op12_trie": OP12_SQL}

@@ -124,3 +124,24 @@ def manifest(rows, tampered):
                 at = h(left, at, right)
             out.append((row[0], leaf(row), subroot, root, h(*(left + right for left, right in path)), at))
     return out
+
+
+def trie(sequences):
+    """{(conv_id, depth): (parent, members, children, leaves, saved, digest of ends)} of {conv_id: [(role, text), ...]}."""
+    members = defaultdict(list)
+    for c in sorted(sequences):
+        for d in range(len(sequences[c]) + 1):
+            members[tuple(sequences[c][:d])].append(c)
+    children, leaves, saved = defaultdict(int), defaultdict(int), defaultdict(int)
+    for p in members:
+        if p:
+            children[p[:-1]] += 1
+    for p, m in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not children.get(p)
+            saved[p[:d]] += (len(m) - 1) * len(p[-1][1].encode()) if p else 0
+    out = {}
+    for p, m in members.items():
+        ends = ",".join(str(c) for c in m if len(sequences[c]) == len(p))
+        out[m[0], len(p)] = (members[p[:-1]][0] if p else None, len(m), children.get(p, 0), leaves[p], saved[p], hashlib.sha256(ends.encode()).hexdigest())
+    return out

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -10,7 +13,7 @@ import pytest
 from llm import plain
 
 import corpus_pipeline
-from cadence.llm import chat, exact, fixity, jaccard, manifest, mixing, neighbours, packing, quality, queries, repeats, toxicity
+from cadence.llm import chat, exact, fixity, jaccard, manifest, mixing, neighbours, packing, quality, queries, repeats, toxicity, trie
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, score double, slice long, rank int, digest string, label int"
 
@@ -303,6 +306,43 @@ def test_fixity(spark):
     assert fixity.audit(df, df.limit(0))[1].count() == 6
 
 
+def _trie(spark, sequences):
+    rows = [(c, i + 1, f"{len(r)}:{hashlib.md5((r + t).encode()).hexdigest()}"[-32:] + str(len(t.encode()))) for c, s in sequences.items() for i, (r, t) in enumerate(s)]
+    df = spark.createDataFrame(rows, "conv_id long, depth long, item string")
+    got = trie.prefix_trie(df, spark.createDataFrame([(c,) for c in sequences], "conv_id long")).collect()
+    assert len({(r["conv_id"], r["depth"]) for r in got}) == len(got)
+    return {(r["conv_id"], r["depth"]): tuple(r)[2:] for r in got}
+
+
+@pytest.mark.parametrize("longest", [0, 1, 2, 5, 8, 37])
+def test_trie(spark, longest):
+    """Depths at and between powers of two, copies, prefixes of each other, empty sequences."""
+    r = random.Random(longest)
+    sequences = {}
+    for c in range(60):
+        base = list(sequences[r.choice(list(sequences))]) if sequences and r.random() < 0.7 else []
+        base = base[: r.randint(0, longest)]
+        while len(base) < longest and r.random() < 0.85:
+            base.append((r.choice(["user", "assistant", ""]), r.choice(["", "a", "é", "long text"])))
+        sequences[c * 3 - 20] = base
+    assert _trie(spark, sequences) == plain.trie(sequences)
+
+
+def test_trie_of_odd_tables(spark):
+    """Nulls in any column, ties, repeated rows, a long text, clashing names, an empty table, a conversation without a beginning to share."""
+    rows = [(0, None, "user", "first"), (0, 2, None, None), (0, 2, None, None), (0, 1, "assistant", "x" * 100_000), (3, 1, "user", "b"), (3, 1, "user", "a"), (7, 5, "", ""), (None, 1, "user", "lost"), (-2, 1, "user", "first"), (11, None, "user", "first"), (10, 0, "user", "first")]
+    df = spark.createDataFrame([(*r, 1, "d", 2) for r in rows], "conv_id long, turn long, role string, text string, pos int, d string, depth int")
+    own = {}
+    for c, _, role, text in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        own.setdefault(c, []).append((role or "", text or ""))
+    h = {c: zlib.crc32(str(c).encode()) % 9 for c in own}
+    donor = {c: c - int(math.fmod(c, 5)) for c in own}
+    want = plain.trie({c: own.get(donor[c], [])[: h[c]] + s[h[c] :] for c, s in own.items()})
+    got = trie.prefix_trie(*queries.shared_starts(queries.stage(trie.turns(df), "turns"))).collect()
+    assert {(r["conv_id"], r["depth"]): tuple(r)[2:] for r in got} == want
+    assert trie.prefix_trie(*queries.shared_starts(queries.stage(trie.turns(df.limit(0)), "turns"))).count() == 0
+
+
 @pytest.mark.parametrize("levels", [1, 2, 3])
 def test_manifest(spark, levels):
     """Against a plain tree: one source over several tiers, lone leaves, many sources, nulls, repeats, clashing columns."""
