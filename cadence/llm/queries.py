@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import chat, exact, fixity, jaccard, manifest, mixing, neighbours, packing, quality, repeats, toxicity, trie
+from cadence.llm import chat, exact, fixity, jaccard, licenses, manifest, mixing, neighbours, packing, quality, repeats, toxicity, trie
 from cadence.llm.tables import held_out, read, stage
 
 
@@ -241,6 +241,10 @@ FROM leafy l JOIN sums s ON s.depth = l.depth AND s.path = l.path LEFT JOIN ends
 """
 
 
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents")).drop("detections")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -248,6 +252,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_jaccard, op2_fixity, op3_repeats, op4_exact, op5_quality, op6_toxicity, op7_packing, op8_chat, op9_mixing, op10_neighbours, op11_manifest, op12_trie, pipeline)
+    f.__name__: f for f in (op1_jaccard, op2_fixity, op3_repeats, op4_exact, op5_quality, op6_toxicity, op7_packing, op8_chat, op9_mixing, op10_neighbours, op11_manifest, op12_trie, op13_licenses, pipeline)
 }
 ORACLES: dict[str, str] = {"op2_fixity": OP2_SQL, "op4_exact": OP4_SQL, "op11_manifest": OP11_SQL, "op12_trie": OP12_SQL}

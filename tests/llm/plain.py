@@ -145,3 +145,21 @@ def trie(sequences):
         ends = ",".join(str(c) for c in m if len(sequences[c]) == len(p))
         out[m[0], len(p)] = (members[p[:-1]][0] if p else None, len(m), children.get(p, 0), leaves[p], saved[p], hashlib.sha256(ends.encode()).hexdigest())
     return out
+
+
+LICENSE_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def base_phrases(text, phrases):
+    """(words, [(place, label)]) by comparing every run of words with every phrase."""
+    w = LICENSE_WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return len(w), [(i, label) for i in range(len(w)) for phrase, label in phrases.items() if w[i : i + len(phrase.split())] == phrase.split()]
+
+
+def unsuppressed(found):
+    """The detections (start, end, priority, order, label) that lie in no other one of higher priority, greater length or earlier rule, pair by pair."""
+    def beats(a, b):
+        inside = a[0] <= b[0] and b[1] <= a[1]
+        return inside and (a[2] > b[2] or (a[2] == b[2] and (a[1] - a[0] > b[1] - b[0] or (a[1] - a[0] == b[1] - b[0] and a[3] < b[3]))))
+
+    return sorted({b for b in found if not any(beats(a, b) for a in found)})

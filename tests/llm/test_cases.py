@@ -13,7 +13,7 @@ import pytest
 from llm import plain
 
 import corpus_pipeline
-from cadence.llm import chat, exact, fixity, jaccard, manifest, mixing, neighbours, packing, quality, queries, repeats, toxicity, trie
+from cadence.llm import chat, exact, fixity, jaccard, license_rules, licenses, manifest, mixing, neighbours, packing, quality, queries, repeats, toxicity, trie
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, score double, slice long, rank int, digest string, label int"
 
@@ -306,6 +306,51 @@ def test_fixity(spark):
     assert fixity.audit(df, df.limit(0))[1].count() == 6
 
 
+def _license_texts():
+    r = random.Random(6)
+    pieces = ["GNU", "General", "Public", "License", "apache", "LICENSE", "cc", "BY", "by", "nc", "sa", "4.0", "mit", "MIT", "license", "version", "2", "v3", "lesser", "and", "é", "licensed under the", "all rights reserved", "SPDX-License-Identifier:", "copyright 2020"]
+    return ["".join(r.choice(pieces) + r.choice([" ", "  ", "-", "\n", ", ", "", "\x7f", "\u00a0"]) for _ in range(r.randint(0, 60))) for _ in range(400)]
+
+
+def test_license_base():
+    for text in [*_license_texts(), "", "cc by" * 3, "CC-BY cc/by CC by nc", "the gnu general  public\nLICENSE", "xmit license", "mit licenses", "ÄCC BY", "CC BYé", "cc by " * 20_000]:
+        n, base, _ = licenses.scan_text(text.encode())
+        assert (n, base) == plain.base_phrases(text, licenses.BASE)
+
+
+def test_license_suppression():
+    """The one-pass resolution against every pair, and the keyword gate against trying every rule."""
+    for text in _license_texts():
+        low = text.encode().lower()
+        found = [(m.start(), m.end(), rule.priority, i, rule.label) for i, rule in enumerate(licenses.rules()) for m in rule.pattern.finditer(low)]
+        assert sorted(licenses.detections(low)) == sorted(found)
+        assert sorted(licenses.resolved(found)) == plain.unsuppressed(found)
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("Licensed under the Apache License, Version 2.0.", {"apache"}), ("GNU General Public License, version 3", {"gpl-3"}), ("Licensed under CC BY-NC 4.0.", {"cc-by-nc"}), ("cc by", {"cc-by"}),
+        ("SPDX-License-Identifier: BSD-3-Clause", {"bsd-3-clause"}), ("SPDX-License-Identifier: GPL-2.0-or-later", {"gpl-2.0"}), ("https://creativecommons.org/licenses/by-sa/4.0/", {"cc-by-sa"}),
+        ("Mozilla Public Licence v. 2.0", {"mpl-2.0"}), ("under the GPLv2 or later", {"gpl-2"}), ("THE GPL", {"gpl"}), ("released into the public domain", {"public-domain"}), ("new BSD license", {"bsd-3-clause"}),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software", {"mit"}), ("GNU Lesser General Public License v2.1", {"lgpl-2"}), ("Das ist mit Lizenz gemacht", set()), ("mitlicense, apaches, gplx", set()),
+        ("Eclipse Public License 2.0", {"epl-2.0"}), ("Unauthorized copying of this file, via any medium, is strictly prohibited", {"proprietary"}),
+    ],
+)
+def test_license_rules(text, want):
+    assert {label for *_, label in licenses.scan_text(text.encode())[2]} == want
+
+
+def test_license_scan(spark, odd, empty):
+    texts = [None, "", "The MIT License. " * 3, "x" * 100_000 + " cc by", "MIT License; Apache License"]
+    df = spark.createDataFrame([(i, t, 5, "l") for i, t in enumerate(texts)] + [(None, "cc by", 5, "l")] * 2, "doc_id long, text string, n_words int, labels string")
+    got = {r["doc_id"]: tuple(r)[1:7] for r in licenses.scan(df).collect()}
+    assert got == {0: (0, 0, None, None, "", ""), 1: (0, 0, None, None, "", ""), 2: (9, 3, 1, 7, "mit", "mit"), 3: (3, 1, 1, 1, "cc-by", "cc-by"), 4: (4, 2, 0, 2, "apache,mit", "apache,mit"), None: (2, 1, 0, 0, "cc-by", "cc-by")}
+    assert licenses.scan(odd).count() == odd.count() and licenses.scan(empty).count() == 0
+    assert all(0 <= r["score"] <= 1 and (r["score"] > 0) == (r["labels"] != "") for r in licenses.scan(df).collect())
+    assert len(licenses.rules()) > 300 and all(rule.gate for rule in licenses.rules()) and license_rules.TEXTS
+
+
 def _trie(spark, sequences):
     rows = [(c, i + 1, f"{len(r)}:{hashlib.md5((r + t).encode()).hexdigest()}"[-32:] + str(len(t.encode()))) for c, s in sequences.items() for i, (r, t) in enumerate(s)]
     df = spark.createDataFrame(rows, "conv_id long, depth long, item string")

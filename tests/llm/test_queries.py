@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from llm import plain
 
-from cadence.llm import queries
+from cadence.llm import licenses, queries
 from compare import connect, duck_rows, spark_rows
 
 SF_DIR = os.environ.get("LLM_SF_DIR", "/root/testdata/sf0.001")
@@ -130,6 +130,17 @@ def test_op9(spark, docs):
     assert rows(spark, "op9_mixing") == got
 
 
+def test_op13(spark, docs):
+    got = {r["doc_id"]: r for r in rows(spark, "op13_licenses")}
+    assert got.keys() == {d for d, _ in docs}
+    for d, text in docs:
+        n, base = plain.base_phrases(text, licenses.BASE)
+        r, own = got[d], sorted({label for _, label in base})
+        assert (r["n_words"], r["n_base"], r["base_labels"]) == (n, len(base), ",".join(own))
+        assert (r["first_word"], r["last_word"]) == ((base[0][0], base[-1][0]) if base else (None, None))
+        assert set(own) <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
+
+
 def test_op10(spark):
     table = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()
     ids = np.array([r["vec_id"] for r in table])
