@@ -1,104 +1,109 @@
-"""The watchdog over a stream of receipts.
+"""The watchdog over a stream of receipts, with timers in the state store.
 
-Each micro-batch runs the batch operator on its own receipts and what the one before left:
-the last receipt of every expected key, the newest receipt of all, the last alert per key and
-the next tick to judge. These are a few rows per expected key, whatever the stream holds. They
-are stored per micro-batch: batch ``n`` reads what batch ``n - 1`` left, and a replayed
-batch reads and writes the same folders again.
+The receipts of a tick collapse to one row (the newest receipt of all, and of every expected key) in a window over event
+time. Each expected key then keeps a few numbers: its last receipt, the newest receipt of all, its last alert. A timer a tick
+judges the key once the watermark has passed the tick, in the order of ticks, whether or not the key was heard
+again; ticks follow each other while the stream as a whole was heard within the quiet time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from cadence.functions import labels as L
-from cadence.operators.alerts import throttle
-from cadence.operators.watchdog import KEY, silent_ticks, tick_at_or_after
-from cadence.params import Params
-from cadence.sources.staging import stage
-
-SILENCE = "tick_ts timestamp, line string, updn_line string, last_seen timestamp, silent_sec long"
-STATE = "kind string, line string, updn_line string, at long"
+from cadence.params import Params, WatchRules
+
+KEY = ("line", "updn_line")
+SILENCE = "tick_sec long, line string, updn_line string, last_sec long, silent_sec long"
+
+
+class Watch(StatefulProcessor):
+    """Judges one expected key at each tick; ``seed`` holds last receipts before ``start``, as epoch seconds."""
+
+    def __init__(self, start: int, rules: WatchRules, seed: Mapping[tuple[str, str], int]) -> None:
+        self.start, self.rules, self.seed = start, rules, dict(seed)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.known = handle.getValueState("known", "seen long, clock long, sent long, next long")
+        self.marks = handle.getMapState("marks", "tick long", "seen long, clock long")
+
+    def _at(self, tick: int) -> int:
+        return self.start + tick * self.rules.tick_sec
+
+    def _arm(self, tick: int) -> None:
+        self.handle.registerTimer(self._at(tick) * 1000)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if not self.known.exists():
+            clock = max(self.seed.values(), default=None)
+            self.known.update((self.seed.get(tuple(key)), clock, None, 0))
+            if clock is not None and self.start - clock <= self.rules.quiet_sec:
+                self._arm(0)
+        for frame in rows:
+            for tick, seen, clock in zip(frame["tick"].tolist(), frame["seen"].tolist(), frame["clock"].tolist(), strict=True):
+                mark = (None if pd.isna(seen) else int(seen), int(clock))
+                if self.marks.containsKey((tick,)):
+                    mark = _later(mark, self.marks.getValue((tick,)))
+                self.marks.updateValue((tick,), mark)
+                self._arm(tick)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        w = self.rules
+        tick = (expiredTimerInfo.getExpiryTimeInMs() // 1000 - self.start) // w.tick_sec
+        seen, clock, sent, after = self.known.get()
+        if self.marks.containsKey((tick,)):
+            seen, clock = _later((seen, clock), self.marks.getValue((tick,)))
+            self.marks.removeKey((tick,))
+        at = self._at(tick)
+        silent = at - (self.start if seen is None else seen)
+        raised = tick >= after and clock is not None and at - clock <= w.quiet_sec and silent > w.gap_sec
+        if raised and (sent is None or at - sent >= w.cooldown_sec):
+            sent = at
+            yield pd.DataFrame({"tick_sec": [at], "line": [key[0]], "updn_line": [key[1]], "last_sec": pd.array([seen], "Int64"), "silent_sec": [silent]})
+        self.known.update((seen, clock, sent, max(after, tick + 1)))
+        if clock is not None and self._at(tick + 1) - clock <= w.quiet_sec:
+            self._arm(tick + 1)
+
+    def close(self) -> None:
+        pass
+
+
+def _later(a: tuple, b: tuple) -> tuple:
+    return tuple(max((x for x in pair if x is not None), default=None) for pair in zip(a, b, strict=True))
 
 
 def stream_watchdog(
     events: DataFrame,
-    out: str,
-    state: str,
-    checkpoint: str,
     start: int,
     ts: str = "recptn_ts",
     seed: Mapping[tuple[str, str], int] | None = None,
-    once: bool = False,
-    every: str = "30 seconds",
+    delay: str = "0 seconds",
     p: Params = Params(),
-) -> StreamingQuery:
-    """Start the query; silence alerts after cooldown land in ``out``, one folder per micro-batch.
+) -> DataFrame:
+    """Silence alerts after cooldown: ``tick_ts line updn_line last_seen silent_sec``; start it inside ``keyed.state_store``.
 
     Time is event time. A tick is judged once, when a later receipt shows that it has passed. A
     receipt dated after the clock of its micro-batch counts as received then, so a wrong date
-    cannot run ahead. ``seed`` gives epoch seconds of receipts before ``start`` (see ``seed_from_current``).
+    cannot run ahead; one older than the watermark (the newest less ``delay``) is dropped by the engine. ``seed`` gives epoch
+    seconds of receipts before ``start`` (see ``seed_from_current``).
     """
     w = p.watch
-    step = w.tick_sec
-    expected = F.col("line").isin(*w.lines) & F.col("updn_line").isin(*w.directions)
-
-    def advance(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch_id:
-            before = spark.read.schema(STATE).parquet(f"{state}/batch={batch_id - 1}")
-        else:
-            seen = [("seen", line, d, int(at)) for (line, d), at in (seed or {}).items()]
-            before = spark.createDataFrame([("next", None, None, 0), *seen], STATE)
-        at = F.least(F.unix_timestamp(ts), F.unix_timestamp(F.current_timestamp()))
-        new = (
-            batch.where(~L.is_blank("line") & F.col(ts).isNotNull())
-            .select(*KEY, at.alias("at"))
-            .groupBy(*KEY, tick_at_or_after(F.col("at"), start, step))
-            .agg(F.max("at").alias("at"))
-        )
-        heard = stage(new.select(*KEY, "at").unionByName(before.where("kind in ('seen', 'clock')").drop("kind")), "heard")
-        newest = heard.agg(F.max("at")).first()[0]
-        first = before.where("kind = 'next'").first()["at"]
-        last = first - 1 if newest is None else max(first, -(-(newest - start) // step)) - 1
-
-        found = spark.createDataFrame([], SILENCE)
-        sent = before.where("kind = 'sent'")
-        if last >= first:
-            begin = start + first * step
-            receipts = heard.select(*KEY, F.timestamp_seconds("at").alias("recptn_ts"))
-            silent = silent_ticks(receipts, begin, start + last * step, since=start, p=p)
-            carried = sent.select(F.timestamp_seconds("at").alias("tick_ts"), *KEY)
-            rows = silent.unionByName(carried, allowMissingColumns=True)
-            found = throttle(rows, KEY, "tick_ts", w.cooldown_sec).where(F.unix_timestamp("tick_ts") >= begin)
-        path = f"{out}/batch={batch_id}"
-        found.select("tick_ts", *KEY, "last_seen", "silent_sec").write.mode("overwrite").parquet(path)
-
-        alerts = spark.read.schema(SILENCE).parquet(path).select(*KEY, F.unix_timestamp("tick_ts").alias("at"))
-        after = (
-            _newest(heard.where(expected), "seen")
-            .unionByName(_newest(sent.drop("kind").unionByName(alerts), "sent"))
-            .unionByName(
-                heard.agg(F.max_by(F.struct(*KEY), "at").alias("k"), F.max("at").alias("at"))
-                .where("at is not null")
-                .select(F.lit("clock").alias("kind"), "k.*", "at")
-            )
-            .unionByName(spark.createDataFrame([("next", None, None, last + 1)], STATE))
-        )
-        after.coalesce(1).write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
-
-    writer = events.writeStream.foreachBatch(advance).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
-    return writer.start()
-
-
-def read_silences(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.schema(SILENCE).option("basePath", out).parquet(out).drop("batch")
-
-
-def _newest(rows: DataFrame, kind: str) -> DataFrame:
-    return rows.groupBy(*KEY).agg(F.max("at").alias("at")).select(F.lit(kind).alias("kind"), *KEY, "at")
+    keys = [(line, d) for line in w.lines for d in w.directions]
+    at = F.least(F.unix_timestamp(ts), F.unix_timestamp(F.current_timestamp()))
+    heard = events.where(~L.is_blank("line") & F.col(ts).isNotNull()).select(*KEY, at.alias("at"))
+    # a receipt at a tick belongs to it, so windows are open at their start and closed at their end
+    heard = heard.withColumn("inside", F.timestamp_seconds(F.col("at") - 1)).withWatermark("inside", delay)
+    newest = [F.max(F.when((F.col("line") == line) & (F.col("updn_line") == d), F.col("at"))).alias(f"seen_{i}") for i, (line, d) in enumerate(keys)]
+    ticks = heard.groupBy(F.window("inside", f"{w.tick_sec} seconds", None, f"{start % w.tick_sec} seconds").alias("w")).agg(F.max("at").alias("clock"), *newest)
+    tick = F.greatest(F.expr(f"(unix_timestamp(w.end) - {start}) div {w.tick_sec}"), F.lit(0).cast("long"))
+    each = [F.struct(F.lit(line).alias("line"), F.lit(d).alias("updn_line"), F.col(f"seen_{i}").alias("seen")) for i, (line, d) in enumerate(keys)]
+    rows = ticks.select(tick.alias("tick"), "clock", F.inline(F.array(*each)))
+    found = rows.groupBy(*KEY).transformWithStateInPandas(Watch(start, w, seed or {}), SILENCE, "Append", "EventTime")
+    return found.select(F.timestamp_seconds("tick_sec").alias("tick_ts"), *KEY, F.timestamp_seconds("last_sec").alias("last_seen"), "silent_sec")

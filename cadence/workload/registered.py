@@ -9,8 +9,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from cadence.functions import labels as L
 from cadence.functions.clock import receipt_ts
@@ -592,25 +593,42 @@ def _daily(spark, d) -> MartStore:
 # -- streams ------------------------------------------------------------------------
 
 
-def _as_source(spark: SparkSession, df: DataFrame, name: str, one_file_each: bool = False) -> DataFrame:
-    """Land a DataFrame as files and read them as a stream, at once or a file per micro-batch in the order of their names."""
+def _as_source(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Land a DataFrame as files and read them as a stream."""
     path = _new_folder(spark, f"source-{name}")
-    if not one_file_each:
-        df.write.parquet(path)
-        return spark.readStream.schema(df.schema).parquet(path)
-    # the stream takes files by time, then name: each slice is written by a job of its own
-    rows = stage(df.withColumn("__slice", F.spark_partition_id()), name)
-    for k in range(df.rdd.getNumPartitions()):
-        rows.where(F.col("__slice") == k).drop("__slice").coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    df.write.parquet(path)
+    return spark.readStream.schema(df.schema).parquet(path)
+
+
+def _start(stream: DataFrame, out: str, check: str) -> StreamingQuery:
+    """Drain what has landed into Parquet; the query stops by itself."""
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", check)
+    with SK.state_store(stream.sparkSession):
+        return writer.outputMode("append").trigger(availableNow=True).start(out)
 
 
 def _run(stream: DataFrame, name: str) -> DataFrame:
     """Drain a stream into Parquet and read the result."""
     spark = stream.sparkSession
-    out, check = _new_folder(spark, f"sink-{name}"), _new_folder(spark, f"check-{name}")
-    writer = stream.writeStream.format("parquet").option("checkpointLocation", check)
-    writer.outputMode("append").trigger(availableNow=True).start(out).awaitTermination()
+    out = _new_folder(spark, f"sink-{name}")
+    _start(stream, out, _new_folder(spark, f"check-{name}")).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def _replay(df: DataFrame, by: Column, build: Callable[[DataFrame], DataFrame], name: str, parts: int = 3) -> DataFrame:
+    """``df`` in stretches of ``by`` (a number), each landed as files of its own and consumed by a query that then stops.
+
+    The next stretch is consumed by a query started anew from the same checkpoint, so state and offsets are resumed.
+    """
+    spark = df.sparkSession
+    rows = stage(df.withColumn("__by", F.coalesce(by.cast("double"), F.lit(0.0))), name)
+    edges = rows.stat.approxQuantile("__by", [k / parts for k in range(1, parts)], 0.01)
+    path, out, check = (_new_folder(spark, f"{x}-{name}") for x in ("source", "sink", "check"))
+    slice_of = sum(((F.col("__by") > e).cast("int") for e in edges), F.lit(0))
+    for k in range(parts):
+        rows.where(slice_of == k).drop("__by").write.mode("append").parquet(path)
+        stream = build(spark.readStream.schema(df.schema).parquet(path))
+        _start(stream, out, check).awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -635,12 +653,16 @@ def stream_log(spark, d):
 
 @query
 def stream_arrivals(spark, d):
-    out, state, check = (_new_folder(spark, x) for x in ("arrived", "state", "check"))
-    # several micro-batches: each file a stretch of the feed, in order
-    rows = log_of(spark, d).repartitionByRange(4, "ingest_seq")
-    log = _as_source(spark, rows, "log", one_file_each=True)
-    SA.stream_arrivals(log, out, state, check, X.TIES, once=True, p=p).awaitTermination()
-    return SA.read_arrivals(spark, out)
+    """Arrivals by keyed state, the feed in stretches with a restart after each and its rows shuffled inside one.
+
+    A last row far enough ahead moves the watermark past the feed, and is itself never judged.
+    """
+    log = log_of(spark, d).select("line", "train_no", "statn_id", "statn_nm", "updn_line", "direct_at", "recptn_dt", "ingest_seq")
+    newest = log.agg(F.max(F.col("recptn_dt").try_cast("timestamp")).alias("t"))
+    after = F.date_format(F.col("t") + F.expr("INTERVAL 2 DAYS"), "yyyy-MM-dd HH:mm:ss")
+    end = newest.select(*(F.lit("end").alias(c) for c in log.columns[:-2]), after.alias("recptn_dt"), F.lit(1 << 60).alias("ingest_seq"))
+    feed = log.unionByName(end).repartition("ingest_seq")
+    return _replay(feed, F.col("ingest_seq"), lambda rows: SA.stream_arrivals(rows, "1 day", X.TIES, p=p), "log")
 
 
 @query
@@ -650,20 +672,54 @@ def stream_null_windows(spark, d):
     return _run(SW.stream_null_windows(raw, "ingested_at", p=p), "windows")
 
 
+@query
+def stream_arrival_windows(spark, d):
+    """Windows over the time of arrival, closed by the clock: a replay with its stamps, so all of them, the last one too."""
+    raw = _as_source(spark, X.raw_events(spark, d), "raw")
+    stream = SW.stream_arrival_windows(raw, "ingested_at", p)
+    out, check = _new_folder(spark, "sink-arrived"), _new_folder(spark, "check-arrived")
+    with SK.state_store(spark):
+        running = stream.writeStream.format("parquet").option("checkpointLocation", check).trigger(processingTime="1 second").start(out)
+    SK.stop_when_idle(running)
+    return spark.read.schema(stream.schema).parquet(out)
+
+
 @query
 def stream_cooldown(spark, d):
     raised = _as_source(spark, AL.alert_rules(windows_of(spark, d), p), "alerts")
-    return _run(SK.stream_throttle(raised, p.alerts.cooldown_sec), "cooldown")
+    return _run(SK.stream_throttle(raised.withWatermark("window_end", "0 seconds"), p.alerts.cooldown_sec), "cooldown")
+
+
+@query
+def stream_alert_lane(spark, d):
+    """Raw records in, throttled alerts out, as one query that is stopped and started again twice on the way."""
+    return _replay(X.raw_events(spark, d), F.unix_timestamp("ingested_at"), lambda raw: SW.alert_lane(raw, "ingested_at", p=p), "lane")
+
+
+def _monitored(raw: DataFrame, start: int) -> DataFrame:
+    receipts = E.project_json(raw, names=("line", "updn_line", "recptn_dt")).withColumn("recptn_ts", receipt_ts())
+    return SWD.stream_watchdog(receipts, start, p=p)
+
+
+@query
+def stream_monitors(spark, d):
+    """Two monitors over one landed stream, side by side, each with a checkpoint of its own."""
+    raw = X.raw_events(spark, d)
+    start, _ = watch_span(E.project_json(raw, names=("recptn_dt",)).withColumn("recptn_ts", receipt_ts()))
+    source = _as_source(spark, raw, "shared")
+    lane, watch = SW.alert_lane(source, "ingested_at", p=p), _monitored(source, start)
+    outs = [_new_folder(spark, f"sink-{x}") for x in ("lane", "watch")]
+    running = [_start(m, out, _new_folder(spark, "check-monitor")) for m, out in zip((lane, watch), outs, strict=True)]
+    for q in running:
+        q.awaitTermination()
+    sent = spark.read.schema(lane.schema).parquet(outs[0]).select(F.lit("validity").alias("monitor"), F.col("window_end").alias("at"), "line", F.col("rule").alias("subject"))
+    lost = spark.read.schema(watch.schema).parquet(outs[1]).select(F.lit("completeness").alias("monitor"), F.col("tick_ts").alias("at"), "line", F.col("updn_line").alias("subject"))
+    return sent.unionByName(lost)
 
 
 @query
 def stream_watchdog(spark, d):
-    """Silence alerts at the ticks the newest receipt has passed."""
-    receipts = receipts_of(spark, d)
+    """Silence alerts at the ticks the newest receipt has passed, the receipts in stretches with a restart after each."""
+    receipts = receipts_of(spark, d).select("line", "updn_line", "recptn_ts")
     start, _ = watch_span(receipts)
-    # several micro-batches, in the order of the receipts
-    rows = receipts.select("line", "updn_line", "recptn_ts").repartitionByRange(4, "recptn_ts")
-    src = _as_source(spark, rows, "receipts", one_file_each=True)
-    out, state, check = (_new_folder(spark, x) for x in ("silences", "state", "check"))
-    SWD.stream_watchdog(src, out, state, check, start, once=True, p=p).awaitTermination()
-    return SWD.read_silences(spark, out)
+    return _replay(receipts, F.unix_timestamp("recptn_ts"), lambda rows: SWD.stream_watchdog(rows, start, p=p), "receipts")

@@ -39,18 +39,24 @@ def source(spark, df, path, per_batch=1):
 
 
 def drain(stream, folder, name="out"):
-    q = (
-        stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/check-{name}")
-        .trigger(availableNow=True).start(f"{folder}/{name}")
-    )
+    with SK.state_store(stream.sparkSession):
+        q = (
+            stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/check-{name}")
+            .trigger(availableNow=True).start(f"{folder}/{name}")
+        )
     q.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/{name}")
 
 
 def watched(src, folder, start, name="out", **more):
-    out = f"{folder}/{name}"
-    SWD.stream_watchdog(src, out, f"{folder}/state-{name}", f"{folder}/check-{name}", start, once=True, **more).awaitTermination()
-    return SWD.read_silences(src.sparkSession, out)
+    return drain(SWD.stream_watchdog(src, start, **more), folder, name)
+
+
+def closing_sighting(log):
+    """A row two days ahead: it moves the watermark past all others and is not judged itself."""
+    end = log.where("recptn_dt <> '' AND statn_id IS NOT NULL AND train_no <> ''").orderBy(F.col("recptn_dt").desc()).limit(1)
+    ahead = F.date_format(F.col("recptn_dt").cast("timestamp") + F.expr("INTERVAL 2 DAYS"), "yyyy-MM-dd HH:mm:ss")
+    return end.withColumns({"recptn_dt": ahead, "train_no": F.lit("end"), "ingest_seq": F.lit(10**9)})
 
 
 @pytest.fixture(scope="module")
@@ -93,25 +99,45 @@ def test_state_is_partitioned_by_the_date_of_the_key(spark):
 
 def test_stream_arrivals_equal_batch(spark, sf, folder):
     log = X.position_log(spark, sf)
-    land(log, f"{folder}/src", [150, 500, 501, 900])
-    q = SA.stream_arrivals(
-        source(spark, log, f"{folder}/src"), f"{folder}/out", f"{folder}/state", f"{folder}/check", X.TIES, once=True, p=P
-    )
-    q.awaitTermination()
-    assert as_set(SA.read_arrivals(spark, f"{folder}/out")) == as_set(A.arrivals(log, X.TIES, P))
+    land(log.repartition(3), f"{folder}/src", [150, 500, 501, 900])
+    land(closing_sighting(log), f"{folder}/src", [])
+    got = drain(SA.stream_arrivals(source(spark, log, f"{folder}/src"), "1 day", X.TIES, p=P), folder)
+    assert as_set(got) == as_set(A.arrivals(log, X.TIES, P))
 
 
 def test_late_sightings_make_no_false_arrival(spark, sf, folder):
     log = X.position_log(spark, sf)
     land(log, f"{folder}/src", [500])
+    land(closing_sighting(log), f"{folder}/src", [])
     land(log.where("ingest_seq BETWEEN 100 AND 200"), f"{folder}/src", [])
-    SA.stream_arrivals(
-        source(spark, log, f"{folder}/src"), f"{folder}/out", f"{folder}/state", f"{folder}/check", X.TIES, once=True, p=P
-    ).awaitTermination()
-    got = SA.read_arrivals(spark, f"{folder}/out")
+    got = drain(SA.stream_arrivals(source(spark, log, f"{folder}/src"), "1 day", X.TIES, p=P), folder)
     assert as_set(got) == as_set(A.arrivals(log, X.TIES, P))
 
 
+def test_arrivals_out_of_order_inside_the_delay(spark, folder):
+    """Rows of one train arrive backwards over three batches and a restart; state holds trains and open sightings only."""
+    at = lambda m: f"2024-01-01 10:{m:02d}:00"
+    rows = [("A", "1", s, at(m), m) for m, s in enumerate("aabbbacc")]
+    df = spark.createDataFrame(rows[::-1], "line string, train_no string, statn_id string, recptn_dt string, ingest_seq long")
+    for part in ("ingest_seq >= 6", "ingest_seq BETWEEN 2 AND 5", "ingest_seq < 2"):
+        df.where(part).coalesce(1).write.mode("append").parquet(f"{folder}/src")
+        stream = lambda: SA.stream_arrivals(source(spark, df, f"{folder}/src"), "30 minutes", X.TIES, p=P)
+        assert drain(stream(), folder).count() == 0
+    end = df.limit(1).withColumns({"recptn_dt": F.lit("2024-01-01 11:00:00"), "train_no": F.lit("2"), "ingest_seq": F.lit(99).cast("long")})
+    end.coalesce(1).write.mode("append").parquet(f"{folder}/src")
+    got = drain(stream(), folder)
+    assert sorted((r.statn_id, r.arrival_ts.minute) for r in got.collect()) == [("a", 0), ("a", 5), ("b", 2), ("c", 6)]
+
+
+def test_a_forgotten_train_arrives_again(spark, folder):
+    rows = [("A", "1", "a", "2024-01-01 10:00:00", 0), ("A", "2", "b", "2024-01-01 11:00:00", 1), ("A", "1", "a", "2024-01-01 12:00:00", 2), ("A", "3", "c", "2024-01-01 12:00:01", 3)]
+    df = spark.createDataFrame(rows, "line string, train_no string, statn_id string, recptn_dt string, ingest_seq long")
+    land(df, f"{folder}/src", [1, 2, 3])
+    seen = lambda name, forget: sorted((r.train_no, r.arrival_ts.hour) for r in drain(SA.stream_arrivals(source(spark, df, f"{folder}/src"), "0 seconds", X.TIES, forget, P), folder, name).collect())
+    assert seen("kept", None) == [("1", 10), ("2", 11), ("3", 12)]
+    assert seen("forgot", 600) == [("1", 10), ("1", 12), ("2", 11), ("3", 12)]
+
+
 def test_windows_equal_batch_once_closed(spark, raw, folder):
     closing = raw.limit(1).withColumns({"ingested_at": F.lit("2030-01-01").cast("timestamp"), "ingest_seq": F.lit(10**9)})
     land(raw, f"{folder}/src", [300, 700])
@@ -142,17 +168,66 @@ def test_cooldown_stream_equals_batch(spark, raw, folder):
     alerts = AL.alert_rules(AL.null_windows(E.project_json(raw), "ingested_at", P), P).cache()
     ordered = alerts.withColumn("k", F.unix_timestamp("window_end"))
     land(ordered, f"{folder}/src", [1_704_500_000, 1_705_500_000], "k")
-    src = source(spark, ordered, f"{folder}/src")
+    src = source(spark, ordered, f"{folder}/src").withWatermark("window_end", "0 seconds")
     got = drain(SK.stream_throttle(src, P.alerts.cooldown_sec), folder)
     want = AL.throttle(alerts, ("line", "rule"), "window_end", P.alerts.cooldown_sec)
     assert as_set(got) == as_set(want.select(*got.columns))
 
 
+def test_alert_lane_equals_batch_and_restarts(spark, raw, folder):
+    """Raw records to throttled alerts in one query, stopped after each stretch; a second monitor has its own checkpoint."""
+    at = F.unix_timestamp("ingested_at")
+    lane = lambda: SW.alert_lane(source(spark, raw, f"{folder}/src"), "ingested_at", p=P)
+    for lo, hi in ((0, 1_704_900_000), (1_704_900_000, 1_705_700_000), (1_705_700_000, 1 << 40)):
+        raw.where((at >= lo) & (at < hi)).coalesce(1).write.mode("append").parquet(f"{folder}/src")
+        got = drain(lane(), folder)
+    raised = AL.alert_rules(AL.null_windows(E.project_json(raw), "ingested_at", P), P)
+    want = AL.throttle(raised, ("line", "rule"), "window_end", P.alerts.cooldown_sec)
+    newest = raw.agg(F.max("ingested_at")).first()[0]
+    want = as_set(want.where(F.col("window_end") <= F.lit(newest)).select(*got.columns))
+    assert as_set(got) == want
+    assert as_set(drain(lane(), folder, "second")) == want
+
+
+def test_windows_over_arrival_close_without_new_rows(spark, raw, folder):
+    land(raw, f"{folder}/src", [])
+    stream = SW.stream_arrival_windows(source(spark, raw, f"{folder}/src"), "ingested_at", P)
+    with SK.state_store(spark):
+        q = stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/c").trigger(processingTime="1 second").start(f"{folder}/out")
+    SK.stop_when_idle(q)
+    got = spark.read.schema(stream.schema).parquet(f"{folder}/out")
+    assert as_set(got) == as_set(AL.null_windows(E.project_json(raw), "ingested_at", P))
+
+
+def test_live_windows_end_by_the_clock(spark, raw, folder):
+    """Stamped on arrival: a window is emitted when its end has passed, though no row follows."""
+    from cadence import AlertRules, Params
+
+    p = Params(alerts=AlertRules(window="4 seconds"))
+    land(raw, f"{folder}/src", [])
+    stream = SW.stream_arrival_windows(SW.stamped(source(spark, raw, f"{folder}/src")), p=p)
+    with SK.state_store(spark):
+        q = stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/c").trigger(processingTime="1 second").start(f"{folder}/out")
+    read = lambda: spark.read.schema(stream.schema).parquet(f"{folder}/out")
+    give_up = time.time() + 60
+    while time.time() < give_up and not (q.recentProgress and read().count()):
+        time.sleep(1)
+    q.stop()
+    assert read().agg(F.sum("total")).first()[0] == raw.count()
+
+
 def test_watchdog_stream_equals_batch(spark, sf, folder):
     receipts = receipts_of(spark, sf).select("line", "updn_line", "recptn_ts", "ingest_seq")
     start, end = watch_span(receipts)
-    land(receipts, f"{folder}/src", [200, 300, 800])
-    got = watched(source(spark, receipts, f"{folder}/src"), folder, start, p=P)
+    src = f"{folder}/src"
+    # in the order of the receipts, with a restart in the middle of the last stretch but one
+    for lo, hi in ((None, 1_704_600_000), (1_704_600_000, 1_705_200_000), (1_705_200_000, 1_705_900_000), (1_705_900_000, None)):
+        at = F.coalesce(F.unix_timestamp("recptn_ts"), F.lit(0))
+        part = receipts.where((at >= (lo or 0)) & (at < (hi or 1 << 40)))
+        part.coalesce(1).write.mode("append").parquet(src)
+        if lo is None or hi is not None and hi > 1_705_200_000:
+            watched(source(spark, receipts, src), folder, start, p=P)
+    got = watched(source(spark, receipts, src), folder, start, p=P)
     newest = receipts.agg(F.max("recptn_ts")).first()[0]
     silent = W.silent_ticks(receipts, start, end, p=P)
     want = AL.throttle(silent, W.KEY, "tick_ts", P.watch.cooldown_sec).where(F.col("tick_ts") < F.lit(newest))
