@@ -14,7 +14,6 @@ from pyspark.sql.streaming import StreamingQuery
 from cadence.operators.latest import latest_per_key
 from cadence.schema import POSITION_CURRENT, POSITION_LOG
 from cadence.sources.events import position_log
-from cadence.sources.staging import stage
 
 LOG_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in POSITION_LOG.fields)
 CURRENT_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in POSITION_CURRENT.fields)
@@ -25,7 +24,7 @@ def key_day(key: str = "event_id"):
     """Partition of the state table: the date a key ends in, else one shared partition.
 
     A function of the key alone, so a key never moves between partitions, and a
-    batch of today's events rewrites today's partition only.
+    batch of today's events touches today's partition only.
     """
     day = F.regexp_extract(key, r"(\d{4}-\d{2}-\d{2})$", 1)
     return F.when(day == "", "undated").otherwise(day)
@@ -42,33 +41,81 @@ def append_log(rows: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
-def upsert_current(rows: DataFrame, path: str) -> None:
-    """Merge one batch into the state: latest row per key, touched dates only.
+def upsert_current(rows: DataFrame, path: str, batch_id: int = 0, share: float = 0.25) -> None:
+    """Merge one batch into the state: it appends its own latest rows, as a delta per date of the key, and nothing else.
 
-    Both the batch and the stored rows are combined before the shuffle. The merged
-    rows are written aside first, as their source is the table they replace.
+    Where the deltas of a date have grown past ``share`` of the rows that were last folded for it, that date is folded: its state is
+    written anew as a base, and a line in ``_folds`` says which batches it covers. So a row is rewritten a few times
+    in all, whatever the number of batches, and dates that get no rows are never touched again. Folders that a fold
+    supersedes are no longer read.
     """
     spark = rows.sparkSession
     cols = [*POSITION_CURRENT.fieldNames(), *_extra(rows)]
     order = (*STATE_ORDER, *_extra(rows))
-    batch = rows.select(*cols, key_day().alias("key_day"))
-    days = [r[0] for r in batch.select("key_day").distinct().collect()]  # one per date in the batch
-    if not days:
-        return
-    ddl = CURRENT_DDL + "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in _extra(rows))
-    # A first use creates the empty table; later uses leave it alone.
-    spark.createDataFrame([], f"{ddl}, key_day string").write.mode("ignore").parquet(path)
-    stored = spark.read.schema(f"{ddl}, key_day string").parquet(path)
-    both = batch.unionByName(stored.where(F.col("key_day").isin(*days)))
-    merged = stage(latest_per_key(both, order=order), "upsert")
-    # By range, so that a task writes few dates and a large date is written by many tasks.
-    (
-        merged.repartitionByRange("key_day", "event_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("key_day")
-        .parquet(path)
-    )
+    delta = latest_per_key(rows.select(*cols), order=order).withColumn("key_day", key_day()).withColumn("batch_id", F.lit(batch_id))
+    _partitioned(delta, f"{path}/delta", "batch_id", "key_day")
+    ddl = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in _extra(rows))
+    mine = _deltas(spark, path, ddl).where(F.col("batch_id") == batch_id).select("key_day").distinct()
+    waiting = _unfolded(spark, path, ddl).join(mine, "key_day", "left_semi").groupBy("key_day").agg(F.count(F.lit(1)).alias("n"))
+    due = waiting.join(_folds(spark, path), "key_day", "left").where(F.col("n") >= share * F.coalesce("folded", F.lit(FIRST_FOLD)))
+    days = [r["key_day"] for r in due.select("key_day").collect()]  # dates of one batch
+    if days:
+        fold(spark, path, days, batch_id, ddl)
+
+
+#: Rows of a date that are kept as deltas before its first fold, as if so many had been folded, times ``share``.
+FIRST_FOLD = 4_000_000
+FOLDS = "key_day string, through bigint, folded bigint"
+
+
+def fold(spark: SparkSession, path: str, days: list[str], through: int, extra: str = "") -> None:
+    """Write the state of some dates as a base that covers all batches up to ``through``; a repeated fold overwrites itself."""
+    state = _latest(spark, path, extra).where(F.col("key_day").isin(*days)).withColumn("through", F.lit(through))
+    _partitioned(state, f"{path}/base", "key_day", "through")
+    written = _bases(spark, path, extra).where(F.col("key_day").isin(*days) & (F.col("through") == through))
+    done = written.groupBy("key_day", "through").agg(F.count(F.lit(1)).alias("folded"))
+    done.coalesce(1).write.mode("append").json(f"{path}/_folds")
+
+
+def _partitioned(rows: DataFrame, path: str, *by: str) -> None:
+    """Overwrite the partitions that the rows belong to; by range of the key, so that a large date is written by many tasks."""
+    placed = rows.repartitionByRange("key_day", "event_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    placed.partitionBy(*by).parquet(path)
+
+
+def _stored(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """A table that may not be there yet: a first use creates it empty, later uses leave it alone."""
+    spark.createDataFrame([], ddl).write.mode("ignore").parquet(path)
+    return spark.read.schema(ddl).parquet(path)
+
+
+def _deltas(spark: SparkSession, path: str, extra: str) -> DataFrame:
+    return _stored(spark, f"{path}/delta", f"{CURRENT_DDL}{extra}, batch_id bigint, key_day string")
+
+
+def _bases(spark: SparkSession, path: str, extra: str) -> DataFrame:
+    return _stored(spark, f"{path}/base", f"{CURRENT_DDL}{extra}, key_day string, through bigint")
+
+
+def _folds(spark: SparkSession, path: str) -> DataFrame:
+    """The newest fold of each date: one short row a date."""
+    spark.createDataFrame([], FOLDS).write.mode("ignore").json(f"{path}/_folds")
+    rows = spark.read.schema(FOLDS).json(f"{path}/_folds")
+    return rows.groupBy("key_day").agg(F.max("through").alias("through"), F.max_by("folded", "through").alias("folded"))
+
+
+def _unfolded(spark: SparkSession, path: str, extra: str) -> DataFrame:
+    done = _folds(spark, path).select("key_day", "through")
+    rows = _deltas(spark, path, extra).join(done, "key_day", "left")
+    return rows.where(F.col("through").isNull() | (F.col("batch_id") > F.col("through"))).drop("through", "batch_id")
+
+
+def _latest(spark: SparkSession, path: str, extra: str) -> DataFrame:
+    done = _folds(spark, path).select("key_day", "through")
+    base = _bases(spark, path, extra).join(done, ["key_day", "through"], "left_semi").drop("through")
+    cols = [f.split()[0] for f in extra.split(", ") if f]
+    rows = base.unionByName(_unfolded(spark, path, extra))
+    return latest_per_key(rows, order=(*STATE_ORDER, *cols))
 
 
 def read_log(spark: SparkSession, path: str, extra: str = "") -> DataFrame:
@@ -76,7 +123,8 @@ def read_log(spark: SparkSession, path: str, extra: str = "") -> DataFrame:
 
 
 def read_current(spark: SparkSession, path: str, extra: str = "") -> DataFrame:
-    return spark.read.schema(f"{CURRENT_DDL}, key_day string{extra}").parquet(path).drop("key_day")
+    """The state: per key the latest row of the folded base and the deltas since."""
+    return _latest(spark, path, extra).drop("key_day")
 
 
 def fan_out(
@@ -93,7 +141,7 @@ def fan_out(
         rows = position_log(batch).persist()
         try:
             append_log(rows, log_path, batch_id)
-            upsert_current(rows, current_path)
+            upsert_current(rows, current_path, batch_id)
         finally:
             rows.unpersist()
 

@@ -92,6 +92,32 @@ def test_a_replayed_micro_batch_changes_nothing(spark, raw, folder):
     assert SB.read_current(spark, f"{folder}/cur").count() == rows.select("event_id").distinct().count()
 
 
+def test_a_batch_writes_its_own_rows_only(spark, raw, folder):
+    """Deltas hold the batch, bases change only in a fold, and folds are few; the state is right after each batch, replays included."""
+    import glob
+    import os
+
+    rows = E.position_log(raw).withColumn("dt", F.lit("2024-01-01")).cache()
+    parts = [rows.where((SB.key_day() == "2024-01-15") & (F.pmod("ingest_seq", F.lit(4)) == k)) for k in range(4)]
+    size = lambda kind: sum(os.path.getsize(f) for f in glob.glob(f"{folder}/cur/{kind}/**/*.parquet", recursive=True))
+    SB.upsert_current(rows, f"{folder}/cur", 0)
+    SB.fold(spark, f"{folder}/cur", [r[0] for r in rows.select(SB.key_day()).distinct().collect()], 0, ", ingest_seq bigint")
+    base, delta = size("base"), size("delta")
+    for batch in (1, 2, 2):
+        SB.upsert_current(parts[batch].withColumn("recptn_dt", F.concat("recptn_dt", F.lit(f".{batch}"))), f"{folder}/cur", batch, share=50.0)
+    assert size("base") == base and size("delta") - delta < base / 4
+    written = spark.read.parquet(f"{folder}/cur/delta").groupBy("batch_id").count().collect()
+    assert {r["batch_id"]: r["count"] for r in written if r["batch_id"]} == {k: parts[k].select("event_id").distinct().count() for k in (1, 2)}
+    changed = parts[1].withColumn("recptn_dt", F.concat("recptn_dt", F.lit(".1"))).unionByName(parts[2].withColumn("recptn_dt", F.concat("recptn_dt", F.lit(".2"))))
+    want = LT.latest_per_key(rows.unionByName(changed), order=(*SB.STATE_ORDER, "ingest_seq"))
+    cols = ["event_id", "recptn_dt", "ingest_seq", "raw_json"]
+    read = lambda: as_set(SB.read_current(spark, f"{folder}/cur", ", ingest_seq bigint").select(*cols))
+    assert read() == as_set(want.select(*cols))
+    SB.upsert_current(parts[2].withColumn("recptn_dt", F.concat("recptn_dt", F.lit(".2"))), f"{folder}/cur", 3, share=0.0001)
+    assert size("base") > base and read() == as_set(want.select(*cols))
+    assert spark.read.json(f"{folder}/cur/_folds").where("through = 3").count() == parts[2].select(SB.key_day()).distinct().count()
+
+
 def test_state_is_partitioned_by_the_date_of_the_key(spark):
     rows = spark.createDataFrame([("7-1-1-2026-07-20",), ("7-1-1-",), ("x",)], "event_id string")
     assert [r[0] for r in rows.select(SB.key_day()).collect()] == ["2026-07-20", "undated", "undated"]
