@@ -11,14 +11,10 @@ from cadence.operators.ordered import with_previous
 from cadence.params import Params
 
 
-def freshness_mart(log: DataFrame, p: Params = Params()) -> DataFrame:
-    """Records, distinct trains and mean ingest lag per line and minute.
-
-    Rows collapse per ``(line, minute, train)`` before the second level, so a hot
-    line or minute is combined on the map side.
-    """
+def per_train_minutes(log: DataFrame, p: Params = Params()) -> DataFrame:
+    """Records and summed ingest lag per line, minute and train: what adds up over parts of a log."""
     lag = F.unix_timestamp("ingested_at") - F.unix_timestamp(receipt_instant(p=p))
-    per_train = (
+    return (
         log.where(~is_blank("recptn_dt"))
         .groupBy("line", F.date_trunc("minute", receipt_ts()).alias("minute_ts"), "train_no")
         .agg(
@@ -27,7 +23,15 @@ def freshness_mart(log: DataFrame, p: Params = Params()) -> DataFrame:
             F.count(lag).alias("lag_n"),
         )
     )
-    return per_train.groupBy("line", "minute_ts").agg(
+
+
+def freshness_mart(log: DataFrame, p: Params = Params()) -> DataFrame:
+    """Records, distinct trains and mean ingest lag per line and minute.
+
+    Rows collapse per ``(line, minute, train)`` before the second level, so a hot
+    line or minute is combined on the map side.
+    """
+    return per_train_minutes(log, p).groupBy("line", "minute_ts").agg(
         F.sum("n").alias("records"),
         F.count("train_no").alias("distinct_trains"),
         F.round(F.try_divide(F.sum("lag_sum"), F.sum("lag_n")), 1).alias("ingest_lag_avg_sec"),

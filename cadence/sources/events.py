@@ -5,11 +5,14 @@ The same column code serves a batch and a stream.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StructType
 
 from cadence.functions.texts import as_json
@@ -92,32 +95,64 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW.fieldNames()[0] + " string").text(path)
 
 
+@dataclass(frozen=True)
+class RawSource:
+    """A stream of ``raw_json`` that a query resumes from its checkpoint: a landing folder, or a topic with ``servers``.
+
+    A first run starts at the earliest record, or after the newest for a monitor that only watches what flows now
+    (``start="latest"``); later runs go on where the checkpoint stands, whatever ``start`` says.
+    """
+
+    where: str
+    servers: str | None = None
+    start: str = "earliest"
+    options: Mapping[str, str] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        if self.start not in ("earliest", "latest"):
+            raise ValueError(f"start is {self.start}, not earliest or latest")
+
+    def stream(self, spark: SparkSession, checkpoint: str | None = None) -> DataFrame:
+        """The records; a landing folder read from its newest file on keeps that start next to ``checkpoint``."""
+        if self.servers is not None:
+            return self._reader(spark.readStream.format("kafka"), self.topic_options()).load().select(F.col("value").cast("string").alias("raw_json"))
+        reader = self._reader(spark.readStream.schema(RAW.fieldNames()[0] + " string"), self.options)
+        if self.start == "earliest":
+            return reader.text(self.where)
+        if checkpoint is None:
+            raise ValueError("a tail of a folder needs its checkpoint, to start in the same place again")
+        since = self.tail_start(spark, f"{checkpoint}-start")
+        return reader.text(self.where).where(F.col("_metadata.file_modification_time") > F.lit(since)).select("raw_json")
+
+    def topic_options(self) -> dict[str, str]:
+        """Options of the Kafka reader."""
+        return {"kafka.bootstrap.servers": str(self.servers), "subscribe": self.where, "startingOffsets": self.start, **self.options}
+
+    def tail_start(self, spark: SparkSession, path: str) -> datetime:
+        """The time of the newest file when the tail first started; stored then, and read ever after."""
+        kept = spark.read.schema("since timestamp")
+        # only names and times are listed: the content column is not read
+        newest = spark.read.format("binaryFile").load(self.where).agg(F.coalesce(F.max("modificationTime"), F.lit("1970-01-01").cast("timestamp")).alias("since"))
+        newest.coalesce(1).write.mode("ignore").parquet(path)
+        return kept.parquet(path).first()["since"]
+
+    @staticmethod
+    def _reader(reader: DataStreamReader, options: Mapping[str, str]) -> DataStreamReader:
+        for name, value in options.items():
+            reader = reader.option(name, value)
+        return reader
+
+
 def stream_raw(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """The same records as a stream over a directory."""
-    reader = spark.readStream.schema(RAW.fieldNames()[0] + " string")
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.text(path)
+    return RawSource(path, options={} if max_files is None else {"maxFilesPerTrigger": str(max_files)}).stream(spark)
 
 
 def stream_kafka(
     spark: SparkSession, servers: str, topic: str, tail: bool = False, **options: str
 ) -> DataFrame:
-    """The event topic as a stream of ``raw_json``; needs the Kafka connector package.
-
-    The checkpoint of the query holds the offsets, so a restart resumes where it
-    stopped. A first run starts at the earliest record, or at the newest for a
-    monitor (``tail``) that only watches what flows now.
-    """
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", "latest" if tail else "earliest")
-    )
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    return reader.load().select(F.col("value").cast("string").alias("raw_json"))
+    """The event topic as a stream of ``raw_json``; needs the Kafka connector package."""
+    return RawSource(topic, servers, "latest" if tail else "earliest", options).stream(spark)
 
 
 def dump_raw(log: DataFrame, path: str) -> None:

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cadence.operators.latest import latest_per_key
 from cadence.schema import POSITION_CURRENT, POSITION_LOG
 from cadence.sources.events import position_log
+from cadence.sources.staging import stage
 
 LOG_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in POSITION_LOG.fields)
 CURRENT_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in POSITION_CURRENT.fields)
@@ -41,6 +42,42 @@ def append_log(rows: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
+#: Bits of a day's key filter, and how many of them a key sets.
+FILTER_BITS = 1 << 30
+FILTER_HASHES = 2
+KEYS_DDL = "dt string, bucket bigint, bits binary, batch_id bigint"
+
+
+def append_once(rows: DataFrame, path: str, batch_id: int, key: str = "raw_json") -> None:
+    """Append the rows of one batch that the log doesn't hold yet, however long ago they first came.
+
+    A watermark forgets; this does not. Every batch leaves a filter of its keys per date: bitmaps of hashed keys, in
+    pieces. A key whose bits are not all set in the date's filters is new for certain and is appended. Only the others, true
+    replays and a few by chance, are compared with the stored rows of their date. Of rows with one key in the batch itself one
+    stays. A replayed micro-batch looks at the other batches only, and so appends the same rows again to its own partition.
+    """
+    spark = rows.sparkSession
+    hashes = [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(FILTER_BITS)) for i in range(FILTER_HASHES)]
+    batch = stage(rows.dropDuplicates([key]).withColumn("__bits", F.array(*hashes)), "batch")
+    bits = batch.select(key, F.col("dt").alias("__dt"), F.explode("__bits").alias("bit"))
+    bits = bits.select(key, "__dt", F.bitmap_bucket_number("bit").alias("bucket"), F.bitmap_bit_position("bit").alias("at"))
+    filters = _stored(spark, f"{path}-keys", KEYS_DDL).where(F.col("batch_id") != batch_id).drop("batch_id")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.floor(byte / F.pow(F.lit(2), F.col("at") % 8)) % 2 == 1
+    met = bits.join(filters, F.col("__dt").eqNullSafe(F.col("dt")) & (bits["bucket"] == filters["bucket"])).where(is_set)
+    met = met.select(key, filters["bucket"].alias("b"), "at").distinct().groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    wanted = bits.select(key, "bucket", "at").distinct().groupBy(key).agg(F.count(F.lit(1)).alias("of"))
+    maybe = stage(met.join(wanted, key).where("n = of").select(key), "maybe")
+    stored = _stored(spark, path, f"{LOG_DDL}, batch_id bigint").where(F.col("batch_id") != batch_id)
+    days = batch.select(F.coalesce("dt", F.lit("")).alias("d")).distinct()
+    stored = stored.withColumn("d", F.coalesce("dt", F.lit(""))).join(days, "d", "left_semi").select(key)
+    known = maybe.join(stored, key, "left_semi")
+    fresh = stage(batch.join(known, key, "left_anti").drop("__bits"), "fresh")
+    append_log(fresh, path, batch_id)
+    own = bits.join(fresh.select(key), key, "left_semi").groupBy(F.col("__dt").alias("dt"), "bucket").agg(F.bitmap_construct_agg("at").alias("bits"))
+    own.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{path}-keys")
+
+
 def upsert_current(rows: DataFrame, path: str, batch_id: int = 0, share: float = 0.25) -> None:
     """Merge one batch into the state: it appends its own latest rows, as a delta per date of the key, and nothing else.
 
@@ -134,13 +171,17 @@ def fan_out(
     checkpoint: str,
     once: bool = False,
     every: str = "30 seconds",
+    replays: bool = True,
 ) -> StreamingQuery:
-    """Start the ingest query over a stream with a ``raw_json`` column."""
+    """Start the ingest query over a stream with a ``raw_json`` column.
+
+    The log keeps records that were delivered twice, or (``replays=False``) drops them, see :func:`append_once`.
+    """
 
     def both(batch: DataFrame, batch_id: int) -> None:
         rows = position_log(batch).persist()
         try:
-            append_log(rows, log_path, batch_id)
+            (append_log if replays else append_once)(rows, log_path, batch_id)
             upsert_current(rows, current_path, batch_id)
         finally:
             rows.unpersist()

@@ -24,9 +24,9 @@ from cadence.operators import punctuality as P
 from cadence.operators import quality as Q
 from cadence.operators import serving as S
 from cadence.operators import watchdog as W
-from cadence.plans import daily, wap
+from cadence.plans import daily, ranges, wap
 from cadence.sources import events as E
-from cadence.sources import files
+from cadence.sources import external, files
 from cadence.sources.staging import shared_folder, stage
 from cadence.sources.store import MartStore
 from cadence.streaming import arrivals as SA
@@ -67,9 +67,9 @@ def log_of(spark, d):
     return X.position_log(spark, d)
 
 
-def manned_log(spark, d):
-    """Log rows with a train: a minute without any would rightly fail the audit."""
-    return log_of(spark, d).where(F.col("train_no").isNotNull())
+def arrival_receipts(arrived: DataFrame) -> DataFrame:
+    """The arrivals as a log of their own: each of them has a train, so each of its minutes has one too."""
+    return arrived.select("line", "train_no", F.date_format("arrival_ts", "yyyy-MM-dd HH:mm:ss").alias("recptn_dt"), F.col("arrival_ts").alias("ingested_at"))
 
 
 def current_of(spark, d):
@@ -280,6 +280,16 @@ def freshness_mart(spark, d):
     return FR.freshness_mart(log_of(spark, d), p)
 
 
+@query
+def freshness_by_ranges(spark, d):
+    """Freshness from date ranges, one of them run twice and one that brings rows of an earlier one late."""
+    root, log = _new_folder(spark, "ranges"), log_of(spark, d)
+    for name, of in _three_ranges().items():
+        for _ in range(2 if name == "second" else 1):
+            ranges.add_range(spark, root, name, log.where(of), p)
+    return ranges.read_freshness(spark, root)
+
+
 @query
 def coverage(spark, d):
     return FR.coverage(FR.freshness_mart(log_of(spark, d), p))
@@ -462,7 +472,8 @@ def _new_folder(spark: SparkSession, what: str) -> str:
 
 def _published(spark, d) -> MartStore:
     store = MartStore(spark, _new_folder(spark, "marts"))
-    wap.run(store, X.staged_arrivals(spark, d), manned_log(spark, d), "all", GAP_TIES, p)
+    arrived = X.staged_arrivals(spark, d)
+    wap.run(store, arrived, arrival_receipts(arrived), "all", GAP_TIES, p)
     return store
 
 
@@ -486,6 +497,45 @@ def wap_blocked(spark, d):
     raise RuntimeError("the audit let a spoilt mart through")
 
 
+@query
+def wap_refused(spark, d):
+    """The whole log, with its minutes without any train: what the audit refuses, and the rows still served from before."""
+    store = MartStore(spark, _new_folder(spark, "marts"))
+    arrived = X.staged_arrivals(spark, d)
+    wap.build_direct(store, arrived, log_of(spark, d), GAP_TIES, p)
+    before = store.heads().where(F.col("mart").isin(*wap.SERVED.values())).select("mart", "version").collect()
+    try:
+        wap.run(store, arrived, log_of(spark, d), "all", GAP_TIES, p)
+    except wap.AuditFailed as refused:
+        report = refused.report
+    else:
+        report = []
+    if sorted(before) != sorted(store.heads().where(F.col("mart").isin(*wap.SERVED.values())).select("mart", "version").collect()) and report:
+        raise RuntimeError("a refused run changed what is served")
+    rows = [(r["mart"], r["rule"], r["column"], r["unexpected"]) for r in report]  # at most one row per rule
+    served = store.read(wap.SERVED["headway"]).agg(F.count(F.lit(1)).alias("served_rows"))
+    return spark.createDataFrame(rows, "mart string, rule string, column string, unexpected long").crossJoin(F.broadcast(served))
+
+
+@query
+def external_marts(spark, d):
+    """Served marts in a second session, as external tables over the same files, next to the log; then again after a new publication."""
+    store = MartStore(spark, _new_folder(spark, "marts"))
+    mart, log, landed = stage(mart_of(spark, d), "mart"), log_of(spark, d), _new_folder(spark, "log")
+    log.write.parquet(landed)
+    other = spark.newSession()
+    reader = external.ExternalMarts(other, store.root, f"served_{uuid.uuid4().hex}")
+    logs = other.read.schema(log.schema).parquet(landed).groupBy("line").agg(F.count(F.lit(1)).alias("log_rows"))
+    found = []
+    for publication, least in ((1, 1), (2, 3)):
+        store.write(wap.SERVED["headway"], mart.where(F.col("headway_samples") >= least))
+        reader.refresh()
+        groups = reader.table(wap.SERVED["headway"]).groupBy("line").agg(F.count(F.lit(1)).alias("groups"))
+        joined = logs.join(groups, "line", "left").select(F.lit(publication).alias("publication"), "line", "log_rows", F.coalesce("groups", F.lit(0).cast("long")).alias("groups"))
+        found.append(joined)
+    return found[0].unionByName(found[1])
+
+
 @query
 def wap_audit(spark, d):
     mart = stage(mart_of(spark, d), "mart")
@@ -579,15 +629,20 @@ def _daily(spark, d) -> MartStore:
     store = MartStore(spark, _new_folder(spark, "marts"))
     log = log_of(spark, d)
     express = stage(H.express_lines(H.label_arrivals(A.arrivals(log, X.TIES, p), p), p), "express")
+    parts = _three_ranges()
+    for name in ("first", "second", "second", "third"):
+        daily.run_day(store, name, log.where(parts[name]), express, X.TIES, GAP_TIES, p)
+    return store
+
+
+def _three_ranges() -> dict[str, Column]:
+    """Conditions that share out the log: two date ranges, and a third with late rows of the first."""
     day, late = F.coalesce("dt", F.lit("")), F.pmod("ingest_seq", F.lit(8)) == 3
-    ranges = {
+    return {
         "first": (day < "2024-01-11") & ~late,
         "second": (day >= "2024-01-11") & (day < "2024-01-21"),
         "third": (day >= "2024-01-21") | ((day < "2024-01-11") & late),
     }
-    for name in ("first", "second", "second", "third"):
-        daily.run_day(store, name, log.where(ranges[name]), express, X.TIES, GAP_TIES, p)
-    return store
 
 
 # -- streams ------------------------------------------------------------------------
@@ -651,6 +706,18 @@ def stream_log(spark, d):
     return LT.count_by(SB.read_log(spark, log).withColumn("dt", undated), "dt")
 
 
+@query
+def stream_log_once(spark, d):
+    """Log rows per date after a second delivery of every other record, weeks behind any watermark."""
+    raw = stage(X.raw_events(spark, d), "raw")
+    src, log, current, check = (_new_folder(spark, x) for x in ("delivered", "log", "current", "check"))
+    for rows in (raw, raw.where(F.pmod("ingest_seq", F.lit(2)) == 0)):
+        rows.write.mode("append").parquet(src)
+        SB.fan_out(spark.readStream.schema(raw.schema).parquet(src).drop("ingest_seq"), log, current, check, once=True, replays=False).awaitTermination()
+    undated = F.when(L.is_blank("dt"), "undated").otherwise(F.col("dt"))
+    return LT.count_by(SB.read_log(spark, log).withColumn("dt", undated), "dt")
+
+
 @query
 def stream_arrivals(spark, d):
     """Arrivals by keyed state, the feed in stretches with a restart after each and its rows shuffled inside one.
@@ -684,6 +751,25 @@ def stream_arrival_windows(spark, d):
     return spark.read.schema(stream.schema).parquet(out)
 
 
+@query
+def stream_resume(spark, d):
+    """Two consumers of one landing folder, both started again for each of three deliveries: one takes all records, one those after its start."""
+    raw = stage(X.raw_events(spark, d), "raw")
+    path, counted = _new_folder(spark, "landing"), []
+    names = {"all": "earliest", "tail": "latest"}
+    folders = {n: (_new_folder(spark, f"sink-{n}"), _new_folder(spark, f"check-{n}")) for n in names}
+    for k in range(3):
+        raw.where(F.pmod("ingest_seq", F.lit(3)) == k).select("raw_json").write.mode("append").text(path)
+        for name, start in names.items():
+            out, check = folders[name]
+            records = E.project_json(E.RawSource(path, start=start).stream(spark, check), names=("line",)).select("line")
+            _start(records, out, check).awaitTermination()
+    for name, (out, _) in folders.items():
+        rows = spark.read.schema("line string").parquet(out)
+        counted.append(LT.count_by(rows, "line").select(F.lit(name).alias("consumer"), "line", F.col("cnt").alias("records")))
+    return counted[0].unionByName(counted[1])
+
+
 @query
 def stream_cooldown(spark, d):
     raised = _as_source(spark, AL.alert_rules(windows_of(spark, d), p), "alerts")

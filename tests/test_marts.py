@@ -8,7 +8,8 @@ from cadence.operators import arrivals as A
 from cadence.operators import freshness as FR
 from cadence.operators import headway as H
 from cadence.operators import quality as Q
-from cadence.plans import daily, wap
+from cadence.plans import daily, ranges, wap
+from cadence.sources.external import ExternalMarts
 from cadence.sources.staging import stage
 from cadence.sources.store import MartStore, StaleVersion
 from cadence.workload import fixture as X
@@ -157,3 +158,33 @@ def test_freshness_gaps(spark):
     assert (r.line, r.window_boundaries, r.within_window_hiccups, r.max_hiccup_min) == ("a", 1, 1, 3.0)
     assert FR.hiccup_total(fresh).first()[0] == 1
     assert FR.hiccup_total(fresh.limit(0)).first()[0] == 0
+
+
+def test_external_marts_follow_publications(spark, folder):
+    store = MartStore(spark, f"{folder}/marts")
+    store.write_all({"gold/a": spark.range(3).toDF("n"), "gold/b": spark.range(5).toDF("m")})
+    other = spark.newSession()
+    reader = ExternalMarts(other, store.root, f"ext_{abs(hash(folder))}")
+    assert [reader.table(m).count() for m in ("gold/a", "gold/b")] == [3, 5]
+    assert reader.refresh() == []
+    store.write("gold/a", spark.range(4).withColumn("x", F.lit("y")))
+    assert reader.refresh() == ["gold/a"]
+    assert reader.table("gold/a").columns == ["id", "x"] and reader.table("gold/a").count() == 4
+    assert other.sql(f"SELECT COUNT(*) FROM {reader.name('gold/b')}").first()[0] == 5
+    # the files stay the store's own, whatever happens to the tables
+    other.sql(f"DROP DATABASE `{reader.database}` CASCADE")
+    assert store.read("gold/a").count() == 4 and store.read("gold/a", 1).count() == 3
+
+
+def test_freshness_by_ranges_in_any_order(spark, sf, folder):
+    log = X.position_log(spark, sf)
+    parts = {str(k): log.where(F.pmod("ingest_seq", F.lit(3)) == k) for k in range(3)}
+    ranges.add_range(spark, folder, "2", parts["2"].limit(50), P)  # broke off, and is run again below
+    for name in ("1", "0", "2", "0"):
+        ranges.add_range(spark, folder, name, parts[name], P)
+    assert as_set(ranges.read_freshness(spark, folder)) == as_set(FR.freshness_mart(log, P))
+    numbers = spark.read.parquet(f"{folder}/trains")
+    assert numbers.count() == numbers.select("train").distinct().count() == numbers.select("train_no").distinct().count()
+    empty = f"{folder}/none"
+    ranges.add_range(spark, empty, "x", log.limit(0), P)
+    assert ranges.read_freshness(spark, empty).count() == 0

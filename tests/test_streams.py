@@ -301,6 +301,54 @@ def test_replays_within_the_watermark_are_dropped(spark, sf, folder):
     assert got.count() == log.count()
 
 
+@pytest.mark.parametrize("bits", [1 << 30, 64])
+def test_log_holds_each_record_once(spark, raw, folder, monkeypatch, bits):
+    """Copies in a batch, in later batches and in a replayed micro-batch; with a filter too small to rule anything out as well."""
+    monkeypatch.setattr(SB, "FILTER_BITS", bits)
+    rows = E.position_log(raw.drop("ingest_seq")).cache()
+    want = rows.select("raw_json").distinct().count()
+    half = rows.where(F.crc32(F.encode("raw_json", "utf-8")) % 2 == 0)
+    read = lambda: SB.read_log(spark, f"{folder}/log").select("raw_json")
+    SB.append_once(half.unionByName(half), f"{folder}/log", 0)
+    assert read().count() == half.select("raw_json").distinct().count()
+    for _ in range(2):
+        SB.append_once(rows, f"{folder}/log", 1)
+        assert read().count() == read().distinct().count() == want
+    SB.append_once(half, f"{folder}/log", 2)
+    assert read().count() == want
+    again = rows.limit(1).withColumn("raw_json", F.lit("{}"))
+    SB.append_once(again, f"{folder}/log", 3)
+    assert read().count() == want + 1
+
+
+def test_sources_resume_and_tail(spark, folder):
+    """Two consumers, one started after the first delivery: nothing lost or repeated over restarts, and the tail sees later rows only."""
+    def deliver(*texts):
+        spark.createDataFrame([(t,) for t in texts], "raw_json string").coalesce(1).write.mode("append").text(f"{folder}/src")
+        time.sleep(1.1)
+
+    def consume(name, start):
+        src = E.RawSource(f"{folder}/src", start=start)
+        return sorted(r.raw_json for r in drain(src.stream(spark, f"{folder}/check-{name}"), folder, name).collect())
+
+    deliver("a", "b")
+    assert consume("all", "earliest") == ["a", "b"] and consume("tail", "latest") == []
+    deliver("c")
+    deliver("d", "d")
+    assert consume("tail", "latest") == ["c", "d", "d"]
+    deliver("e")
+    for _ in range(2):
+        assert consume("all", "earliest") == ["a", "b", "c", "d", "d", "e"]
+        assert consume("tail", "latest") == ["c", "d", "d", "e"]
+    assert consume("late", "latest") == []
+    with pytest.raises(ValueError):
+        E.RawSource("x", start="middle")
+    with pytest.raises(ValueError):
+        E.RawSource(f"{folder}/src", start="latest").stream(spark)
+    topic = E.RawSource("events", "host:1", "latest", {"failOnDataLoss": "false"}).topic_options()
+    assert topic == {"kafka.bootstrap.servers": "host:1", "subscribe": "events", "startingOffsets": "latest", "failOnDataLoss": "false"}
+
+
 def test_text_source_and_dump(spark, raw, folder):
     E.dump_raw(raw, f"{folder}/dump")
     got = drain(E.position_log(E.stream_raw(spark, f"{folder}/dump", 1)).select("event_id"), folder)
