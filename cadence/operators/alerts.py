@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from cadence.functions import labels as L
 from cadence.functions import texts
 from cadence.params import Params
+from cadence.sources.staging import stage
 
 COUNTED = ("statn_id", "statn_nm", "recptn_dt", "train_no")
+#: Slices of a timeline that are summed up together.
+CHAIN = 64
 CHECKED_FIELDS = ("line", "event_id", *COUNTED)  # all that a window needs of a record
 
 
@@ -115,20 +118,23 @@ def throttle(
     """Greedy cooldown: keep an alert when its key was silent for ``cooldown_sec``.
 
     A suppressed alert does not move the clock, so this is a left fold per key. To
-    keep groups bounded the timeline is cut into slices (a day by default):
+    keep groups bounded the timeline is cut into slices (a day by default, a cooldown at least):
 
     * a slice's fold depends on the past only through the first alert it lets
       through, and that one lies within one cooldown of the slice's first alert (or
       is the next after), so a slice is summed up by a short list of
       ``first -> last`` pairs;
-    * these lists are chained per key, one entry per slice, which gives the time of
-      the last alert before each slice;
+    * the lists of ``CHAIN`` neighbouring slices are summed up by a list of the same kind: an alert before them holds back at most
+      the first slice, so what they let through first lies in it, or opens the second;
+    * the lists of these chains are followed per key, which gives the last alert before each chain; then the lists of
+      the slices inside each chain, which gives the last alert before each slice;
     * the slices are then folded independently.
 
     NULL keys are keys like any other. A group is one key and slice, holding one alert per window or tick of that
-    time, or one key with one entry per slice.
+    time, one key and chain, holding ``CHAIN`` lists, or one key with a list per chain of ``CHAIN`` days.
     """
     cd = F.lit(int(cooldown_sec)).cast("bigint")
+    slice_sec = max(int(slice_sec), int(cooldown_sec))
     never = F.lit(-(1 << 60)).cast("bigint")
     stamped = alerts.withColumn("__t", F.unix_timestamp(at)).withColumn(
         "__slice", F.floor(F.col("__t") / slice_sec)
@@ -146,26 +152,35 @@ def throttle(
     hops = F.transform(
         F.concat(soon, later), lambda c: F.struct(c.alias("first"), last_of(c).alias("last"))
     )
-    chained = times.select(*keys, F.struct("__slice", hops.alias("hops")).alias("s")).groupBy(
-        *keys
-    ).agg(F.array_sort(F.collect_list("s")).alias("slices"))
 
-    start = F.struct(
-        never.alias("last"),
-        F.array().cast("array<struct<slice:bigint,entry:bigint>>").alias("out"),
-    )
-
-    def step(acc: Column, s: Column) -> Column:
-        usable = F.filter(s["hops"], lambda h: h["first"] >= acc["last"] + cd)
-        mark = F.struct(s["__slice"].alias("slice"), acc["last"].alias("entry"))
-        return F.struct(
-            F.coalesce(F.get(usable, F.lit(0))["last"], acc["last"]).alias("last"),
-            F.concat(acc["out"], F.array(mark)).alias("out"),
+    def after(last: Column, part: Column) -> Column:
+        """The last alert once a part was passed with ``last`` before it."""
+        usable = F.filter(part["hops"], lambda h: h["first"] >= last + cd)
+        return F.coalesce(F.get(usable, F.lit(0))["last"], last)
+
+    def through(parts: Column, number: int, last: Column) -> Column:
+        """The same for all parts from the given one on."""
+        return F.aggregate(F.slice(parts, number, CHAIN), last, after)
+
+    parts = F.col("parts")
+    summed = times.select(*keys, F.floor(F.col("__slice") / CHAIN).alias("__chain"), F.struct(F.col("__slice").alias("no"), hops.alias("hops")).alias("s"))
+    chains = stage(summed.groupBy(*keys, "__chain").agg(F.array_sort(F.collect_list("s")).alias("parts")), "chains")
+    held = F.transform(F.get(parts, F.lit(0))["hops"], lambda h: F.struct(h["first"].alias("first"), through(parts, 2, h["last"]).alias("last")))
+    opened = F.transform(F.slice(F.get(parts, F.lit(1))["hops"], 1, 1), lambda h: F.struct(h["first"].alias("first"), through(parts, 3, h["last"]).alias("last")))
+    own = F.concat(held, F.coalesce(opened, F.array().cast("array<struct<first:bigint,last:bigint>>")))
+    lists = chains.select(*keys, F.struct(F.col("__chain").alias("no"), own.alias("hops")).alias("s")).groupBy(*keys).agg(F.array_sort(F.collect_list("s")).alias("parts"))
+
+    def followed(rows: DataFrame, first: Column, name: str) -> DataFrame:
+        """``keys name entry``: the last alert before each part, ``first`` being that before all of them."""
+        start = F.struct(first.alias("last"), F.array().cast("array<struct<no:bigint,entry:bigint>>").alias("out"))
+        step = lambda acc, s: F.struct(
+            after(acc["last"], s).alias("last"),
+            F.concat(acc["out"], F.array(F.struct(s["no"].alias("no"), acc["last"].alias("entry")))).alias("out"),
         )
+        return rows.select(*keys, F.inline(F.aggregate("parts", start, step, lambda acc: acc["out"]))).withColumnRenamed("no", name)
 
-    entries = chained.select(
-        *keys, F.inline(F.aggregate("slices", start, step, lambda acc: acc["out"]))
-    ).withColumnRenamed("slice", "__slice")
+    before = followed(lists, never, "__chain")
+    entries = followed(chains.join(*_null_safe(before, [*keys, "__chain"])).select(*keys, "parts", "entry"), F.col("entry"), "__slice")
 
     fold = F.aggregate(
         ts,

@@ -23,6 +23,7 @@ from cadence.operators import latest as LT
 from cadence.operators import punctuality as P
 from cadence.operators import quality as Q
 from cadence.operators import serving as S
+from cadence.operators import sketches as K
 from cadence.operators import watchdog as W
 from cadence.plans import daily, ranges, wap
 from cadence.sources import events as E
@@ -205,6 +206,19 @@ def section_travel(spark, d):
     return A.travel_times(X.staged_arrivals(spark, d), p)
 
 
+@query
+def travel_quantiles(spark, d):
+    """Travel times per line from sketches per date, merged: the rank of each quantile lies within the stated error."""
+    hops = stage(A.travel_times(X.staged_arrivals(spark, d), p), "hops")
+    daily_parts = stage(K.sketches(hops, ["line", F.to_date("to_ts").alias("day")], "travel_sec"), "sketches")
+    found = K.quantiles(K.merged(daily_parts, ["line"]), (0.1, 0.5, 0.9))
+    value = F.col("travel_sec").cast("double")
+    below, upto = F.count_if(value < F.col("value")) / F.count("*"), F.count_if(value <= F.col("value")) / F.count("*")
+    ranks = hops.join(found, "line").groupBy("line", "n", "share", "value").agg(below.alias("below"), upto.alias("upto"))
+    within = (F.col("below") <= F.col("share") + K.RANK_ERROR) & (F.col("upto") >= F.col("share") - K.RANK_ERROR)
+    return ranks.select("line", "share", F.col("n").alias("hops"), within.alias("within"))
+
+
 @query
 def entity_trace(spark, d):
     arrived = A.arrivals(log_of(spark, d), X.TIES, p).withColumn("statn_tnm", F.col("statn_nm"))
@@ -342,6 +356,32 @@ def line_band_summary(spark, d):
 # -- plan -------------------------------------------------------------------------
 
 
+@query
+def timetable_load(spark, d):
+    """The timetable as landed API records, through the CSV export and back as sixteen text columns: rows per station and day type."""
+    out, api = _new_folder(spark, "timetable"), X.timetable(spark, d)
+    landed = api.select(
+        F.col("station_nm").alias("STATION_NM"), F.col("week_tag").alias("WEEK_TAG"), F.col("inout_tag").alias("INOUT_TAG"),
+        F.col("express_yn").alias("EXPRESS_YN"), F.col("arrive_sec").alias("ARRIVETIME"),
+    )
+    report = files.export_csv({"timetable": files.normalise_timetable(landed, p.rules.plan_line)}, out)
+    if any(state != "ok" for _, state in report):
+        raise RuntimeError(f"export failed: {report}")
+    back = files.read_timetable(spark, f"{out}/timetable")
+    return back.groupBy("line", "station_nm", "week_tag").agg(
+        F.count(F.lit(1)).alias("stops"), F.count_if(F.col("express_yn") == "D").alias("express"), F.min(F.col("arrive_time").cast("long")).alias("first_sec")
+    )
+
+
+@query
+def ingest_stamp(spark, d):
+    """Records without a time of ingestion get that of the run: all of them, none before it or after its end."""
+    began = spark.sql("SELECT current_timestamp()").first()[0]
+    rows = E.position_log(X.raw_events(spark, d).select("raw_json"))
+    fresh = (F.col("ingested_at") >= F.lit(began)) & (F.col("ingested_at") <= F.current_timestamp())
+    return rows.groupBy("line").agg(F.count(F.lit(1)).alias("records"), F.count_if(fresh).alias("stamped"))
+
+
 @query
 def plan_headway(spark, d):
     return P.planned_headways(X.timetable(spark, d), p)

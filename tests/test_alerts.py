@@ -162,3 +162,28 @@ def test_null_keys_are_throttled_like_others(spark):
     df = spark.createDataFrame(rows, "line string, t string").selectExpr("line", "CAST(t AS TIMESTAMP) AS window_end")
     kept = AL.throttle(df, ["line"], "window_end", 300)
     assert sorted(str(r["line"]) for r in kept.collect()) == ["None", "None", "a", "a"]
+
+
+def test_cooldown_over_many_chains(spark, monkeypatch):
+    """Chains of three slices against a plain fold: sparse and dense stretches, gaps of many slices, cooldowns near and above a slice."""
+    import random
+
+    monkeypatch.setattr(AL, "CHAIN", 3)
+    r = random.Random(11)
+    rows = []
+    for key in ("a", "b", None):
+        t = 0
+        for _ in range(400):
+            t += r.choice([1, 5, 30, 60, 300, 3_000])
+            rows.append((key, t))
+    df = spark.createDataFrame(rows, "k string, t long").withColumn("at", F.timestamp_seconds("t"))
+    for cooldown, part in ((10, 60), (59, 60), (60, 60), (500, 60), (100, 1_000)):
+        want = set()
+        for key in ("a", "b", None):
+            last = None
+            for t in sorted({x for k, x in rows if k == key}):
+                if last is None or t - last >= cooldown:
+                    last = t
+                    want.add((key, t))
+        got = [(x.k, x.t) for x in AL.throttle(df, ("k",), "at", cooldown, part).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
