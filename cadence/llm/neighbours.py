@@ -244,14 +244,16 @@ class Graph:
         # a node has a number of its own: one vec_id may stand first in several classes
         nodes = rows.join(reps, ["k1", "k2", "vec_id"]).dropDuplicates(["k1", "k2"]).sortWithinPartitions("k1", "k2")
         self.nodes = stage(nodes.select("k1", "k2", F.monotonically_increasing_id().alias("id"), "vec"), "nodes")
-        norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
+        # the largest number goes first, so that squares of very large or very small ones neither overflow nor vanish
+        big = self.nodes.agg(F.max(F.array_max(F.transform("vec", F.abs))).alias("b")).first()["b"] or 1.0
+        norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + (x / big) * (x / big))
         most = self.nodes.agg(F.max(norm).alias("m"), F.count("*").alias("n"), F.max(F.size("vec")).alias("d")).first()
         self.count, self.width = most["n"], (most["d"] or 0) + 1
         length = math.sqrt(most["m"] or 1.0)
 
         def floats_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                v = batch["vec"].flatten().to_numpy().reshape(batch.num_rows, -1) / length
+                v = batch["vec"].flatten().to_numpy().reshape(batch.num_rows, -1) / big / length
                 square = np.minimum(1.0, (v * v).sum(1, keepdims=True))
                 small = np.concatenate([v, square / (1.0 + np.sqrt(1.0 - square))], axis=1).astype(np.float32)
                 n = batch.num_rows
@@ -309,6 +311,7 @@ class Graph:
         def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 q = np.array(batch["vec"].to_pylist(), np.float64).reshape(batch.num_rows, -1)
+                q /= np.maximum(np.abs(q).max(1, keepdims=True, initial=0.0), 5e-324)
                 q = (q / np.maximum(np.sqrt((q * q).sum(1, keepdims=True)), 1e-300)).astype(np.float32)  # a query's length doesn't matter
                 q = np.concatenate([q, np.zeros((len(q), 1), np.float32)], axis=1)
                 sim = q @ pivot_vecs.T

@@ -277,22 +277,26 @@ def test_neighbours_of_repeated_rows(spark, tmp_path):
         assert [x["vec_id"] for x in sorted((x for x in got if x["query_id"] == q), key=lambda x: x["rank"])] == [i for _, i in want]
 
 
-@pytest.mark.parametrize("kind", ["outlier", "cluster"])
+@pytest.mark.parametrize("kind", ["outlier", "cluster", "large", "small"])
 def test_neighbours_recall(spark, kind):
-    """Recall against all pairs beside one row of norm 1,000, and in a cluster far closer than a hundredth."""
+    """Recall against all pairs beside one row of norm 1,000, in a cluster far closer than a hundredth, and where squares overflow or vanish."""
     r = np.random.default_rng(5)
     v = r.standard_normal((700, 16))
     v /= np.linalg.norm(v, axis=1, keepdims=True)
     if kind == "outlier":
         v[699] *= 1_000
-    else:
+    elif kind == "cluster":
         v[:300] = v[0] + 1e-4 * r.standard_normal((300, 16))
+    else:  # scores of the large ones would overflow, so queries are scaled down
+        v *= 1e160 if kind == "large" else 1e-170
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
     graph = neighbours.Graph(df)
     hits = {}
-    for x in graph.search(graph.rows.filter("vec_id % 20 = 0").select("vec_id", "vec"), 20, id="vec_id").collect():
+    unit = {"large": 1e-160, "small": 1e170}.get(kind, 1.0)
+    asked = spark.createDataFrame([(i, (v[i] * unit).tolist()) for i in range(0, 700, 20)], "vec_id long, vec array<double>")
+    for x in graph.search(asked, 20, id="vec_id").collect():
         hits.setdefault(x["query_id"], set()).add(x["vec_id"])
-    recall = [len(hits[q] & set([i for i in np.argsort(-(v @ v[q]), kind="stable") if i != q][:20])) / 20 for q in range(0, 700, 20)]
+    recall = [len(hits[q] & set([i for i in np.argsort(-(v @ (v[q] * unit)), kind="stable") if i != q][:20])) / 20 for q in range(0, 700, 20)]
     assert np.mean(recall) >= 0.9
 
 
