@@ -12,7 +12,8 @@ vectors and one of the offers, which are merged inside each task first. A node's
 proportion to its visitors, who are at most one row in ``K``. There are ``ROUNDS`` rounds at every size.
 
 Search: a query begins at its own node, if it has one, and at the best of ``PIVOTS`` sample nodes, and in each hop expands the best
-``EXPAND`` candidates that it hasn't; candidates and graph are joined, so neither has to fit a task.
+``EXPAND`` candidates that it hasn't. Queries go in blocks by hash: nodes to expand, their neighbours' ids and then the vectors of these are
+joined once a block, however many of its queries want them, and each query of the block is compared with all of them, in pieces.
 
 Defined cases: vectors that are null, zero, hold null or non-finite numbers, or have another length than most take no part;
 fewer candidates than asked for: all found; ties go to the smaller id; a null id takes no part; rows that repeat an id are
@@ -43,6 +44,9 @@ HOPS = 3
 BEAM = 160
 MEET = 160
 OFFER = 12
+#: Queries of a block, about; they share the vectors that any of them needs.
+ASKED = 256
+PIECE = 2_048
 
 LISTS = "id long, vec binary, near binary, sims binary"
 _LISTS = pa.schema([("id", pa.int64()), ("vec", pa.binary()), ("near", pa.binary()), ("sims", pa.binary())])
@@ -231,6 +235,19 @@ def _met(graph: DataFrame) -> DataFrame:
     return sent.repartition("at").sortWithinPartitions("at", F.xxhash64("id", "at")).mapInArrow(meet, LISTS)
 
 
+def _next(near: bytes, done: bytes) -> np.ndarray:
+    """The best nodes of a beam that it hasn't expanded."""
+    ids = np.frombuffer(near, np.int64)
+    return ids[~np.isin(ids, np.frombuffer(done, np.int64))][:EXPAND]
+
+
+def _pairs(blocks: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
+    """(block, id), each pair once."""
+    pairs = np.stack([np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (blocks, ids)])
+    pairs = np.unique(pairs, axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["block", "id"])
+
+
 class Graph:
     """The neighbour graph of a table of vectors."""
 
@@ -265,35 +282,6 @@ class Graph:
             graph = stage(_merge(graph.unionByName(_met(graph))), "graph")
         self.graph = graph
 
-    def _adjacency(self) -> DataFrame:
-        """at, ids and vectors of each node's neighbours."""
-
-        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            schema = pa.schema([("at", pa.int64()), ("near", pa.binary()), ("vecs", pa.binary())])
-            now, ids, vecs = None, [], []
-            for batch in batches:
-                out = []
-                for at, i, v in zip(batch["at"].to_pylist(), batch["id"].to_pylist(), batch["vec"].to_pylist(), strict=True):
-                    if at != now:
-                        if ids:
-                            out.append((now, np.array(ids, np.int64).tobytes(), b"".join(vecs)))
-                        now, ids, vecs = at, [], []
-                    ids.append(i)
-                    vecs.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 3, schema, strict=True)], schema=schema)
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([[now], [np.array(ids, np.int64).tobytes()], [b"".join(vecs)]], schema, strict=True)], schema=schema)
-
-        def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                near = [np.frombuffer(x, np.int64) for x in batch["near"].to_pylist()]
-                to = np.concatenate(near) if near else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch["id"].to_numpy(), [len(x) for x in near])), pa.array(to)], ["at", "to"])
-
-        pairs = self.graph.select("id", "near").mapInArrow(edges, "at long, to long")
-        rows = pairs.join(self.graph.select(F.col("id").alias("to"), "vec").hint("merge"), "to").select("at", F.col("to").alias("id"), "vec")
-        return stage(rows.repartition("at").sortWithinPartitions("at").mapInArrow(pack, "at long, near binary, vecs binary"), "adjacency")
-
     def search(self, queries: DataFrame, k: int, id: str = "query_id", vector: str = "vec") -> DataFrame:
         """query_id, rank, vec_id, score of the k best found for each query (rows of an id and a vector); k is 40 at most."""
         if k > 40:
@@ -307,6 +295,7 @@ class Graph:
         pivot_vecs = np.array([np.frombuffer(r["vec"], np.float32) for r in pivots], np.float32) if pivots else np.zeros((0, self.width), np.float32)
         schema = pa.schema([("query_id", pa.int64()), ("q", pa.binary()), ("near", pa.binary()), ("sims", pa.binary()), ("done", pa.binary())])
         state = "query_id long, q binary, near binary, sims binary, done binary"
+        blocks = max(1, -(-queries.count() // ASKED))
 
         def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -326,56 +315,74 @@ class Graph:
 
         def frontier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                at, own, qs = [], [], []
-                for query, q, near, done in zip(*(batch[c].to_pylist() for c in ("query_id", "q", "near", "done")), strict=True):
-                    near = np.frombuffer(near, np.int64)
-                    next_ = near[~np.isin(near, np.frombuffer(done, np.int64))][:EXPAND]
-                    at.append(next_)
-                    own += [query] * len(next_)
-                    qs += [q] * len(next_)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(at) if at else [], pa.int64()), pa.array(own, pa.int64()), pa.array(qs, pa.binary())], ["at", "query_id", "q"])
-
-        def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                at, block = [], []
+                for b, near, done in zip(*(batch[c].to_pylist() for c in ("block", "near", "done")), strict=True):
+                    at.append(_next(near, done))
+                    block.append(np.full(len(at[-1]), b))
+                yield _pairs(block, at)
+
+        def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
+                near = [np.frombuffer(x, np.int64) for x in batch["near"].to_pylist()]
+                yield _pairs([np.full(len(x), b) for x, b in zip(near, batch["block"].to_pylist(), strict=True)], near)
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Every query of a block against the block's nodes, which come after the queries and in pieces."""
+            now, held, ids, vecs, best = None, [], [], [], []
+
+            def nodes() -> None:
+                if ids and held:
+                    sim = np.array([np.frombuffer(r[1], np.float32) for r in held]) @ np.frombuffer(b"".join(vecs), np.float32).reshape(len(ids), -1).T
+                    top = _best_of(sim, BEAM)
+                    best.append((np.array(ids)[top], np.take_along_axis(sim, top, 1)))
+                    if len(best) > 8:
+                        near, sims = (np.concatenate(x, axis=1) for x in zip(*best, strict=True))
+                        top = _best_of(sims, BEAM)
+                        best[:] = [(np.take_along_axis(near, top, 1), np.take_along_axis(sims, top, 1))]
+                ids.clear()
+                vecs.clear()
+
+            def settled() -> pa.RecordBatch:
+                nodes()
                 out = []
-                for query, q, at, near, vecs in zip(*(batch[c].to_pylist() for c in ("query_id", "q", "at", "near", "vecs")), strict=True):
-                    ids = np.frombuffer(near, np.int64)
-                    sim = np.frombuffer(vecs, np.float32).reshape(len(ids), -1) @ np.frombuffer(q, np.float32)
-                    out.append((query, None, ids.tobytes(), sim.astype(np.float32).tobytes(), np.int64(at).tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 5, schema, strict=True)], schema=schema)
-
-        def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            now, held = None, []
-
-            def flush() -> tuple:
-                q = next((r[1] for r in held if r[1] is not None), None)
-                ids = np.frombuffer(b"".join(r[2] for r in held), np.int64)
-                s = np.frombuffer(b"".join(r[3] for r in held), np.float32)
-                order = np.lexsort((-s, ids))
-                ids, s = ids[order], s[order]
-                keep = np.concatenate(([True], ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, bool)
-                ids, s = ids[keep], s[keep]
-                order = np.lexsort((ids, -s))[:BEAM]
-                return now, q, ids[order].tobytes(), s[order].tobytes(), b"".join(r[4] for r in held)
+                for i, (query, q, near, sims, done) in enumerate(held):
+                    n = np.concatenate([np.frombuffer(near, np.int64), *(x[0][i] for x in best)])
+                    s = np.concatenate([np.frombuffer(sims, np.float32), *(x[1][i] for x in best)])
+                    order = np.lexsort((-s, n))
+                    n, s = n[order], s[order]
+                    keep = np.concatenate(([True], n[1:] != n[:-1])) if len(n) else np.zeros(0, bool)
+                    n, s = n[keep], s[keep]
+                    order = np.lexsort((n, -s))[:BEAM]
+                    out.append((query, q, n[order].tobytes(), s[order].astype(np.float32).tobytes(), done + _next(near, done).tobytes()))
+                held.clear()
+                best.clear()
+                return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 5, schema, strict=True)], schema=schema)
 
             for batch in batches:
-                out = []
-                for row in zip(*(batch[c].to_pylist() for c in ("query_id", "q", "near", "sims", "done")), strict=True):
+                for row in zip(*(batch[c].to_pylist() for c in ("block", "kind", "query_id", "q", "near", "sims", "done")), strict=True):
                     if row[0] != now:
-                        if held:
-                            out.append(flush())
-                        now, held = row[0], []
-                    held.append(row)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 5, schema, strict=True)], schema=schema)
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(flush(), strict=True), schema, strict=True)], schema=schema)
-
-        adjacency = self._adjacency()
+                        yield settled()
+                        now = row[0]
+                    if row[1] == 0:
+                        held.append(row[2:])
+                    else:
+                        ids.append(row[2])
+                        vecs.append(row[3])
+                        if len(ids) >= PIECE:
+                            nodes()
+            yield settled()
+
+        block = F.pmod(F.xxhash64("query_id", F.lit("block")), F.lit(blocks)).alias("block")
         beam = stage(queries.mapInArrow(enter, state), "beam")
+        none = F.lit(None).cast("binary")
         for _ in range(HOPS):
-            steps = beam.mapInArrow(frontier, "at long, query_id long, q binary").join(adjacency.hint("merge"), "at")
-            found = beam.unionByName(steps.mapInArrow(walk, state))
-            beam = stage(found.repartition("query_id").sortWithinPartitions("query_id").mapInArrow(settle, state), "beam")
+            asked = beam.select(block, F.lit(0).alias("kind"), "query_id", "q", "near", "sims", "done")
+            reached = asked.select("block", "near", "done").mapInArrow(frontier, "block long, id long").distinct()
+            lists = reached.join(self.graph.select("id", "near").hint("merge"), "id").select("block", "near")
+            wanted = lists.mapInArrow(spread, "block long, id long").distinct()
+            found = wanted.join(self.graph.select("id", "vec").hint("merge"), "id")
+            found = found.select("block", F.lit(1).alias("kind"), F.col("id").alias("query_id"), F.col("vec").alias("q"), none.alias("near"), none.alias("sims"), none.alias("done"))
+            beam = stage(asked.unionByName(found).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(score, state), "beam")
 
         def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
