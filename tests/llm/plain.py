@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 import re
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
 
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 
@@ -163,3 +168,55 @@ def unsuppressed(found):
         return inside and (a[2] > b[2] or (a[2] == b[2] and (a[1] - a[0] > b[1] - b[0] or (a[1] - a[0] == b[1] - b[0] and a[3] < b[3]))))
 
     return sorted({b for b in found if not any(beats(a, b) for a in found)})
+
+
+def quality_features(text, signs):
+    """The features of a text, one after another."""
+    raw, w = (text or "").encode(), words(text)
+    n, count = max(len(raw), 1), Counter((text or "").encode())
+    m, each = max(len(w), 1), Counter(w)
+    full = [x for x in raw.split(b"\n") if x.strip()]
+    share = [count[c] / m for c in signs] + [sum(count[c] for c in kind) / n for kind in (range(65, 91), range(48, 58), range(128, 256))]
+    same = sum(a == b for a, b in zip(w, w[1:])) / (len(w) - 1) if len(w) > 1 else 0.0
+    once, lines = len(set(full)) / max(len(full), 1), len(full)
+    base = [max(len(each), 1) / m, max(each.values(), default=0) / m, same, once, math.log1p(m), math.log1p(lines), math.log1p(m / max(lines, 1)), n / m]
+    return [*share, *(math.log1p(20 * x) for x in share), *base, float(not w), math.log1p(20 * same), math.sqrt(1 - once)]
+
+
+def quality_scores(docs, labels, signs, pairs=20, seed=5, ridge=1e-3, threshold=0.3):
+    """doc_id -> score: pairs drawn as the operator draws them, weights by many plain Newton steps, a quantile as the cut."""
+    x = {d: np.array(quality_features(t, signs)) for d, t in docs}
+    known = sorted(d for d in x if labels.get(d) is not None and zlib.crc32(str(d).encode()) % 5)
+    y = np.array([labels[d] for d in known])
+    sample = np.array([x[d] for d in known])
+    mean, scale = sample.mean(0), sample.std(0) + 1e-6
+    z = {d: np.clip((v - mean) / scale, -6, 6) for d, v in x.items()}
+    zs = np.array([z[d] for d in known])
+    low = np.repeat(np.flatnonzero(y == 0), pairs)
+    d = zs[np.random.default_rng(seed).choice(np.flatnonzero(y == 1), len(low))] - zs[low]
+    w = np.zeros(d.shape[1])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-(d @ w)))
+        grad = sum((pi - 1) * di for pi, di in zip(p, d)) / len(d) + ridge * w
+        hess = sum(pi * (1 - pi) * np.outer(di, di) for pi, di in zip(p, d)) / len(d) + ridge * np.eye(len(w))
+        w = w - np.linalg.solve(hess, grad)
+    s = zs @ w
+    cut, unit = np.quantile(s, (y == 0).mean()), s.std() + 1e-9
+    return {k: 1 / (1 + math.exp(-max(-30, min(30, (v @ w - cut) / unit))) * (1 - threshold) / threshold) for k, v in z.items()}
+
+
+def readings(lattice, log, lexicon, listed, half):
+    """{words: log probability} of all ways through a lattice: every word is listed, or made of trigrams, whichever is likelier."""
+    code = lambda c: ord(c) - 96 if "a" <= c <= "z" else 27
+    out = {}
+    for way in itertools.product(*lattice):
+        text, p = "".join(x for x, _ in way), sum(q for _, q in way)
+        before = 0
+        for word in text.split():
+            c = [before, 0, *map(code, word)]
+            made = half + sum(log[c[i]][c[i + 1]][c[i + 2]] for i in range(len(c) - 2)) + log[c[-2]][c[-1]][0]
+            p += max(made, listed if word in lexicon else -math.inf)
+            before = c[-1]
+        key = tuple(text.split())
+        out[key] = max(out.get(key, -math.inf), p)
+    return out

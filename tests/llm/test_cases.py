@@ -126,6 +126,63 @@ def test_scores(spark, odd, empty, labels):
     assert toxicity.keep_clean(odd, labels).columns == odd.columns
 
 
+def test_quality_equals_a_plain_fit(spark):
+    """Features, weights, cut and scores of a small table, one text and one Newton step after another."""
+    r = random.Random(12)
+    texts = []
+    for k in range(60):
+        good = " ".join(prose(r.random(), 5).capitalize() + "." for _ in range(r.randint(1, 6)))
+        bad = "\n".join([prose(r.random(), 3)] * r.randint(2, 5)) + " $$$ 123 " + "X! " * r.randint(0, 9)
+        texts.append((k, good if k % 3 else bad, int(k % 3 > 0)))
+    texts += [(100, None, 0), (101, "", 1), (102, "é" * 50, None), (103, " \n ", None)]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in texts], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in texts], "doc_id long, quality int")
+    got = {x["doc_id"]: x["score"] for x in quality.score_quality(docs, labels).collect()}
+    want = plain.quality_scores([(k, t) for k, t, _ in texts], {k: y for k, _, y in texts}, quality._SIGNS)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want)
+
+
+def test_decoding_equals_exhaustive_search():
+    """The reading of short tokens against all ways through their lattices."""
+    r = random.Random(13)
+    corpus = np.array([r.choice([0, 0, 1, 5, 40]) for _ in range(28**3)], np.float64)
+    lexicon = dict.fromkeys(["idiot", "bad", "ab", "a", "toad", "aad"], 2.0)
+    decoder = toxicity.Decoder(corpus, lexicon)
+    seen = 0
+    for _ in range(400):
+        token = "".join(r.choice(["a", "b", "d", "i", "o", "t", "1", "0", "4", "!", "-", ".", " ", "aaa", "ooo", "$"]) for _ in range(r.randint(1, 6)))
+        ways = plain.readings(decoder.lattice(token), decoder.log, lexicon, decoder.listed, toxicity.HALF)
+        best = sorted(ways.items(), key=lambda x: -x[1])
+        if len(best) == 1 or best[0][1] - best[1][1] > 1e-9:
+            assert decoder.read(token) == best[0][0], (token, best[:3])
+            seen += 1
+    assert seen > 300
+
+
+def test_lexicon_and_score_by_plain_counts(spark):
+    """The first word is the most significant one by counting, its weight its log odds; a text scores by its strongest word."""
+    r = random.Random(14)
+    rows = [(k, f"{prose(k, 6)} {'vile ' if k < 40 else ''}{'foul ' if 30 <= k < 45 else ''}n{k}", int(k < 45)) for k in range(120)]
+    lexicon, none, rate = toxicity.learn_lexicon(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    has = {w: [y for _, t, y in rows if w in t.split()] for w in {w for _, t, _ in rows for w in t.split()} if w.isalpha()}
+    base = sum(y for *_, y in rows) / len(rows)
+
+    def evidence(ys):
+        t, n = sum(ys), len(ys)
+        return 2 * sum(k * math.log(k / (n * p)) for k, p in ((t, base), (n - t, 1 - base)) if k) if t > n * base else 0.0
+
+    assert rate == base and next(iter(lexicon)) == max(has, key=lambda w: evidence(has[w])) == "vile"
+    assert lexicon["vile"] == pytest.approx(math.log((sum(has["vile"]) + 0.5) / (len(has["vile"]) - sum(has["vile"]) + 0.5)))
+    model = object.__new__(toxicity.Model)
+    model.lexicon, model.none, model.rate, model.corpus = lexicon, none, rate, np.ones(28**3)
+    logit = lambda p: math.log(p / (1 - p))
+    for text in ("all is well", "a vile thing", "v1le and vile", "V I L E", "vile foul", r.choice(rows)[1]):
+        terms = toxicity.found(text, lexicon, toxicity.Decoder(model.corpus, lexicon))
+        odds = max([lexicon[w] for w in terms], default=none) + 0.25 * max(0, len(terms) - 1)
+        assert logit(model.score(terms)) == pytest.approx(max(-30, min(30, odds)))
+        assert bool(terms) == any(w in lexicon for w in ["vile", "foul"] if w in text.lower().replace(" ", "").replace("1", "i"))
+
+
 @pytest.mark.parametrize("text", ["an 1d10t", "i d i o t", "you idiooooot!", "P@thet1c,", "w0rthle$$", "s*t*u*p*i*d", "$tupid"])
 def test_deobfuscation(text):
     lexicon = dict.fromkeys(["idiot", "pathetic", "worthless", "stupid"], 3.0)
