@@ -86,7 +86,7 @@ class Encoder:
         return np.array(self.plain.encode_ordinary(text), np.uint32).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if not self.cut.search(text):
+        if not any(t in text for t in self.added):
             return self.ordinary(text)
         return b"".join(self.added.get(part) or self.ordinary(part) for part in self.cut.split(text) if part)
 
