@@ -16,8 +16,10 @@ Levels of the tree:
 3. Inside a cell of points with one such band, leaves of ``LEAF`` points with the upper corner of their box.
 
 Cells hold whole families of near copies, so their pairs are not listed. Each member is first verified
-against the cell's centre (the member that lies in most cells). Only cells whose members then still
-belong to several components go on, to joins of boxes whose bound allows a link, then of points, and
+against the cell's centre (the member that lies in most cells). Cells whose members then still belong to several components
+get another centre from the largest component that had none, and so on while a round links anything, so that a family of copies of copies
+falls into one component by as many pairs as it has members, a few times. Only cells that still
+hold several components go on, to joins of boxes whose bound allows a link, then of points, and
 every remaining pair between different components is verified.
 
 The result is exact up to collisions of 52-bit shingle hashes within two documents.
@@ -47,6 +49,8 @@ GROUPS = 64
 FINE = np.uint64((1 << 40) - 1)
 LEAF = 32
 PERMUTATIONS = 6
+#: Rounds of further centres at most; whatever they leave goes to the boxes.
+STARS = 6
 SETS = "doc_id long, n_shingles long, f1 long, f2 long"
 #: Cells that a task gathers before it sends them, and about as many in a bucket.
 BLOCK = 2_000_000
@@ -321,6 +325,15 @@ def _boxed_pairs(members: DataFrame, bound: Bound) -> DataFrame:
     return pairs.select(F.least("tag_a", "tag_b").alias("a"), F.greatest("tag_a", "tag_b").alias("b")).distinct()
 
 
+def _open_cells(links: DataFrame, members: DataFrame, centred: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(node, label), (cell, tag, label) of the members that were no centre of their cell, and the cells where those belong to several components."""
+    label = components(links)
+    rows = members.join(centred.select("cell", F.col("a").alias("tag")), ["cell", "tag"], "left_anti")
+    labelled = stage(rows.join(label, F.col("tag") == F.col("node"), "left").select("cell", "tag", F.coalesce("label", "tag").alias("label")), "labelled")
+    open_ = labelled.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("cell")
+    return label, labelled, stage(open_, "open")
+
+
 def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of each document."""
     bound = Bound(percent)
@@ -349,14 +362,27 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     checked = stage(_verified(star, known, bound), "checked")
     links = checked.filter("linked").select("a", "b")
 
-    # cells that still hold several components, beyond the pairs just verified
-    label = components(links)
-    labelled = members.join(label, F.col("tag") == F.col("node"), "left").select("cell", "tag", F.coalesce("label", "tag").alias("label"))
-    labelled = stage(labelled, "labelled")
-    open_ = labelled.join(centre, "cell").filter("a != tag").groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("cell")
-    rest = labelled.join(stage(open_, "open"), "cell").join(centre, "cell").filter("a != tag")
+    # cells that still hold several components get further centres, each from the largest component without one
+    tried, centred = star, centre
+    label, labelled, open_ = _open_cells(links, members, centred)
+    for _ in range(STARS):
+        left = stage(labelled.join(open_, "cell"), "left")
+        had = centred.join(label, F.col("a") == F.col("node"), "left").select("cell", F.coalesce("label", "a").alias("label")).distinct()
+        groups = left.join(had, ["cell", "label"], "left_anti").groupBy("cell", "label").agg(F.count("*").alias("n"), F.min("tag").alias("a"))
+        chosen = stage(groups.groupBy("cell").agg(F.max(F.struct("n", "a", F.col("label").alias("of"))).alias("top")).select("cell", "top.a", "top.of"), "centres")
+        pairs = left.join(chosen, "cell").filter("label <> of").select("a", F.col("tag").alias("b")).distinct()
+        pairs = stage(pairs.join(tried.union(tried.select("b", "a")), ["a", "b"], "left_anti"), "star")
+        found = stage(_verified(pairs, known, bound).filter("linked").select("a", "b"), "found")
+        tried, centred = tried.union(pairs), centred.union(chosen.select("cell", "a"))
+        if found.isEmpty():
+            break
+        links = stage(links.union(found), "links")
+        label, labelled, open_ = _open_cells(links, members, centred)
+
+    # what is left, beyond the pairs just verified
+    rest = labelled.join(open_, "cell").join(centre, "cell").filter("a != tag")
     rest = rest.join(checked.select("a", F.col("b").alias("tag"), "lo", "hi"), ["a", "tag"]).join(known.select("tag", "n", "counts"), "tag")
-    pairs = stage(_boxed_pairs(stage(rest, "rest"), bound).join(star.select("a", "b").union(star.select("b", "a")), ["a", "b"], "left_anti"), "pairs")
+    pairs = stage(_boxed_pairs(stage(rest, "rest"), bound).join(tried.union(tried.select("b", "a")), ["a", "b"], "left_anti"), "pairs")
     if not pairs.isEmpty():
         links = stage(links.union(_verified(pairs, known, bound).filter("linked").select("a", "b")), "links")
         label = components(links)
