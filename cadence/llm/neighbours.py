@@ -39,13 +39,13 @@ TREES = 12
 START = 16
 ROUNDS = 4
 PIVOTS = 256
-EXPAND = 64
+EXPAND = 16
 HOPS = 3
 BEAM = 160
 MEET = 160
 OFFER = 12
-#: Queries of a block, about; they share the vectors that any of them needs.
-ASKED = 256
+#: Queries of a block, about; they share the vectors that any of them needs. Few enough that their needs grow with them, not with the table.
+ASKED = 8
 PIECE = 2_048
 
 LISTS = "id long, vec binary, near binary, sims binary"
@@ -242,10 +242,8 @@ def _next(near: bytes, done: bytes) -> np.ndarray:
 
 
 def _pairs(blocks: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
-    """(block, id), each pair once."""
-    pairs = np.stack([np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (blocks, ids)])
-    pairs = np.unique(pairs, axis=1)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["block", "id"])
+    pairs = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (blocks, ids))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in pairs], ["block", "id"])
 
 
 class Graph:
