@@ -13,12 +13,12 @@ Levels of the tree:
    equal in both: its counts are a degenerate box. A band without shingles says nothing; a class
    has spare bands for those, and a document with more of them than spare ones enters again under
    other bands. No linked pair is lost.
-3. Inside a cell of points with one such band, leaves of ``LEAF`` points with the upper corner of their box.
+3. Inside a cell of points with one such band, leaves of ``LEAF`` points, whose boxes and then points are compared in the tasks.
 
 Cells hold whole families of near copies, so their pairs are not listed. Each member is first verified
 against the cell's centre (the member that lies in most cells). Only cells whose members then still
-belong to several components go on, to joins of boxes whose bound allows a link, then of points, and
-every remaining pair between different components is verified.
+belong to several components go on, to leaves whose boxes allow a link, then to points, and every remaining
+pair between different components is verified, in blocks of sets that have many pairs in common.
 
 The result is exact up to collisions of 52-bit shingle hashes within two documents.
 
@@ -29,23 +29,27 @@ component; rows repeating an id stand for themselves; an empty table gives no ro
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm import words
 from cadence.llm.components import components
-from cadence.llm.tables import only, parallel, stage
+from cadence.llm.tables import numbered, only, parallel, stage
 
 #: Coordinates of the points that bound overlaps.
 GROUPS = 64
 #: Groups that a band's counts tell apart.
 FINE = np.uint64((1 << 40) - 1)
 LEAF = 32
+#: Sets that are verified against each other at a time, shingles from which a set is held alone, and columns of their product.
+TOGETHER = 64
+LARGE = 1 << 16
+COLUMNS = 1 << 14
 PERMUTATIONS = 6
 SETS = "doc_id long, n_shingles long, f1 long, f2 long"
 #: Cells that a task gathers before it sends them, and about as many in a bucket.
@@ -293,32 +297,131 @@ def _verified(pairs: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
     return rows.groupBy("a", "b").agg(F.max("linked").alias("linked"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
+def _pairs_of_leaves(bound: Bound, far: float, one: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task: (a, b) of the points of two leaves, or of one leaf, that labels, distances to the centre and counts allow."""
+
+    def points(column: pa.Array) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        flat = column.flatten()
+        out = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("tag", "label", "size", "lo", "hi")}
+        out["counts"] = flat.field("counts").flatten().to_numpy().reshape(-1, GROUPS)
+        return np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy()))), out
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at_p, p = points(batch["points_a"])
+            at_q, q = (at_p, p) if one else points(batch["points_b"])
+            found = [np.zeros((0, 2), np.int64)]
+            for k in range(batch.num_rows):
+                x, y = ({c: v[at[k] : at[k + 1]] for c, v in side.items()} for at, side in ((at_p, p), (at_q, q)))
+                low = np.minimum(x["counts"].max(0), y["counts"].max(0)).sum()
+                if not one and not bound.links(low, x["size"].min() + y["size"].min()):
+                    continue  # the boxes' upper corners allow no link
+                may = (x["label"][:, None] != y["label"]) & (x["lo"][:, None] - y["hi"] <= far) & (y["lo"] - x["hi"][:, None] <= far)
+                if one:
+                    may &= np.triu(np.ones_like(may), 1)
+                a, b = np.nonzero(may)
+                overlap = np.minimum(x["counts"][a], y["counts"][b]).sum(1, dtype=np.int64)
+                fit = bound.links(overlap, x["size"][a] + y["size"][b])
+                found.append(np.sort(np.stack((x["tag"][a[fit]], y["tag"][b[fit]]), 1), 1))
+            pairs = np.concatenate(found)
+            pairs = pairs[np.lexsort(pairs.T)]
+            pairs = pairs[np.concatenate((np.ones(min(len(pairs), 1), bool), (pairs[1:] != pairs[:-1]).any(1)))]
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return of
+
+
 def _boxed_pairs(members: DataFrame, bound: Bound) -> DataFrame:
     """Pairs of tags in one cell, of different components, that the boxes and then the points allow.
 
     members: cell, tag, label, n, counts, and lo and hi, the limits of the distance to the cell's centre. Jaccard distance is a
-    metric, so two points whose distances to the centre differ by more than a link allows don't link.
+    metric, so two points whose distances to the centre differ by more than a link allows don't link. A leaf travels whole, once
+    for each other leaf that it has to meet, and points are compared in the task. The number of pairs of leaves in one cell still
+    grows with the square of those that no bound tells apart.
     """
     far = 1 - bound.percent / 100 + 1e-9
     # leaves of one component lie together, so most pairs of boxes can be told to hold nothing new
-    own = Window.partitionBy("cell").orderBy("label", "lo", "n", "tag")
-    leaf = stage(members.withColumn("leaf", F.floor((F.row_number().over(own) - 1) / LEAF)), "leaves")
-    corners = [F.max(F.col("counts")[i]).alias(f"c{i}") for i in range(GROUPS)]
-    boxes = leaf.groupBy("cell", "leaf").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("label").alias("low"), F.max("label").alias("high"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), *corners)
-    boxes = stage(boxes.select("cell", "leaf", "least", "most", "low", "high", "lo", "hi", F.array(*(f"c{i}" for i in range(GROUPS))).alias("corner")), "boxes")
-    # 100 overlap >= percent (a + b - overlap)
-    allowed = lambda overlap, joint: (100 + bound.percent) * overlap >= bound.percent * joint
-    a, b = (boxes.select("cell", *(F.col(c).alias(f"{c}_{s}") for c in ("leaf", "least", "most", "low", "high", "lo", "hi", "corner"))) for s in "ab")
-    one = lambda low, high: (F.col("low_b") == F.col("high_b")) & (F.col(low) == F.col("low_b")) & (F.col(high) == F.col("low_b"))
-    close = lambda lo_a, hi_a, lo_b, hi_b: (F.col(lo_a) - F.col(hi_b) <= far) & (F.col(lo_b) - F.col(hi_a) <= far)
-    bound_boxes = (100 * F.col("most_a") >= bound.percent * F.col("least_b")) & allowed(_overlap(F.col("corner_a"), F.col("corner_b")), F.col("least_a") + F.col("least_b"))
-    near = a.join(b, (a["cell"] == b["cell"]) & (F.col("leaf_a") <= F.col("leaf_b")) & ~one("low_a", "high_a") & close("lo_a", "hi_a", "lo_b", "hi_b") & bound_boxes)
-    near = near.select(a["cell"], "leaf_a", "leaf_b", "least_b", "low_b", "high_b", F.col("lo_b").alias("lo_box"), F.col("hi_b").alias("hi_box"), "corner_b")
-    p, q = (leaf.select(F.col("cell").alias(f"cell_{s}"), *(F.col(c).alias(f"{c}_{s}") for c in ("tag", "label", "n", "lo", "hi", "counts")), F.col("leaf").alias(f"of_{s}")) for s in "ab")
-    half = near.join(p, (F.col("cell") == F.col("cell_a")) & (F.col("leaf_a") == F.col("of_a")) & ~one("label_a", "label_a") & close("lo_a", "hi_a", "lo_box", "hi_box") & allowed(_overlap(F.col("counts_a"), F.col("corner_b")), F.col("n_a") + F.col("least_b")))
-    half = half.select("cell", "leaf_a", "leaf_b", "tag_a", "label_a", "n_a", "lo_a", "hi_a", "counts_a")
-    pairs = half.join(q, (F.col("cell") == F.col("cell_b")) & (F.col("leaf_b") == F.col("of_b")) & (F.col("label_a") != F.col("label_b")) & close("lo_a", "hi_a", "lo_b", "hi_b") & ((F.col("leaf_a") < F.col("leaf_b")) | (F.col("tag_a") < F.col("tag_b"))) & allowed(_overlap(F.col("counts_a"), F.col("counts_b")), F.col("n_a") + F.col("n_b")))
-    return pairs.select(F.least("tag_a", "tag_b").alias("a"), F.greatest("tag_a", "tag_b").alias("b")).distinct()
+    ranked = numbered(members.withColumnRenamed("n", "size"), "cell", "label", "lo", "size", "tag")
+    point = F.struct("tag", "label", "size", "lo", "hi", "counts")
+    limits = [F.min("size").alias("least"), F.max("size").alias("most"), F.min("label").alias("low"), F.max("label").alias("high"), F.min("lo").alias("lo"), F.max("hi").alias("hi")]
+    leaf = ranked.withColumn("leaf", F.floor(F.col("rank") / LEAF)).groupBy("cell", "leaf").agg(F.collect_list(point).alias("points"), *limits, F.first("n").alias("in_cell"))
+    leaf = stage(leaf, "leaves")
+    inner = leaf.filter("low < high").select(F.col("points").alias("points_a")).mapInArrow(_pairs_of_leaves(bound, far, True), "a long, b long")
+
+    split = leaf.filter(F.col("in_cell") > LEAF)
+    a, b = (split.select("cell", *(F.col(c).alias(f"{c}_{s}") for c in ("leaf", "least", "most", "low", "high", "lo", "hi"))) for s in "ab")
+    several = (F.col("low_a") < F.col("high_a")) | (F.col("low_b") < F.col("high_b")) | (F.col("low_a") != F.col("low_b"))
+    close = (F.col("lo_a") - F.col("hi_b") <= far) & (F.col("lo_b") - F.col("hi_a") <= far)
+    sizes = (100 * F.col("most_a") >= bound.percent * F.col("least_b")) & (100 * F.col("most_b") >= bound.percent * F.col("least_a"))
+    near = a.join(b, "cell").filter((F.col("leaf_a") < F.col("leaf_b")) & several & close & sizes).select("cell", "leaf_a", "leaf_b")
+    for s in "ab":
+        near = near.join(split.select("cell", F.col("leaf").alias(f"leaf_{s}"), F.col("points").alias(f"points_{s}")).hint("merge"), ["cell", f"leaf_{s}"])
+    outer = near.select("points_a", "points_b").mapInArrow(_pairs_of_leaves(bound, far, False), "a long, b long")
+    return inner.unionByName(outer).distinct()
+
+
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of the sets share: products of their membership vectors, over ``COLUMNS`` elements at a time."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    element = np.concatenate(sets)
+    order = np.argsort(element, kind="stable")
+    element, owner = element[order], owner[order]
+    column = np.cumsum(np.concatenate(([0], element[1:] != element[:-1])))
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    for start in range(0, int(column[-1]) + 1, COLUMNS):
+        i, j = np.searchsorted(column, (start, start + COLUMNS))
+        member = np.zeros((len(sets), int(column[j - 1]) + 1 - start), np.float32)
+        member[owner[i:j], column[i:j] - start] = 1
+        out += (member @ member.T).astype(np.int64)
+    return out
+
+
+def _linked(pairs: DataFrame, homes: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
+    """The pairs (a, b) that link. homes (staged): tag, size, home, where tags of one home are likely to pair.
+
+    Tags lie in blocks of ``TOGETHER`` of one home, large sets in blocks of their own; a set is sent once for each two
+    blocks that have a pair, not once a pair.
+    """
+    alone = F.when(F.col("size") > LARGE, F.col("tag"))
+    places = numbered(homes, "home", "tag").select("tag", F.xxhash64("home", F.floor(F.col("rank") / TOGETHER), alone).alias("block"))
+    places = stage(places, "places")
+    for s in "ab":
+        pairs = pairs.join(places.select(F.col("tag").alias(s), F.col("block").alias(f"block_{s}")).hint("merge"), s)
+    blocks = ["block_a", "block_b"]
+    # which of two tags comes first says nothing
+    turned = F.col("block_a") > F.col("block_b")
+    pairs = pairs.select(F.least(*blocks).alias("block_a"), F.greatest(*blocks).alias("block_b"), F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"))
+    met = stage(pairs.groupBy(*blocks).agg(F.collect_list(F.struct("a", "b")).alias("p")).select(*blocks, "p.a", "p.b"), "met")
+    need = met.select(*blocks, F.explode(F.array_union("a", "b")).alias("tag")).join(sets.select("tag", "members").hint("merge"), "tag")
+    none = F.lit(None).cast("array<long>")
+    rows = need.select(*blocks, "tag", "members", none.alias("a"), none.alias("b"))
+    rows = rows.unionByName(met.select(*blocks, F.lit(None).cast("long").alias("tag"), F.lit(None).cast("binary").alias("members"), "a", "b"))
+
+    def links(a: list[int], b: list[int], held: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        place = {tag: k for k, tag in enumerate(held)}
+        x, y = (np.array([place[t] for t in side]) for side in (a, b))
+        size = np.array([len(s) for s in held.values()])
+        linked = bound.links(_overlaps(list(held.values()))[x, y], size[x] + size[y])
+        return np.array(a)[linked], np.array(b)[linked]
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: tuple | None = None
+
+        def closed() -> Iterator[pa.RecordBatch]:
+            if now:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in links(*now)], ["a", "b"])
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                tag = batch["tag"][k].as_py()
+                if tag is None:
+                    yield from closed()
+                    now = (batch["a"][k].as_py(), batch["b"][k].as_py(), {})
+                else:
+                    now[2][tag] = np.cumsum(words.unplanes(batch["members"][k].as_py(), np.uint64))
+        yield from closed()
+
+    return rows.repartition(*blocks).sortWithinPartitions(*blocks, F.col("tag").asc_nulls_first()).mapInArrow(of, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -356,9 +459,11 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     open_ = labelled.join(centre, "cell").filter("a != tag").groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("cell")
     rest = labelled.join(stage(open_, "open"), "cell").join(centre, "cell").filter("a != tag")
     rest = rest.join(checked.select("a", F.col("b").alias("tag"), "lo", "hi"), ["a", "tag"]).join(known.select("tag", "n", "counts"), "tag")
-    pairs = stage(_boxed_pairs(stage(rest, "rest"), bound).join(star.select("a", "b").union(star.select("b", "a")), ["a", "b"], "left_anti"), "pairs")
+    rest = stage(rest, "rest")
+    pairs = stage(_boxed_pairs(rest, bound).join(star.select("a", "b").union(star.select("b", "a")), ["a", "b"], "left_anti"), "pairs")
     if not pairs.isEmpty():
-        links = stage(links.union(_verified(pairs, known, bound).filter("linked").select("a", "b")), "links")
+        homes = stage(rest.groupBy("tag").agg(F.first("n").alias("size"), F.min_by("a", F.struct("lo", "a")).alias("home")), "homes")
+        links = stage(links.union(_linked(pairs, homes, known, bound)), "links")
         label = components(links)
 
     reps = classes.join(label, F.col("f1") == F.col("node"), "left").select("n_shingles", "f1", "f2", "rep", F.coalesce("label", "f1").alias("label"))
