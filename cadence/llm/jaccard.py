@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from cadence.llm import words
 from cadence.llm.components import components
-from cadence.llm.tables import numbered, only, parallel, stage
+from cadence.llm.tables import numbered, only, parallel, release, stage
 
 #: Coordinates of the points that bound overlaps.
 GROUPS = 64
@@ -331,11 +331,11 @@ def _pairs_of_leaves(bound: Bound, far: float, one: bool) -> Callable[[Iterator[
     return of
 
 
-def _boxed_pairs(members: DataFrame, bound: Bound) -> DataFrame:
+def _boxed_pairs(members: DataFrame, counts: DataFrame, bound: Bound) -> DataFrame:
     """Pairs of tags in one cell, of different components, that the boxes and then the points allow.
 
-    members: cell, tag, label, n, counts, and lo and hi, the limits of the distance to the cell's centre. Jaccard distance is a
-    metric, so two points whose distances to the centre differ by more than a link allows don't link. A leaf travels whole, once
+    members: cell, tag, label, n, and lo and hi, the limits of the distance to the cell's centre; counts: tag, counts. Jaccard distance
+    is a metric, so two points whose distances to the centre differ by more than a link allows don't link. A leaf travels whole, once
     for each other leaf that it has to meet, and points are compared in the task. The number of pairs of leaves in one cell still
     grows with the square of those that no bound tells apart.
     """
@@ -344,7 +344,8 @@ def _boxed_pairs(members: DataFrame, bound: Bound) -> DataFrame:
     ranked = numbered(members.withColumnRenamed("n", "size"), "cell", "label", "lo", "size", "tag")
     point = F.struct("tag", "label", "size", "lo", "hi", "counts")
     limits = [F.min("size").alias("least"), F.max("size").alias("most"), F.min("label").alias("low"), F.max("label").alias("high"), F.min("lo").alias("lo"), F.max("hi").alias("hi")]
-    leaf = ranked.withColumn("leaf", F.floor(F.col("rank") / LEAF)).groupBy("cell", "leaf").agg(F.collect_list(point).alias("points"), *limits, F.first("n").alias("in_cell"))
+    placed = ranked.select("cell", F.floor(F.col("rank") / LEAF).alias("leaf"), "tag", "label", "size", "lo", "hi", F.col("n").alias("in_cell"))
+    leaf = placed.join(counts.hint("merge"), "tag").groupBy("cell", "leaf").agg(F.collect_list(point).alias("points"), *limits, F.first("in_cell").alias("in_cell"))
     leaf = stage(leaf, "leaves")
     inner = leaf.filter("low < high").select(F.col("points").alias("points_a")).mapInArrow(_pairs_of_leaves(bound, far, True), "a long, b long")
 
@@ -437,6 +438,7 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(parallel(docs.sparkSession), total * 2 * (100 - percent) // 100 // BUCKET_CELLS)
     shared = stage(_shared_cells(_packed_cells(docs, n, bound, buckets), buckets).distinct(), "shared")
+    release(docs.sparkSession)
     # of cells with the same members, which say the same, one stays
     signed = shared.groupBy("cell").agg(F.bit_xor(F.xxhash64("tag")).alias("s1"), F.bit_xor(F.xxhash64("tag", F.lit(1))).alias("s2"), F.count("*").alias("size"))
     one = signed.groupBy("s1", "s2", "size").agg(F.min("cell").alias("cell")).select("cell")
@@ -449,6 +451,7 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
 
     wanted = stage(classes.select(F.col("rep").alias("doc_id"), F.col("f1").alias("tag")).join(degree.select("tag"), "tag"), "wanted")
     known = stage(_with_sets(docs, wanted, n), "sets")
+    release(docs.sparkSession)
     checked = stage(_verified(star, known, bound), "checked")
     links = checked.filter("linked").select("a", "b")
 
@@ -458,9 +461,11 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     labelled = stage(labelled, "labelled")
     open_ = labelled.join(centre, "cell").filter("a != tag").groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("cell")
     rest = labelled.join(stage(open_, "open"), "cell").join(centre, "cell").filter("a != tag")
-    rest = rest.join(checked.select("a", F.col("b").alias("tag"), "lo", "hi"), ["a", "tag"]).join(known.select("tag", "n", "counts"), "tag")
+    rest = rest.join(checked.select("a", F.col("b").alias("tag"), "lo", "hi"), ["a", "tag"]).join(known.select("tag", "n"), "tag")
     rest = stage(rest, "rest")
-    pairs = stage(_boxed_pairs(rest, bound).join(star.select("a", "b").union(star.select("b", "a")), ["a", "b"], "left_anti"), "pairs")
+    release(docs.sparkSession)
+    pairs = stage(_boxed_pairs(rest, known.select("tag", "counts"), bound).join(star.select("a", "b").union(star.select("b", "a")), ["a", "b"], "left_anti"), "pairs")
+    release(docs.sparkSession)
     if not pairs.isEmpty():
         homes = stage(rest.groupBy("tag").agg(F.first("n").alias("size"), F.min_by("a", F.struct("lo", "a")).alias("home")), "homes")
         links = stage(links.union(_linked(pairs, homes, known, bound)), "links")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cadence.sources.staging import stage
 
-__all__ = ["held_out", "numbered", "only", "parallel", "read", "stage"]
+__all__ = ["held_out", "numbered", "only", "parallel", "read", "release", "stage"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,6 +29,11 @@ def parallel(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files of ended steps go now: Spark deletes them once the driver has collected their plans, by itself only every half hour."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def numbered(df: DataFrame, group: str, *order: str) -> DataFrame:
     """``df`` (staged, sorted by group and order, nulls first) with ``rank``, from 0 inside each group, and ``n``, the group's rows.
 
