@@ -87,6 +87,25 @@ def test_jaccard_families(spark):
         assert got == plain.components(docs, n, percent)
 
 
+def test_jaccard_blocks(spark, monkeypatch):
+    """Leaves and verification in blocks, smaller than a cell and a home, against all pairs of sets."""
+    monkeypatch.setattr(jaccard, "LEAF", 3)
+    monkeypatch.setattr(jaccard, "TOGETHER", 2)
+    monkeypatch.setattr(jaccard, "COLUMNS", 16)
+    r = random.Random(4)
+    sets = {t: sorted({e for e in range(60) if r.random() < 0.9}) for t in range(12)}
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len({*sets[a]} & {*sets[b]}) >= 80 * len({*sets[a]} | {*sets[b]})}
+    bound = jaccard.Bound(80)
+    known = [(t, len(s), [sum(e % jaccard.GROUPS == g for e in s) for g in range(jaccard.GROUPS)], jaccard.words.planes(np.diff(np.array(s, np.uint64), prepend=np.uint64(0)))) for t, s in sets.items()]
+    known = spark.createDataFrame(known, "tag long, n long, counts array<int>, members binary")
+    members = spark.createDataFrame([(7, t, t, len(s), 0.0, 1.0) for t, s in sets.items()], "cell long, tag long, label long, n long, lo double, hi double")
+    pairs = jaccard._boxed_pairs(members, known.select("tag", "counts"), bound)
+    assert want <= {tuple(x) for x in pairs.collect()}
+    homes = known.selectExpr("tag", "n as size", "tag % 2 as home")
+    got = jaccard._linked(pairs, homes, known, bound)
+    assert 0 < len(want) < 66 and {(min(x), max(x)) for x in got.collect()} == want
+
+
 def test_repeats(odd, empty):
     changed, rest = repeats.remove_repeats(odd)
     got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in [*changed.collect(), *rest.withColumn("n_removed", rest["n_words"] * 0).collect()]}
