@@ -63,6 +63,19 @@ def test_slices_follow_the_rows(spark, shape):
     assert got.where("prev.seq is distinct from nullif(seq - 1, -1)").isEmpty()
 
 
+def test_one_task_cuts_many_slices(spark):
+    """A small limit gives many slices, not as many tasks and files."""
+    df = spark.range(20_000).select(F.lit("k").alias("k"), F.timestamp_seconds(F.floor(F.col("id") / 7)).alias("ts"), F.col("id").alias("seq"))
+    p = P.but(hot_key_rows=10)
+    sliced = _sliced(df, 20_000, ["k"], ["ts", "seq"], p)
+    assert len(sliced.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spans = sliced.groupBy(_SLICE).agg(F.count("*").alias("n"), F.min("seq").alias("a"), F.max("seq").alias("b"))
+    assert spans.agg(F.sum("n"), F.max("n")).first() == (20_000, 10)
+    assert spans.where("b - a + 1 <> n").isEmpty()
+    got = with_previous(df, ["k"], ["ts", "seq"], ["seq"], p=p)
+    assert got.where("prev.seq is distinct from nullif(seq - 1, -1)").isEmpty()
+
+
 def test_no_hot_key_keeps_one_shuffle(skewed):
     plan = with_previous(skewed, ["k"], ["ts", "seq"], ["seq"], views={"a": (), "b": ("svc",)}, p=P)
     text = plan._jdf.queryExecution().executedPlan().toString()
