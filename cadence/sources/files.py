@@ -94,7 +94,9 @@ def compact(
 
     The number of output files follows from the bytes at hand. Rows are spread by
     range over ``partition + order``, so a partition that holds most of the rows is
-    written by many tasks and a small one by a single task.
+    written by many tasks and a small one by a single task. With neither, each task
+    reads the stored files of its share and writes them as one: about ``target_bytes``
+    as stored, where a shuffle would bring the same rows as several times as much.
     """
     spark = table.sparkSession
     before = file_list(table).agg(
@@ -104,7 +106,7 @@ def compact(
     ).first()
     pieces = max(1, -(-int(before["bytes"] or 0) // target_bytes))
     spread = [*partition, *order]
-    rows = table.repartitionByRange(pieces, *spread) if spread else table.repartition(pieces)
+    rows = table.repartitionByRange(pieces, *spread) if spread else table.coalesce(pieces)
     writer = rows.write.mode("overwrite")
     if partition:
         writer = writer.partitionBy(*partition)

@@ -119,3 +119,14 @@ def test_file_stats_and_compaction(spark, folder):
     assert done.files_before == 20 and done.files_after == 2 and done.rows_unchanged
     many = files.compact(table, f"{folder}/c", ["dt"], ["id"], target_bytes=2000).first()
     assert many.files_after > 2 and many.records_after == 1000
+
+
+def test_compaction_without_keys_joins_whole_files(spark, folder):
+    """No shuffle: the rows of a small file stay together, as a task reads stored files only."""
+    spark.range(0, 1000, 1, 10).write.parquet(f"{folder}/a")
+    table = spark.read.parquet(f"{folder}/a")
+    size = files.file_list(table).agg(F.sum("file_size")).first()[0]
+    done = files.compact(table, f"{folder}/b", target_bytes=size // 2 + 1).first()
+    assert done.rows_unchanged and 1 < done.files_after <= 2
+    homes = spark.read.parquet(f"{folder}/b").groupBy(F.floor(F.col("id") / 100)).agg(F.count_distinct("_metadata.file_path").alias("n"))
+    assert homes.where("n <> 1").isEmpty() and homes.count() == 10
