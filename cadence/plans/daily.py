@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from cadence.operators import arrivals as A
 from cadence.operators import headway as H
 from cadence.params import Params
-from cadence.sources.staging import stage
 from cadence.sources.store import MartStore
 
 SEEN = "state/last_sightings"
@@ -82,44 +81,47 @@ def run_day(
     live = live_ranges(store)
     if any(range_id in r["ids"] for r in live):
         return False
-    rows, ids = stage(A.sightings(log), "sightings"), [range_id]
+    version, ids = store.next_version(), [range_id]
+    name = f"{version:08d}"
+    # placed once: what the commit will name is what the steps before it read
+    seen = store.place(f"{SIGHTINGS}/{name}", A.sightings(log), version)
     if live:
-        late = A.late_sightings(rows, store.read(SEEN, live[-1]["version"]), ties, p)
+        late = A.late_sightings(seen.table, store.read(SEEN, live[-1]["version"]), ties, p)
         first = late.agg(F.min("recptn_ts")).first()[0]
         again = [r for r in live if first is not None and r["newest"] is not None and r["newest"] >= first]
+        rows = seen.table
         for r in again:
             ids = [*r["ids"], *ids]
             rows = rows.unionByName(store.read(f"{SIGHTINGS}/{r['name']}", r["version"]))
         if again:
             live = live[: live.index(again[0])]
-            rows = stage(rows.dropDuplicates(), "sightings")
+            seen = store.place(f"{SIGHTINGS}/{name}", rows.dropDuplicates(), version)
 
-    version = store.next_version()
+    rows, at_arrivals = seen.table, f"{ARRIVALS}/{name}"
     if live:
         at = live[-1]["version"]
         before, last = store.read(SEEN, at), store.read(LAST, at)
-        arrived = stage(A.arrivals_since(rows, before, ties, p), "arrived")
-        fresh = H.headway_histogram(headways_since(arrived, last, express, arrival_ties, p))
+        arrived = store.place(at_arrivals, A.arrivals_since(rows, before, ties, p), version)
+        fresh = H.headway_histogram(headways_since(arrived.table, last, express, arrival_ties, p))
         hist = H.merge_histograms(store.read(HIST, at), fresh)
-        newest = last_arrivals(arrived.unionByName(last), arrival_ties, p)
+        newest = last_arrivals(arrived.table.unionByName(last), arrival_ties, p)
     else:
         before = None
-        arrived = stage(A.arrivals(rows, ties, p), "arrived")
-        hist = H.headway_histogram(H.headways(arrived, arrival_ties, p, express=express))
-        newest = last_arrivals(arrived, arrival_ties, p)
-    hist = stage(hist, "histogram")
-    name = f"{version:08d}"
+        arrived = store.place(at_arrivals, A.arrivals(rows, ties, p), version)
+        hist = H.headway_histogram(H.headways(arrived.table, arrival_ties, p, express=express))
+        newest = last_arrivals(arrived.table, arrival_ties, p)
+    hist = store.place(HIST, hist, version)
     until = rows.agg(F.max("recptn_ts")).first()[0]
     table = [(r["name"], r["version"], r["ids"], r["newest"]) for r in live]
     ranges = store.spark.createDataFrame([*table, (name, version, ids, until)], RANGES_DDL)
     store.write_all(
         {
-            f"{ARRIVALS}/{name}": arrived,
-            f"{SIGHTINGS}/{name}": rows,
-            SEEN: A.last_sightings(rows, ties, before),
+            at_arrivals: arrived,
+            f"{SIGHTINGS}/{name}": seen,
+            SEEN: A.last_sightings(rows, ties, before, p),
             LAST: newest,
             HIST: hist,
-            MART: H.mart_from_histogram(hist, p),
+            MART: H.mart_from_histogram(hist.table, p),
             RANGES: ranges.coalesce(1),
         },
         f"range {range_id}",

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,16 @@ class StaleVersion(RuntimeError):
     """A mart moved on between its check and its publication."""
 
 
+@dataclass(frozen=True)
+class Placed:
+    """A written version without its commit; ``table`` reads it back."""
+
+    path: str
+    records: int
+    fields: str
+    table: DataFrame
+
+
 class MartStore:
     """Marts under one root. Any session that can read the root sees the same heads."""
 
@@ -79,20 +90,24 @@ class MartStore:
         """Write a new version and point the mart at it; returns the version."""
         return self.write_all({mart: df}, operation)[mart]
 
-    def write_all(self, marts: Mapping[str, DataFrame], operation: str = "replace") -> dict[str, int]:
+    def write_all(self, marts: Mapping[str, DataFrame | Placed], operation: str = "replace") -> dict[str, int]:
         """Write new versions of several marts, then move all of them in one commit."""
         number = self.next_version()
         rows, versions = [], {}
         for mart, df in marts.items():
-            version = number
-            path = self._attempt(mart, version)
-            seen = Observation()
-            df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
-            rows.append((mart, version, operation, seen.get["n"], path, _ddl(df)))
-            versions[mart] = version
+            done = df if isinstance(df, Placed) else self.place(mart, df, number)
+            rows.append((mart, number, operation, done.records, done.path, done.fields))
+            versions[mart] = number
         self._commit(number, rows)
         return versions
 
+    def place(self, mart: str, df: DataFrame, version: int) -> Placed:
+        """Write a version that no reader sees before a commit names it; it can be read back meanwhile."""
+        path, seen = self._attempt(mart, version), Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
+        fields = _ddl(df)
+        return Placed(path, seen.get["n"], fields, self.spark.read.schema(fields).parquet(path))
+
     def publish(self, moves: Mapping[str, str], versions: Mapping[str, int] | None = None) -> None:
         """Point each key mart at the version its value mart points at, all in one commit.
 

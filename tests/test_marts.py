@@ -13,6 +13,7 @@ from cadence.sources.external import ExternalMarts
 from cadence.sources.staging import stage
 from cadence.sources.store import MartStore, StaleVersion
 from cadence.workload import fixture as X
+from cadence.workload import registered
 from cadence.workload.registered import GAP_TIES
 
 P = X.PARAMS.but(max_headway_sec=86_400)
@@ -137,6 +138,36 @@ def test_daily_runs_equal_one_run(spark, folder, layers):
     assert as_set(daily.read_arrivals(store)) == as_set(arrived)
 
 
+def test_daily_run_stores_its_rows_once(spark, folder, layers, monkeypatch):
+    """The sightings and arrivals that the commit names are those that the run reads; the log is derived once for all ranges."""
+    staged = []
+    monkeypatch.setattr(A, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    monkeypatch.setattr(daily, "stage", A.stage, raising=False)
+    log, arrived, _ = layers
+    store = MartStore(spark, folder)
+    daily.run_day(store, "all", log, H.express_lines(H.label_arrivals(arrived, P), P), X.TIES, GAP_TIES, P)
+    assert not {"sightings", "arrived", "histogram"} & set(staged)
+    (run,) = daily.live_ranges(store)
+    assert as_set(store.read(f"{daily.SIGHTINGS}/{run['name']}")) == as_set(A.sightings(log))
+
+
+def test_daily_query_derives_the_log_once(spark, sf, monkeypatch):
+    plans = []
+    monkeypatch.setattr(registered.daily, "run_day", lambda store, name, log, *a: plans.append(log._jdf.queryExecution().optimizedPlan().toString()))
+    registered._daily(spark, sf)
+    assert len(plans) == 4 and not any("regexp_extract" in x for x in plans)
+
+
+def test_last_sightings(spark):
+    rows = [("a", "1", "s1", "2026-07-20 08:00:00", 1), ("a", "1", "s2", "2026-07-20 08:00:00", 2), ("a", "1", "s3", "2026-07-20 07:00:00", 3),
+            (None, "1", "s4", "2026-07-20 06:00:00", None), (None, "1", "s5", "2026-07-20 06:00:00", 4), ("b", "2", "s6", "no time", 5), ("b", "", "s7", "2026-07-20 06:00:00", 6)]
+    log = spark.createDataFrame(rows, "line string, train_no string, statn_id string, recptn_dt string, ingest_seq long")
+    got = A.last_sightings(log, X.TIES)
+    assert sorted(((r.line, r.statn_id) for r in got.collect()), key=str) == [("a", "s2"), (None, "s5")]
+    later = log.where("statn_id = 's3'").withColumn("recptn_dt", F.lit("2026-07-20 09:00:00"))
+    assert {r.statn_id for r in A.last_sightings(later, X.TIES, got).collect()} == {"s3", "s5"}
+
+
 def test_crash_before_a_commit_and_stale_versions(spark, folder, layers):
     mart, store = layers[2], MartStore(spark, folder)
     store._commit, commit = (lambda *a: (_ for _ in ()).throw(OSError("lost"))), store._commit
