@@ -1,9 +1,13 @@
 """Mix sources to target weights along a time-varying curriculum.
 
-Each source has a weight schedule over training time t in [0, 1]: its weight times a ramp
-``1 + drift * (2 t - 1)``, whose integral over the run is 1. The cumulative demand of a source is
-``target * (t + drift * (t * t - t))``; a document that starts at word c of its source's stream
-is trained at the t where the demand reaches c, and positions are range-sorted by t.
+Each source has a weight schedule of its own over training time t in [0, 1]: its target times a
+ramp ``1 + tilt * (2 t - 1)``, whose integral over the run is 1. Tilts are ``drift`` times the source's
+lean: sources of large weight lead and fall, those of small weight trail and rise (``leans``). Leans sum to 0 over the
+targets, so the weights of all sources add up to the same budget at every t, and t is the share of
+the mix trained so far. Without two weights among the sources that take words, no share changes.
+The cumulative demand of a source is the integral ``target * (t + tilt * (t * t - t))``; a document
+that starts at word c of its source's stream is trained at the t where the demand reaches c, and
+positions are range-sorted by t. Documents of the last pass start after those taken before them in it.
 
 Targets: sources share the budget by weight; a target stops at ``cap`` times its source's size,
 and the excess is shared again by weight until none is above.
@@ -61,12 +65,26 @@ def targets(sizes: Sequence[tuple[str | None, int]], weights: Sequence[float] =
     return [(s, weight[s], out[s]) for s, _ in order]
 
 
-def time_of(demand: Column, target: Column, drift: float = DRIFT) -> Column:
-    """The t at which ``target * (t + drift * (t * t - t))`` reaches ``demand``."""
+def leans(shares: Sequence[tuple[str | None, float, float]]) -> dict[str | None, float]:
+    """The lean in [-1, 1] of each (source, weight, target): weights from large to small run from falling to rising.
+
+    The mean over the targets is 0 and the steepest lean 1 or -1, or all are 0.
+    """
+    rank = {w: i for i, w in enumerate(sorted({w for _, w, t in shares if t > 0}, reverse=True))}
+    total = sum(t for _, w, t in shares if t > 0)
+    mean = sum(rank[w] * t for _, w, t in shares if t > 0) / total if total else 0.0
+    own = {s: rank[w] - mean if t > 0 and len(rank) > 1 else 0.0 for s, w, t in shares}
+    most = max(map(abs, own.values()), default=0.0)
+    return {s: x / most if most else 0.0 for s, x in own.items()}
+
+
+def time_of(demand: Column, target: Column, tilt: Column) -> Column:
+    """The t at which ``target * (t + tilt * (t * t - t))`` reaches ``demand``, for a tilt in [-1, 1]."""
     part = F.least(F.lit(1.0), F.when(target > 0, demand / target).otherwise(F.lit(0.0)))
-    if drift == 0:
-        return part
-    return (F.sqrt(F.lit((1 - drift) ** 2) + part * (4 * drift)) - (1 - drift)) / (2 * drift)
+    flat = F.lit(1.0) - tilt
+    root = F.sqrt(F.greatest(F.lit(0.0), flat * flat + part * tilt * 4))
+    # this form of the root holds for a tilt of 0 too
+    return F.when(part > 0, F.least(F.lit(1.0), part * 2 / (flat + root))).otherwise(F.lit(0.0))
 
 
 def _before(df: DataFrame, slices: int) -> DataFrame:
@@ -89,7 +107,8 @@ def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", source: st
 
 
 def plan_mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, start (its word in the source's pass), copies.
+    """One row per document: doc_id, source, size, source_size, target, lean, start (its word in the source's pass), copies,
+    passes (whole ones), last (its word in the last pass, where it is taken there).
 
     The number of sources must be small: their sizes come to the driver to be shared out.
     """
@@ -99,8 +118,10 @@ def plan_mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: st
     total = sum(r["rows"] for r in by)
     slices = max(16, math.isqrt(total))
     size = {r["source"]: r["n"] for r in by}
-    shares = [(s, int(size[s]), float(t), int(t // size[s]) if size[s] else 0) for s, _, t in targets(list(size.items()), weights, share, cap)]
-    goal = spark.createDataFrame(shares, "g_ string, source_size long, target double, passes int")
+    goals = targets(list(size.items()), weights, share, cap)
+    shares = [(s, int(size[s]), float(t), int(t // size[s]) if size[s] else 0) for s, _, t in goals]
+    lean = leans(goals)
+    goal = spark.createDataFrame([(*x, lean[x[0]]) for x in shares], "g_ string, source_size long, target double, passes int, lean double")
     # one row per source, as bounded as the collect above
     goal = F.broadcast(goal)
     rows = _before(rows.join(goal, F.col("source").eqNullSafe(F.col("g_"))).drop("g_"), slices)
@@ -115,8 +136,11 @@ def plan_mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: st
         more = _before(rest.filter(small).withColumnRenamed("start", "own"), slices)
         more = more.withColumn("extra", F.col("start") + F.col("size") <= F.col("left")).drop("start").withColumnRenamed("own", "start")
         rows = rows.filter("extra").unionByName(rest.filter(~small).drop("left")).unionByName(more.drop("left"))
-    rows = _nearer(stage(rows, "mixed"), shares, slices)
-    return rows.select("doc_id", "source", "mark", "size", "source_size", "target", "start", (F.col("passes") + F.col("extra").cast("int")).alias("copies"), "passes")
+    rows = stage(_nearer(stage(rows, "mixed"), shares, slices), "taken")
+    # the last pass is a stream of its own: only what is taken in it counts
+    last = _before(rows.filter("extra").withColumnRenamed("start", "own"), slices).withColumnsRenamed({"start": "last", "own": "start"})
+    rows = last.unionByName(rows.filter("not extra").withColumn("last", F.lit(None)))
+    return rows.select("doc_id", "source", "mark", "size", "source_size", "target", "lean", "start", (F.col("passes") + F.col("extra").cast("int")).alias("copies"), "passes", "last")
 
 
 def _nearer(rows: DataFrame, shares: list[tuple], slices: int) -> DataFrame:
@@ -154,9 +178,14 @@ def _nearer(rows: DataFrame, shares: list[tuple], slices: int) -> DataFrame:
 
 
 def curriculum(plan: DataFrame, drift: float = DRIFT) -> DataFrame:
-    """The plan with times: the training time of each copy taken; range-sorted by the first, documents not taken last."""
+    """The plan with times: the training time of each copy taken; range-sorted by the first, documents not taken last.
+
+    ``drift`` in [0, 1] is the steepest tilt of a source's schedule; 0 keeps all shares as they are.
+    """
     each = F.sequence(F.lit(0), F.col("copies") - 1)
-    times = F.transform(each, lambda p: time_of(p * F.col("source_size") + F.col("start"), F.col("target"), drift))
+    place = lambda p: F.when(p < F.col("passes"), F.col("start")).otherwise(F.col("last"))
+    tilt = F.col("lean") * F.lit(float(drift))
+    times = F.transform(each, lambda p: time_of(p * F.col("source_size") + place(p), F.col("target"), tilt))
     times = F.when(F.col("copies") > 0, times).otherwise(F.array().cast("array<double>"))
     plan = plan.withColumn("times", times).withColumn("first_", F.coalesce(F.get("times", F.lit(0)), F.lit(2.0)))
     return plan.repartitionByRange("first_", "doc_id").sortWithinPartitions("first_", "doc_id").drop("first_")

@@ -308,6 +308,29 @@ def test_mixing(odd, empty):
     assert mixing.plan_mix(empty).count() == 0 and mixing.mixed(empty).count() == 0
 
 
+def test_mixing_schedules_differ(spark):
+    """Shares of the sources change over the run as their schedules say, at one budget for every t; nothing piles up at the end."""
+    sizes = {"a": [20] * 700, "b": [30] * 400, "c": [2770, 665, 636, 443, 350, 275, 71, 47, 16, 2], None: [10, 15] * 150}
+    rows = [(s, " ".join(["w"] * n)) for s, each in sizes.items() for n in each]
+    df = spark.createDataFrame([(i, x, s) for i, (s, x) in enumerate(rows)], "doc_id long, text string, source string")
+    plan = mixing.plan_mix(df)
+    trained = [(t, r["size"], r["source"]) for r in mixing.curriculum(plan).collect() for t in r["times"]]
+    goal = {r["source"]: (r["target"], r["lean"] * mixing.DRIFT) for r in plan.collect()}
+    assert abs(sum(t * tilt for t, tilt in goal.values())) < 1e-6 and max(abs(tilt) for _, tilt in goal.values()) == pytest.approx(mixing.DRIFT)
+    assert max(t for t, _, _ in trained) < 1
+    for x in (0.25, 0.5, 0.75):
+        words = Counter()
+        for t, n, s in trained:
+            words[s] += n * (t < x)
+        for s, (target, tilt) in goal.items():
+            if s != "c":
+                assert words[s] == pytest.approx(target * (x + tilt * (x * x - x)), rel=0.02)
+        assert abs(sum(words.values()) - x * sum(t for t, _ in goal.values())) <= max(sizes["c"])
+    assert goal["a"][1] < 0 < goal["c"][1]
+    flat = [t for r in mixing.curriculum(plan, 0).collect() for t in r["times"]]
+    assert len(flat) == len(trained) and all(0 <= t < 1 for t in flat)
+
+
 def test_mixing_of_few_large_documents(spark):
     """Sources whose sizes barely leave a choice still come near their targets."""
     r = random.Random(3)
