@@ -11,8 +11,8 @@ Levels of the tree:
 1. Sizes, in classes half as wide again each. Documents near a class's lower end also enter the class below.
 2. Bands of groups. A class has more bands than two linked points of it can differ in, so some band is
    equal in both: its counts are a degenerate box. A band without shingles says nothing; a class
-   has spare bands for those, and a document with more of them than spare ones enters again under
-   other bands. No linked pair is lost.
+   has spare bands for those, as many as chance leaves empty and a margin, and a document with more of
+   them than spare ones enters again under other bands. No linked pair is lost.
 3. Inside a cell of points with one such band, leaves of ``LEAF`` points, whose boxes and then points are compared in the tasks.
 
 Cells hold whole families of near copies, so their pairs are not listed. Each member is first verified
@@ -29,8 +29,11 @@ component; rows repeating an id stand for themselves; an empty table gives no ro
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from fractions import Fraction
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -72,14 +75,33 @@ class Bound:
     def links(self, overlap: np.ndarray, joint: np.ndarray | int) -> np.ndarray:
         return 100 * overlap >= self.percent * (joint - overlap)
 
-    def classes(self, n: int) -> list[tuple[int, int]]:
-        """(class, bands it needs beside spare ones) that a set of n elements enters."""
+    def classes(self, n: int) -> list[tuple[int, int, int]]:
+        """(class, elements in which its linked sets differ at most, size of its smallest set) that a set of n elements enters."""
         while self.starts[-1] <= n:
             self.starts.append(self.starts[-1] * 3 // 2 + 1)
         own = max(i for i, s in enumerate(self.starts) if s <= n)
         out = [c for c in range(own + 1) if c == own or (self.starts[c + 1] - 1) * 100 >= n * self.percent]
         # the largest set of a class meets others up to its size over t
-        return [(c, self.differ(top + top * 100 // self.percent)) for c in out for top in [self.starts[c + 1] - 1]]
+        return [(c, self.differ(top + top * 100 // self.percent), self.starts[c]) for c in out for top in [self.starts[c + 1] - 1]]
+
+
+@lru_cache(maxsize=4096)
+def spare_bands(differ: int, least: int) -> int:
+    """Bands beside the differing ones and one equal one, so that a set of this size seldom leaves more empty.
+
+    A set of n elements leaves about ``b * exp(-n / b)`` of b bands empty; two deviations are the margin. Where the
+    bands would more than triple, the sets are too small for the bound, and few spare ones do.
+    """
+
+    def enough(spare: int) -> bool:
+        bands = differ + 1 + spare
+        each = least / bands
+        empty, both = math.exp(-each), (1 + each) * math.exp(-2 * each)
+        return spare >= bands * empty + 2 * math.sqrt(bands * max(empty - both, 0))
+
+    most = 2 * differ + 10
+    spare = bisect_left(range(most), True, lo=1, key=enough)
+    return spare if spare < most else 1 + (differ + 1) // 128
 
 
 def shingles(h: np.ndarray, n: int) -> np.ndarray:
@@ -100,10 +122,10 @@ def cells(s: np.ndarray, bound: Bound) -> np.ndarray:
     if not len(s):
         return s  # the empty set links with nothing
     with np.errstate(over="ignore"):
-        for c, differ in bound.classes(len(s)):
+        for c, differ, least in bound.classes(len(s)):
             if not differ:
                 continue  # linked sets of this class are equal
-            spare = 1 + (differ + 1) // 128
+            spare = spare_bands(differ, least)
             bands = differ + 1 + spare
             for p in range(PERMUTATIONS + 1):
                 if p == PERMUTATIONS:

@@ -87,6 +87,27 @@ def test_jaccard_families(spark):
         assert got == plain.components(docs, n, percent)
 
 
+def test_unrelated_sets_share_no_cell():
+    """Empty bands are foreseen: sets of any size leave the catch-all cell to themselves, and linked ones meet."""
+    r = np.random.default_rng(5)
+    draw = lambda n: np.unique(r.integers(0, 1 << 64, n, dtype=np.uint64))
+    for percent in (80, 90):
+        bound = jaccard.Bound(percent)
+        for n in (4, 12, 50, 200, 320, 500, 800, 2_000, 5_000):
+            own = [jaccard.cells(draw(n), bound) for _ in range(20)]
+            assert len(np.unique(np.concatenate([np.unique(c) for c in own]))) == sum(len(np.unique(c)) for c in own)
+            assert np.mean([len(c) for c in own]) < 4 * n
+    for percent in (50, 80, 90):
+        bound = jaccard.Bound(percent)
+        for n in (4, 11, 45, 61, 320, 800):
+            for _ in range(20):
+                shared, rest = draw(n), draw(n)
+                most = n * (100 - percent) // percent
+                for a, b in ((shared, np.union1d(shared, rest[:most])), (np.union1d(shared, rest[: most // 2]), np.union1d(shared, rest[most // 2 : most]))):
+                    joint = len(np.union1d(a, b))
+                    assert 100 * n >= percent * joint and (joint == n or len(np.intersect1d(jaccard.cells(a, bound), jaccard.cells(b, bound))))
+
+
 def test_jaccard_blocks(spark, monkeypatch):
     """Leaves and verification in blocks, smaller than a cell and a home, against all pairs of sets."""
     monkeypatch.setattr(jaccard, "LEAF", 3)
