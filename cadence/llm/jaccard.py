@@ -14,6 +14,7 @@ Levels of the tree:
    has spare bands for those, as many as chance leaves empty and a margin, and a document with more of
    them than spare ones enters again under other bands. No linked pair is lost.
 3. Inside a cell of points with one such band, leaves of ``LEAF`` points, whose boxes and then points are compared in the tasks.
+   ``LEAVES`` of them travel together. Two points that share several cells are reported in the first of these.
 
 Cells hold whole families of near copies, so their pairs are not listed. Each member is first verified
 against the cell's centre (the member that lies in most cells). Only cells whose members then still
@@ -44,11 +45,16 @@ from cadence.llm import words
 from cadence.llm.components import components
 from cadence.llm.tables import numbered, only, parallel, release, stage
 
-#: Coordinates of the points that bound overlaps.
+#: Coordinates of the points that bound overlaps, and of the finer points (a multiple) for pairs that these allow.
 GROUPS = 64
+FINER = 1024
 #: Groups that a band's counts tell apart.
 FINE = np.uint64((1 << 40) - 1)
 LEAF = 32
+#: Leaves that travel together, pairs whose finer points are compared at a time, and cells of a point that tell where a pair was met first.
+LEAVES = 4
+PAIRS = 2048
+FIRST = 16
 #: Sets that are verified against each other at a time, shingles from which a set is held alone, and columns of their product.
 TOGETHER = 64
 LARGE = 1 << 16
@@ -249,7 +255,7 @@ def _shared_cells(packed: DataFrame, buckets: int) -> DataFrame:
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """tag, doc_id, n, counts, set of the wanted (doc_id, tag)."""
+    """tag, doc_id, n, counts, finer counts, set of the wanted (doc_id, tag)."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,15 +263,21 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 sets = [shingles(h[at[i] : at[i + 1]], n) for i in range(end - row)]
                 with np.errstate(over="ignore"):
                     keep = [i for i, (s, tag) in enumerate(zip(sets, batch["tag"].to_pylist()[row:end], strict=True)) if int(words.mix(s, 11).sum().view(np.int64)) == tag]
-                counts = [np.bincount((sets[i] % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32) for i in keep]
+                finer = [np.bincount((sets[i] % np.uint64(FINER)).astype(np.int64), minlength=FINER).astype(np.int32) for i in keep]
+                counts = [_coarse(x) for x in finer]
                 part = batch.slice(row, end - row).take(pa.array(keep, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [part["tag"], part["doc_id"], pa.array([len(sets[i]) for i in keep], pa.int64()), pa.array(counts, pa.list_(pa.int32())), pa.array([words.planes(np.diff(sets[i] >> np.uint64(12), prepend=np.uint64(0))) for i in keep], pa.binary())],
-                    ["tag", "doc_id", "n", "counts", "members"],
+                    [part["tag"], part["doc_id"], pa.array([len(sets[i]) for i in keep], pa.int64()), pa.array(counts, pa.list_(pa.int32())), pa.array([words.planes(x) for x in finer], pa.binary()), pa.array([words.planes(np.diff(sets[i] >> np.uint64(12), prepend=np.uint64(0))) for i in keep], pa.binary())],
+                    ["tag", "doc_id", "n", "counts", "finer", "members"],
                 )
 
     rows = only(docs, doc_id="doc_id", text="text").filter("doc_id is not null").join(wanted.hint("merge"), "doc_id")
-    return rows.select("tag", "doc_id", "text").mapInArrow(of, "tag long, doc_id long, n long, counts array<int>, members binary")
+    return rows.select("tag", "doc_id", "text").mapInArrow(of, "tag long, doc_id long, n long, counts array<int>, finer binary, members binary")
+
+
+def _coarse(finer: np.ndarray) -> np.ndarray:
+    """Counts of ``GROUPS`` groups from those of ``FINER``, along the last axis."""
+    return finer.reshape(*finer.shape[:-1], FINER // GROUPS, GROUPS).sum(-2, dtype=np.int32)
 
 
 def _overlap(a: Column, b: Column) -> Column:
@@ -319,67 +331,128 @@ def _verified(pairs: DataFrame, sets: DataFrame, bound: Bound) -> DataFrame:
     return rows.groupBy("a", "b").agg(F.max("linked").alias("linked"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
-def _pairs_of_leaves(bound: Bound, far: float, one: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A task: (a, b) of the points of two leaves, or of one leaf, that labels, distances to the centre and counts allow."""
+def _met_before(x: np.ndarray, y: np.ndarray, cell: int) -> np.ndarray:
+    """Of each two rows of first cells, whether they share a cell below this one, where the pair is met as well."""
+    out = np.zeros(len(x), bool)
+    for k in range(0, len(x), PAIRS):
+        p, q = x[k : k + PAIRS], y[k : k + PAIRS]
+        out[k : k + PAIRS] = ((p[:, :, None] == q[:, None, :]) & (p < cell)[:, :, None]).any((1, 2))
+    return out
+
+
+def _pairs_of_leaves(bound: Bound, far: float, one: bool, steps: tuple[str, ...] = ("counts",)) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task: (a, b) of the points of two bundles of leaves, or of one, that labels, distances to the centre and counts allow."""
 
-    def points(column: pa.Array) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    def points(column: pa.Array) -> dict[str, np.ndarray]:
         flat = column.flatten()
         out = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("tag", "label", "size", "lo", "hi")}
-        out["counts"] = flat.field("counts").flatten().to_numpy().reshape(-1, GROUPS)
-        return np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy()))), out
+        if steps[-1] == "finer":
+            out["finer"] = np.stack([words.unplanes(x, np.int32) for x in flat.field("finer").to_pylist()])
+            out["counts"] = _coarse(out["finer"])
+        else:
+            out["counts"] = flat.field("counts").flatten().to_numpy().reshape(-1, GROUPS)
+        first = flat.field("first")
+        at = np.concatenate(([0], np.cumsum(first.value_lengths().to_numpy())))
+        own = first.flatten().to_numpy()
+        out["first"] = np.full((len(flat), FIRST), np.iinfo(np.int64).max)
+        out["first"][np.arange(FIRST) < np.diff(at)[:, None]] = own
+        return out
+
+    def met(x: dict, y: dict, cell: int, same: bool) -> np.ndarray:
+        """The pairs of two leaves."""
+        low = np.minimum(x["counts"].max(0), y["counts"].max(0)).sum()
+        if not same and not bound.links(low, x["size"].min() + y["size"].min()):
+            return np.zeros((0, 2), np.int64)  # the boxes' upper corners allow no link
+        may = (x["label"][:, None] != y["label"]) & (x["lo"][:, None] - y["hi"] <= far) & (y["lo"] - x["hi"][:, None] <= far)
+        if same:
+            may &= np.triu(np.ones_like(may), 1)
+        a, b = np.nonzero(may)
+        for c in steps:
+            parts = [np.minimum(x[c][a[k : k + PAIRS]], y[c][b[k : k + PAIRS]]).sum(1, dtype=np.int64) for k in range(0, len(a), PAIRS)]
+            overlap = np.concatenate([np.zeros(0, np.int64), *parts])
+            fit = bound.links(overlap, x["size"][a] + y["size"][b])
+            a, b = a[fit], b[fit]
+        new = ~_met_before(x["first"][a], y["first"][b], cell)
+        return np.sort(np.stack((x["tag"][a[new]], y["tag"][b[new]]), 1), 1)
+
+    def leaves(side: dict) -> list[dict]:
+        return [{c: v[k : k + LEAF] for c, v in side.items()} for k in range(0, len(side["tag"]), LEAF)]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at_p, p = points(batch["points_a"])
-            at_q, q = (at_p, p) if one else points(batch["points_b"])
-            found = [np.zeros((0, 2), np.int64)]
             for k in range(batch.num_rows):
-                x, y = ({c: v[at[k] : at[k + 1]] for c, v in side.items()} for at, side in ((at_p, p), (at_q, q)))
-                low = np.minimum(x["counts"].max(0), y["counts"].max(0)).sum()
-                if not one and not bound.links(low, x["size"].min() + y["size"].min()):
-                    continue  # the boxes' upper corners allow no link
-                may = (x["label"][:, None] != y["label"]) & (x["lo"][:, None] - y["hi"] <= far) & (y["lo"] - x["hi"][:, None] <= far)
-                if one:
-                    may &= np.triu(np.ones_like(may), 1)
-                a, b = np.nonzero(may)
-                overlap = np.minimum(x["counts"][a], y["counts"][b]).sum(1, dtype=np.int64)
-                fit = bound.links(overlap, x["size"][a] + y["size"][b])
-                found.append(np.sort(np.stack((x["tag"][a[fit]], y["tag"][b[fit]]), 1), 1))
-            pairs = np.concatenate(found)
-            pairs = pairs[np.lexsort(pairs.T)]
-            pairs = pairs[np.concatenate((np.ones(min(len(pairs), 1), bool), (pairs[1:] != pairs[:-1]).any(1)))]
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                cell = batch["cell"][k].as_py()
+                p = leaves(points(batch["points_a"].slice(k, 1)))
+                q = p if one else leaves(points(batch["points_b"].slice(k, 1)))
+                found = [met(x, y, cell, one and i == j) for i, x in enumerate(p) for j, y in enumerate(q) if not one or i <= j]
+                pairs = np.concatenate(found)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return of
 
 
+def _gathered(rest: DataFrame, checked: DataFrame) -> DataFrame:
+    """``rest`` (a, tag, cell, label, lo, hi, n), with crowded cells that hold much the same members put together.
+
+    The cells of a large family of near copies differ by a few members each, and compared one by one they compare the same points in
+    every cell. A crowded cell goes with the largest one that holds any of its members; such cells become one (numbered below zero)
+    where its members make fewer pairs than those of the single cells together, so the work never grows by it. No two members of a
+    cell are parted. Distances are those to the centre of the largest cell, where they were verified, and any otherwise.
+    """
+    crowded = rest.groupBy("cell").agg(F.count("*").cast("double").alias("in_cell")).filter(F.col("in_cell") > LEAF * LEAVES)
+    crowded = stage(crowded, "crowded")
+    if crowded.isEmpty():
+        return rest
+    rows = stage(rest.join(crowded, "cell").select("cell", "in_cell", "tag", "a", "label", "n"), "rows")
+    top = rows.groupBy("tag").agg(F.max(F.struct("in_cell", "cell", "a")).alias("top"))
+    leader = rows.select("cell", "in_cell", "tag").join(top, "tag").groupBy("cell", "in_cell").agg(F.max("top").alias("top"))
+    leader = stage(leader.select("cell", "in_cell", F.col("top.cell").alias("family"), F.col("top.a").alias("centre")), "leaders")
+    whole = rows.join(leader.drop("in_cell"), "cell").groupBy("family", "centre", "tag").agg(F.first("label").alias("label"), F.first("n").alias("n"))
+    whole = stage(whole, "families")
+    single = leader.groupBy("family").agg(F.sum(F.col("in_cell") * F.col("in_cell")).alias("pairs"))
+    fewer = whole.groupBy("family").agg(F.count("*").cast("double").alias("in_family")).join(single, "family").filter("in_family * in_family < pairs").select("family")
+    fewer = stage(fewer, "fewer")
+    verified = checked.select(F.col("a").alias("centre"), F.col("b").alias("tag"), "lo", "hi")
+    one = whole.join(fewer, "family").join(verified, ["centre", "tag"], "left")
+    one = one.select(F.col("centre").alias("a"), "tag", (-1 - F.col("family")).alias("cell"), "label", F.coalesce("lo", F.lit(0.0)).alias("lo"), F.coalesce("hi", F.lit(1.0)).alias("hi"), "n")
+    other = rest.join(leader.join(fewer, "family").select("cell"), "cell", "left_anti")
+    return stage(other.select(*one.columns).unionByName(one), "gathered")
+
+
 def _boxed_pairs(members: DataFrame, counts: DataFrame, bound: Bound) -> DataFrame:
     """Pairs of tags in one cell, of different components, that the boxes and then the points allow.
 
-    members: cell, tag, label, n, and lo and hi, the limits of the distance to the cell's centre; counts: tag, counts. Jaccard distance
-    is a metric, so two points whose distances to the centre differ by more than a link allows don't link. A leaf travels whole, once
-    for each other leaf that it has to meet, and points are compared in the task. The number of pairs of leaves in one cell still
-    grows with the square of those that no bound tells apart.
+    members: cell, tag, label, n, and lo and hi, the limits of the distance to the cell's centre; counts: tag, and
+    finer counts (packed) or counts. Jaccard distance is a metric, so two points whose distances to the centre differ by more than a link allows don't link. Leaves travel whole in
+    bundles, once for each other bundle that they have to meet, and points are compared in the task. Near copies share many cells; a
+    point carries the ``FIRST`` smallest of its cells, and a pair that shares one of them below the present cell is left to that. The
+    number of pairs of bundles in one cell still grows with the square of those that no bound tells apart.
     """
     far = 1 - bound.percent / 100 + 1e-9
     # leaves of one component lie together, so most pairs of boxes can be told to hold nothing new
     ranked = numbered(members.withColumnRenamed("n", "size"), "cell", "label", "lo", "size", "tag")
-    point = F.struct("tag", "label", "size", "lo", "hi", "counts")
+    own = "finer" if "finer" in counts.columns else "counts"
+    steps = ("counts", "finer") if own == "finer" else ("counts",)
+    first = members.groupBy("tag").agg(F.slice(F.sort_array(F.collect_set("cell")), 1, FIRST).alias("first"))
+    points = stage(first.join(counts.hint("merge"), "tag"), "bounds")
+    point = F.struct("rank", "tag", "label", "size", "lo", "hi", "first", own)
     limits = [F.min("size").alias("least"), F.max("size").alias("most"), F.min("label").alias("low"), F.max("label").alias("high"), F.min("lo").alias("lo"), F.max("hi").alias("hi")]
-    placed = ranked.select("cell", F.floor(F.col("rank") / LEAF).alias("leaf"), "tag", "label", "size", "lo", "hi", F.col("n").alias("in_cell"))
-    leaf = placed.join(counts.hint("merge"), "tag").groupBy("cell", "leaf").agg(F.collect_list(point).alias("points"), *limits, F.first("in_cell").alias("in_cell"))
+    placed = ranked.select("cell", F.floor(F.col("rank") / (LEAF * LEAVES)).alias("leaf"), "rank", "tag", "label", "size", "lo", "hi", F.col("n").alias("in_cell"))
+    leaf = placed.join(points.hint("merge"), "tag").groupBy("cell", "leaf").agg(F.sort_array(F.collect_list(point)).alias("points"), *limits, F.first("in_cell").alias("in_cell"))
     leaf = stage(leaf, "leaves")
-    inner = leaf.filter("low < high").select(F.col("points").alias("points_a")).mapInArrow(_pairs_of_leaves(bound, far, True), "a long, b long")
+    inner = leaf.filter("low < high").select("cell", F.col("points").alias("points_a")).mapInArrow(_pairs_of_leaves(bound, far, True, steps), "a long, b long")
 
-    split = leaf.filter(F.col("in_cell") > LEAF)
+    split = leaf.filter(F.col("in_cell") > LEAF * LEAVES)
     a, b = (split.select("cell", *(F.col(c).alias(f"{c}_{s}") for c in ("leaf", "least", "most", "low", "high", "lo", "hi"))) for s in "ab")
     several = (F.col("low_a") < F.col("high_a")) | (F.col("low_b") < F.col("high_b")) | (F.col("low_a") != F.col("low_b"))
     close = (F.col("lo_a") - F.col("hi_b") <= far) & (F.col("lo_b") - F.col("hi_a") <= far)
     sizes = (100 * F.col("most_a") >= bound.percent * F.col("least_b")) & (100 * F.col("most_b") >= bound.percent * F.col("least_a"))
-    near = a.join(b, "cell").filter((F.col("leaf_a") < F.col("leaf_b")) & several & close & sizes).select("cell", "leaf_a", "leaf_b")
+    # each two once, and each on either side about as often
+    once = (F.col("leaf_a") != F.col("leaf_b")) & ((F.col("leaf_a") < F.col("leaf_b")) == ((F.col("leaf_a") + F.col("leaf_b")) % 2 == 0))
+    near = a.join(b, "cell").filter(once & several & close & sizes).select("cell", "leaf_a", "leaf_b")
     for s in "ab":
         near = near.join(split.select("cell", F.col("leaf").alias(f"leaf_{s}"), F.col("points").alias(f"points_{s}")).hint("merge"), ["cell", f"leaf_{s}"])
-    outer = near.select("points_a", "points_b").mapInArrow(_pairs_of_leaves(bound, far, False), "a long, b long")
+    outer = near.select("cell", "points_a", "points_b").mapInArrow(_pairs_of_leaves(bound, far, False, steps), "a long, b long")
     return inner.unionByName(outer).distinct()
 
 
@@ -485,8 +558,9 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     rest = labelled.join(stage(open_, "open"), "cell").join(centre, "cell").filter("a != tag")
     rest = rest.join(checked.select("a", F.col("b").alias("tag"), "lo", "hi"), ["a", "tag"]).join(known.select("tag", "n"), "tag")
     rest = stage(rest, "rest")
+    crowds = _gathered(rest, checked)
     release(docs.sparkSession)
-    pairs = stage(_boxed_pairs(rest, known.select("tag", "counts"), bound).join(star.select("a", "b").union(star.select("b", "a")), ["a", "b"], "left_anti"), "pairs")
+    pairs = stage(_boxed_pairs(crowds, known.select("tag", "finer"), bound).join(star.select("a", "b").union(star.select("b", "a")), ["a", "b"], "left_anti"), "pairs")
     release(docs.sparkSession)
     if not pairs.isEmpty():
         homes = stage(rest.groupBy("tag").agg(F.first("n").alias("size"), F.min_by("a", F.struct("lo", "a")).alias("home")), "homes")

@@ -127,6 +127,61 @@ def test_jaccard_blocks(spark, monkeypatch):
     assert 0 < len(want) < 66 and {(min(x), max(x)) for x in got.collect()} == want
 
 
+def test_jaccard_reports_a_pair_once():
+    """Two points that share two cells are a pair in the first of them, and none where the finer counts allow no link."""
+    import pyarrow as pa
+
+    def pairs(points, steps):
+        of = jaccard._pairs_of_leaves(jaccard.Bound(80), 0.2, True, steps)
+        batches = (pa.RecordBatch.from_pylist([{"cell": cell, "points_a": points}]) for cell in (5, 9))
+        return [(r["a"], r["b"]) for b in of(batches) for r in b.to_pylist()]
+
+    finer = [[0] * jaccard.FINER for _ in range(2)]
+    for k, f in enumerate(finer):
+        for g in range(10):
+            f[g if g < 6 else g + k * jaccard.GROUPS] = 1
+    rows = [{"tag": k, "label": k, "size": 10, "lo": 0.0, "hi": 1.0, "first": [5, 9]} for k in range(2)]
+    counts = [r | {"counts": np.array([1] * 10 + [0] * (jaccard.GROUPS - 10), np.int32)} for r in rows]
+    assert pairs(counts, ("counts",)) == [(0, 1)]
+    assert pairs([r | {"finer": jaccard.words.planes(np.array(f, np.int32))} for r, f in zip(rows, finer, strict=True)], ("counts", "finer")) == []
+    assert pairs([r | {"finer": jaccard.words.planes(np.array(finer[0], np.int32))} for r in rows], ("counts", "finer")) == [(0, 1)]
+
+
+def test_jaccard_gathers_crowded_cells(spark, monkeypatch):
+    """Cells with much the same members become one, with every member once; others stay as they are."""
+    monkeypatch.setattr(jaccard, "LEAF", 4)
+    monkeypatch.setattr(jaccard, "LEAVES", 2)
+    inside = {c: [t for t in range(40) if t % 7 != c] for c in range(7)} | {20: list(range(100, 120)), 30: [0, 1, 100]}
+    rest = [(1000 + c, t, c, t, 0.1, 0.1, 9) for c, tags in inside.items() for t in tags]
+    rest = spark.createDataFrame(rest, "a long, tag long, cell long, label long, lo double, hi double, n long")
+    lead = max(range(7), key=lambda c: (len(inside[c]), c))
+    checked = rest.selectExpr("a", "tag as b", "lo", "hi")
+    got = jaccard._gathered(rest, checked).collect()
+    whole = [r for r in got if r["cell"] < 0]
+    assert len({r["cell"] for r in whole}) == 1 and sorted(r["tag"] for r in whole) == list(range(40))
+    assert {(r["a"], r["n"], r["label"] - r["tag"]) for r in whole} == {(1000 + lead, 9, 0)}
+    assert all((r["lo"], r["hi"]) == ((0.1, 0.1) if r["tag"] in inside[lead] else (0.0, 1.0)) for r in whole)
+    assert sorted((r["cell"], r["tag"]) for r in got if r["cell"] >= 0) == sorted((c, t) for c in (20, 30) for t in inside[c])
+
+
+def test_jaccard_large_family(spark, monkeypatch):
+    """Near copies of one text that mostly don't link, in small bundles, against all pairs."""
+    monkeypatch.setattr(jaccard, "LEAF", 3)
+    monkeypatch.setattr(jaccard, "LEAVES", 2)
+    r = random.Random(3)
+    base, docs = prose(77, 160).split(), []
+    for d in range(70):
+        text = list(base)
+        for k in r.sample(range(160), r.choice([1, 3, 5])):
+            text[k] = f"own{d}x{k}"
+        docs.append((d, " ".join(text)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for n, percent in ((5, 80), (3, 90)):
+        got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in jaccard.jaccard_components(df, n=n, percent=percent).collect()}
+        want = plain.components(docs, n, percent)
+        assert got == want and 1 < len({c for _, c in want.values()}) < 70
+
+
 def test_repeats(odd, empty):
     changed, rest = repeats.remove_repeats(odd)
     got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in [*changed.collect(), *rest.withColumn("n_removed", rest["n_words"] * 0).collect()]}
